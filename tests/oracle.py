@@ -1,0 +1,119 @@
+"""Compare registered Spark queries with their DuckDB oracle SQL.
+
+Usable from pytest and as a script::
+
+    python tests/oracle.py [sf_dir] [name ...]
+
+Rows are compared as multisets after a light normalisation (dates and times
+as ISO text, floats to 9 significant digits), column names exactly.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+import os
+import sys
+import time
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
+).split()
+
+
+def duck(sf_dir: str):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in TABLES:
+        path = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(path):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def norm(v):
+    if v is None:
+        return None
+    if isinstance(v, bool):
+        return v
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return float(f"{v:.9g}")
+    if isinstance(v, decimal.Decimal):
+        return float(f"{float(v):.9g}")
+    if isinstance(v, dt.datetime):
+        return v.isoformat(sep=" ")
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    if isinstance(v, (list, tuple)):
+        return tuple(norm(x) for x in v)
+    return v
+
+
+def _key(row):
+    return tuple((x is None, str(type(x)), str(x)) for x in row)
+
+
+def compare(spark, con, name, fn, sql, sf_dir):
+    t0 = time.time()
+    sdf = fn(spark, sf_dir)
+    s_cols = sdf.columns
+    s_rows = [tuple(norm(v) for v in r) for r in sdf.collect()]
+    t1 = time.time()
+    res = con.execute(sql)
+    d_cols = [d[0] for d in res.description]
+    d_rows = [tuple(norm(v) for v in r) for r in res.fetchall()]
+    out = {"name": name, "spark_rows": len(s_rows), "oracle_rows": len(d_rows), "spark_sec": round(t1 - t0, 2)}
+    out["cols_match"] = sorted(s_cols) == sorted(d_cols)
+    if out["cols_match"]:
+        order = sorted(range(len(s_cols)), key=lambda i: s_cols[i])
+        d_order = sorted(range(len(d_cols)), key=lambda i: d_cols[i])
+        s_sorted = sorted((tuple(r[i] for i in order) for r in s_rows), key=_key)
+        d_sorted = sorted((tuple(r[i] for i in d_order) for r in d_rows), key=_key)
+        out["values_match"] = s_sorted == d_sorted
+        if not out["values_match"]:
+            diff = [(a, b) for a, b in zip(s_sorted, d_sorted) if a != b][:3]
+            out["first_diffs"] = diff
+    else:
+        out["values_match"] = False
+        out["spark_cols"], out["oracle_cols"] = s_cols, d_cols
+    return out
+
+
+def main(argv):
+    sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
+    names = [a for a in argv[1:] if not a.startswith("/")]
+    from martforge.session import build_session
+
+    import __spark_entry__ as E
+
+    spark = build_session("local[8]", shuffle_partitions=8)
+    spark.sparkContext.setLogLevel("ERROR")
+    con = duck(sf_dir)
+    qs, sqls = E.queries(), E.oracle_sql()
+    bad = 0
+    for name in names or list(qs):
+        if name not in sqls:
+            df = qs[name](spark, sf_dir)
+            print({"name": name, "spark_rows": df.count(), "oracle": None})
+            continue
+        try:
+            r = compare(spark, con, name, qs[name], sqls[name], sf_dir)
+        except Exception as exc:  # report and go on
+            r = {"name": name, "error": repr(exc)[:500]}
+        ok = r.get("values_match") and r.get("spark_rows") == r.get("oracle_rows")
+        bad += not ok
+        print(("OK  " if ok else "BAD ") + str(r), flush=True)
+    print(f"{bad} mismatches")
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(1 if main(sys.argv) else 0)

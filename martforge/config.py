@@ -41,7 +41,7 @@ SYSTEM_COLUMNS = (
     ("sys_change_version", "bigint"),
     ("sys_change_operation", "string"),
     ("sys_change_creation_version", "bigint"),
-    ("commit_time", "timestamp"),
+    ("commit_time", "timestamp_ntz"),
 )
 # ---------------------------------------------------------------------------
 

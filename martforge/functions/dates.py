@@ -26,10 +26,17 @@ def stamp_time(batch_time: dt.datetime | str | None = None, lag_hours: int = 3)
     of a batch gets the same stamp.
     """
     if batch_time is None:
-        return (F.current_timestamp() - F.expr(f"INTERVAL {int(lag_hours)} HOURS")).cast("timestamp")
+        return (F.current_timestamp() - F.expr(f"INTERVAL {int(lag_hours)} HOURS")).cast("timestamp_ntz")
     if isinstance(batch_time, str):
         batch_time = dt.datetime.fromisoformat(batch_time)
-    return F.lit(batch_time).cast("timestamp")
+    return ntz_lit(batch_time)
+
+
+def ntz_lit(value: dt.datetime | dt.date) -> Column:
+    """A ``timestamp_ntz`` literal, independent of the Python process time zone."""
+    if not isinstance(value, dt.datetime):
+        value = dt.datetime.combine(value, dt.time())
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def month_key(c: Column) -> Column:

@@ -10,7 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import casts
 from ..functions.dates import month_range
 from ..operators import indicators, marts
 from . import standins as S
@@ -148,3 +150,115 @@ def _due_query(min_total: float) -> Query:
 
 register("ind_due_orders", _due_sql(1000.0))(_due_query(1000.0))
 register("ind_due_orders_250k", _due_sql(250000.0))(_due_query(250000.0))
+
+
+# --- cast rules (P4a-P4d) over dirty text built from whole tables ----------------
+# Variant per row: (l_orderkey + l_linenumber) % n.
+
+_V = "(l_orderkey + l_linenumber)"
+
+
+def _variant(n: int):
+    return (F.col("l_orderkey") + F.col("l_linenumber")) % n
+
+
+@register("cast_int", f"""
+WITH d AS (
+  SELECT l_orderkey, l_linenumber,
+         CASE {_V} % 5 WHEN 0 THEN CAST(l_partkey AS VARCHAR) WHEN 1 THEN CAST(l_partkey AS VARCHAR) || '.0'
+              WHEN 2 THEN CAST(l_partkey AS VARCHAR) || '.7' WHEN 3 THEN ' ' ELSE '-' END AS text_value
+  FROM lineitem)
+SELECT l_orderkey, l_linenumber, text_value,
+       CASE WHEN text_value = ' ' OR text_value = '-' THEN NULL
+            ELSE CAST(split_part(text_value, '.', 1) AS BIGINT) END AS int_value
+FROM d
+""")
+def cast_int(spark, sf_dir):
+    li = S.table(spark, sf_dir, "lineitem")
+    key = F.col("l_partkey").cast("string")
+    v = _variant(5)
+    text = (F.when(v == 0, key).when(v == 1, F.concat(key, F.lit(".0"))).when(v == 2, F.concat(key, F.lit(".7")))
+            .when(v == 3, F.lit(" ")).otherwise(F.lit("-")))
+    d = li.select("l_orderkey", "l_linenumber", text.alias("text_value"))
+    return d.select("l_orderkey", "l_linenumber", "text_value", casts.int_rule(F.col("text_value")).alias("int_value"))
+
+
+@register("cast_float", f"""
+WITH p AS (SELECT l_orderkey, l_linenumber, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS t FROM lineitem),
+d AS (
+  SELECT l_orderkey, l_linenumber,
+         CASE {_V} % 6 WHEN 0 THEN t WHEN 1 THEN replace(t, '.', ',') WHEN 2 THEN ' ' WHEN 3 THEN '-'
+              WHEN 4 THEN 'abc' ELSE '1.' || replace(t, '.', ',') END AS text_value
+  FROM p)
+SELECT l_orderkey, l_linenumber, text_value,
+       CASE WHEN text_value = ' ' OR text_value = '-' THEN NULL
+            ELSE TRY_CAST(replace(text_value, ',', '.') AS DOUBLE) END AS float_value
+FROM d
+""")
+def cast_float(spark, sf_dir):
+    li = S.table(spark, sf_dir, "lineitem")
+    t = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    comma = F.replace(t, F.lit("."), F.lit(","))
+    v = _variant(6)
+    text = (F.when(v == 0, t).when(v == 1, comma).when(v == 2, F.lit(" ")).when(v == 3, F.lit("-"))
+            .when(v == 4, F.lit("abc")).otherwise(F.concat(F.lit("1."), comma)))
+    d = li.select("l_orderkey", "l_linenumber", text.alias("text_value"))
+    return d.select("l_orderkey", "l_linenumber", "text_value", casts.float_rule(F.col("text_value")).alias("float_value"))
+
+
+@register("cast_date", f"""
+WITH d AS (
+  SELECT l_orderkey, l_linenumber,
+         CASE {_V} % 4 WHEN 0 THEN strftime(l_shipdate, '%Y-%m-%d')
+              WHEN 1 THEN strftime(l_shipdate, '%Y-%m-%d') || ' 13:45:00' WHEN 2 THEN ' ' ELSE '-' END AS text_value
+  FROM lineitem)
+SELECT l_orderkey, l_linenumber, text_value,
+       CASE WHEN text_value = ' ' OR text_value = '-' THEN NULL
+            ELSE CAST(substr(text_value, 1, 10) AS DATE) END AS date_value
+FROM d
+""")
+def cast_date(spark, sf_dir):
+    li = S.table(spark, sf_dir, "lineitem")
+    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+    v = _variant(4)
+    text = (F.when(v == 0, day).when(v == 1, F.concat(day, F.lit(" 13:45:00"))).when(v == 2, F.lit(" "))
+            .otherwise(F.lit("-")))
+    d = li.select("l_orderkey", "l_linenumber", text.alias("text_value"))
+    return d.select("l_orderkey", "l_linenumber", "text_value", casts.date_rule(F.col("text_value")).alias("date_value"))
+
+
+@register("cast_other", """
+WITH d AS (
+  SELECT l_orderkey, l_linenumber,
+         CASE WHEN l_returnflag = 'R' THEN 'True' ELSE 'False' END AS bool_text,
+         strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS ts_text,
+         l_returnflag AS flag_text
+  FROM lineitem)
+SELECT l_orderkey, l_linenumber, bool_text, CAST(bool_text AS BOOLEAN) AS bool_value,
+       ts_text, CAST(ts_text AS TIMESTAMP) AS ts_value, CAST(flag_text AS VARCHAR) AS flag_value
+FROM d
+""")
+def cast_other(spark, sf_dir):
+    li = S.table(spark, sf_dir, "lineitem")
+    d = li.select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_returnflag") == "R", F.lit("True")).otherwise(F.lit("False")).alias("bool_text"),
+        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("ts_text"),
+        F.col("l_returnflag").alias("flag_text"),
+    )
+    return d.select(
+        "l_orderkey", "l_linenumber",
+        "bool_text", casts.other_rule(F.col("bool_text"), "boolean").alias("bool_value"),
+        "ts_text", casts.other_rule(F.col("ts_text"), "timestamp_ntz").alias("ts_value"),
+        casts.other_rule(F.col("flag_text"), "string").alias("flag_value"),
+    )
+
+
+_LI_SELECTOR = "(l_orderkey + l_linenumber)"
+
+
+@register("trusted_typed", S.expected_typed_sql("lineitem", S.LINEITEM_SPEC, _LI_SELECTOR))
+def trusted_typed(spark, sf_dir):
+    li = S.table(spark, sf_dir, "lineitem")
+    text = S.render_text(li, S.LINEITEM_SPEC, F.col("l_orderkey") + F.col("l_linenumber"))
+    return casts.typed_projection(text, S.LINEITEM_SPEC)

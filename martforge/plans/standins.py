@@ -15,6 +15,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import LOAD_FULL, LOAD_MERGE, MERGE_UPSERT, ColumnSpec, TableSpec
+from ..functions.dates import ntz_lit
 from ..operators.marts import StarSpec
 
 DUE_LAG_DAYS = 12
@@ -53,11 +55,163 @@ def header(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def due_month_on_order_date(month_start: dt.date, month_end: dt.date):
     """The due-month range restated on the stored order date, so it can be pushed to the scan."""
-    lo = dt.datetime.combine(month_start - dt.timedelta(days=DUE_LAG_DAYS), dt.time())
-    hi = dt.datetime.combine(month_end - dt.timedelta(days=DUE_LAG_DAYS), dt.time())
+    lo = month_start - dt.timedelta(days=DUE_LAG_DAYS)
+    hi = month_end - dt.timedelta(days=DUE_LAG_DAYS)
     c = F.col("o_orderdate")
-    return (c >= F.lit(lo).cast("timestamp_ntz")) & (c < F.lit(hi).cast("timestamp_ntz"))
+    return (c >= ntz_lit(lo)) & (c < ntz_lit(hi))
 
 
 # SQL for the same derived header, used by the oracle queries.
 HEADER_SQL = f"(SELECT *, CAST(o_orderdate AS DATE) + {DUE_LAG_DAYS} AS o_duedate FROM orders)"
+
+
+# --- the test tables as delivered files ---------------------------------------
+
+def _cols(*items):
+    return tuple(ColumnSpec(source, kind) for source, kind in items)
+
+
+ORDERS_SPEC = TableSpec(
+    "orders.csv",
+    _cols(("O_ORDERKEY", "int"), ("O_CUSTKEY", "int"), ("O_ORDERSTATUS", "string"), ("O_TOTALPRICE", "float"),
+          ("O_ORDERDATE", "date"), ("O_ORDERPRIORITY", "string")),
+    keys=("O_ORDERKEY",),
+    load_mode=LOAD_MERGE,
+)
+LINEITEM_SPEC = TableSpec(
+    "lineitem.csv",
+    _cols(("L_ORDERKEY", "int"), ("L_PARTKEY", "int"), ("L_SUPPKEY", "int"), ("L_LINENUMBER", "int"),
+          ("L_QUANTITY", "float"), ("L_EXTENDEDPRICE", "float"), ("L_DISCOUNT", "float"), ("L_TAX", "float"),
+          ("L_RETURNFLAG", "string"), ("L_LINESTATUS", "string"), ("L_SHIPDATE", "date")),
+    keys=("L_ORDERKEY", "L_LINENUMBER"),
+    load_mode=LOAD_MERGE,
+)
+CUSTOMER_SPEC = TableSpec(
+    "customer.csv",
+    _cols(("C_CUSTKEY", "int"), ("C_NAME", "string"), ("C_NATIONKEY", "int"), ("C_ACCTBAL", "float"),
+          ("C_MKTSEGMENT", "string")),
+    keys=("C_CUSTKEY",),
+    load_mode=LOAD_FULL,
+)
+EVENTS_SPEC = TableSpec(
+    "events.csv",
+    _cols(("EVENT_ID", "int"), ("TS", "datetime"), ("USER_ID", "int"), ("EVENT_TYPE", "string"),
+          ("VALUE", "float"), ("PROPS", "string")),
+    keys=("EVENT_ID",),
+    load_mode=LOAD_MERGE,
+    merge_mode=MERGE_UPSERT,
+)
+
+# Dirty-text variants, chosen per row by ``selector % 4``:
+#   0 clean text; 1 ints get ".0", floats a decimal comma, dates a time of day;
+#   2 a single blank and 3 a single dash in non-key int/float/date columns.
+_CLEAN, _ALT, _BLANK, _DASH = 0, 1, 2, 3
+
+
+def _clean_text(c, kind: str):
+    if kind == "int":
+        return c.cast("string")
+    if kind == "float":
+        return c.cast("decimal(18,2)").cast("string")
+    if kind == "date":
+        return F.date_format(c, "yyyy-MM-dd")
+    if kind == "datetime":
+        return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return c.cast("string")
+
+
+def _clean_text_sql(c: str, kind: str) -> str:
+    if kind == "int":
+        return f"CAST({c} AS VARCHAR)"
+    if kind == "float":
+        return f"CAST(CAST({c} AS DECIMAL(18,2)) AS VARCHAR)"
+    if kind == "date":
+        return f"strftime({c}, '%Y-%m-%d')"
+    if kind == "datetime":
+        return f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f')"
+    return f"CAST({c} AS VARCHAR)"
+
+
+def render_text(df: DataFrame, spec: TableSpec, selector=None) -> DataFrame:
+    """Typed test rows -> the text a delivered file would hold (optionally dirty)."""
+    out = []
+    for col in spec.columns:
+        c, kind = F.col(col.lake), col.source_type
+        text = _clean_text(c, kind)
+        if selector is not None and kind in ("int", "float", "date"):
+            v = selector % 4
+            alt = {"int": F.concat(text, F.lit(".0")), "float": F.replace(text, F.lit("."), F.lit(",")),
+                   "date": F.concat(text, F.lit(" 00:00:00"))}[kind]
+            text = F.when(v == _ALT, alt).otherwise(text)
+            if col.lake not in spec.keys:
+                text = F.when(v == _BLANK, F.lit(" ")).when(v == _DASH, F.lit("-")).otherwise(text)
+        out.append(text.alias(col.lake))
+    return df.select(*out)
+
+
+def render_text_sql(source: str, spec: TableSpec, selector: str | None = None) -> str:
+    cols = []
+    for col in spec.columns:
+        kind = col.source_type
+        text = _clean_text_sql(col.lake, kind)
+        if selector is not None and kind in ("int", "float", "date"):
+            alt = {"int": f"{text} || '.0'", "float": f"replace({text}, '.', ',')",
+                   "date": f"{text} || ' 00:00:00'"}[kind]
+            nulls = "" if col.lake in spec.keys else f"WHEN ({selector}) % 4 = {_BLANK} THEN ' ' WHEN ({selector}) % 4 = {_DASH} THEN '-' "
+            text = f"CASE WHEN ({selector}) % 4 = {_ALT} THEN {alt} {nulls}ELSE {text} END"
+        cols.append(f"{text} AS {col.lake}")
+    return f"SELECT {', '.join(cols)} FROM {source}"
+
+
+_SQL_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "date": "DATE", "string": "VARCHAR",
+              "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+def expected_typed_sql(source: str, spec: TableSpec, selector: str | None = None, extra: str = "") -> str:
+    """What the typed projection of ``render_text_sql`` must give, computed from the typed source."""
+    cols = []
+    for col in spec.columns:
+        kind, target = col.source_type, _SQL_TYPES[col.target]
+        if kind == "float":
+            value = f"CAST(CAST({col.lake} AS DECIMAL(18,2)) AS DOUBLE)"
+        elif kind == "date":
+            value = f"CAST({col.lake} AS DATE)"
+        else:
+            value = f"CAST({col.lake} AS {target})"
+        if selector is not None and kind in ("int", "float", "date") and col.lake not in spec.keys:
+            value = f"CASE WHEN ({selector}) % 4 IN ({_BLANK}, {_DASH}) THEN NULL ELSE {value} END"
+        cols.append(f"{value} AS {col.lake}")
+    return f"SELECT {', '.join(cols)}{extra} FROM {source}"
+
+
+# --- the two-batch orders scenario -----------------------------------------------
+# Batch 1 holds every order but those with key % 10 = 0; batch 2 every order but
+# key % 10 = 1, each with its price raised by 1. Against batch 1, batch 2 inserts
+# the %10 = 0 orders, updates the rest and (snapshot merge) deletes the %10 = 1 ones.
+
+BATCH1_TIME = dt.datetime(2024, 8, 31, 21, 0, 0)
+BATCH2_TIME = dt.datetime(2024, 9, 5, 9, 0, 0)
+ORDERS_SELECTOR = "o_orderkey"
+
+
+def orders_batch_typed(spark: SparkSession, sf_dir: str, which: int) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    if which == 1:
+        return o.filter(F.col("o_orderkey") % 10 != 0)
+    return o.filter(F.col("o_orderkey") % 10 != 1).withColumn("o_totalprice", F.col("o_totalprice") + F.lit(1.0))
+
+
+def orders_batch_sql(which: int) -> str:
+    if which == 1:
+        return "(SELECT * FROM orders WHERE o_orderkey % 10 <> 0)"
+    return ("(SELECT * REPLACE (o_totalprice + 1.0 AS o_totalprice) FROM orders WHERE o_orderkey % 10 <> 1)")
+
+
+def orders_batch_text(spark: SparkSession, sf_dir: str, which: int) -> DataFrame:
+    df = orders_batch_typed(spark, sf_dir, which)
+    return render_text(df, ORDERS_SPEC, F.col(ORDERS_SELECTOR))
+
+
+def orders_expected_sql(which: int, stamp: dt.datetime | None = None) -> str:
+    extra = f", TIMESTAMP '{stamp.isoformat(sep=' ')}' AS partition_time" if stamp else ""
+    return expected_typed_sql(orders_batch_sql(which), ORDERS_SPEC, ORDERS_SELECTOR, extra)

@@ -47,6 +47,7 @@ def build_session(
         builder = builder.master(master)
         if master.startswith("local"):
             builder = builder.config("spark.ui.enabled", "false")
+            builder = builder.config("spark.ui.showConsoleProgress", "false")
             builder = builder.config("spark.driver.memory", os.environ.get("MARTFORGE_DRIVER_MEMORY", "16g"))
     for key, value in ENGINE_CONF.items():
         builder = builder.config(key, value)

@@ -7,14 +7,16 @@ same rows in DuckDB over the same parquet files; column names match.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import MERGE_SNAPSHOT, MERGE_UPSERT
 from ..functions import casts
-from ..functions.dates import month_range
-from ..operators import indicators, marts
+from ..functions.dates import month_range, ntz_lit
+from ..operators import dedup, indicators, marts, merge
 from . import standins as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -262,3 +264,94 @@ def trusted_typed(spark, sf_dir):
     li = S.table(spark, sf_dir, "lineitem")
     text = S.render_text(li, S.LINEITEM_SPEC, F.col("l_orderkey") + F.col("l_linenumber"))
     return casts.typed_projection(text, S.LINEITEM_SPEC)
+
+
+# --- de-duplication and merge (W1, A3, P7-P9, J4, M1-M5) --------------------------
+
+_LI_KEYS = ["l_orderkey", "l_linenumber"]
+_LI_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+            "l_linestatus"]
+
+
+def _desc(cols) -> str:
+    return ", ".join(f"{c} DESC NULLS LAST" for c in cols)
+
+
+@register("latest_per_key", f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
+                               ORDER BY {_desc(['l_shipdate'] + _LI_REST)}) AS rn
+  FROM lineitem)
+WHERE rn = 1
+""")
+def latest_per_key_q(spark, sf_dir):
+    return dedup.latest_per_key(S.table(spark, sf_dir, "lineitem"), _LI_KEYS, ["l_shipdate"])
+
+
+EVENTS_WATERMARK = dt.datetime(2024, 1, 29)
+
+
+@register("incremental_by_modified", f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id
+                               ORDER BY {_desc(['ts', 'event_id', 'event_type', 'value', 'props'])}) AS rn
+  FROM events WHERE ts > TIMESTAMP '{EVENTS_WATERMARK.isoformat(sep=' ')}')
+WHERE rn = 1
+""")
+def incremental_by_modified(spark, sf_dir):
+    changed = dedup.changed_since(S.table(spark, sf_dir, "events"), "ts", EVENTS_WATERMARK)
+    return dedup.latest_per_key(changed, ["user_id"], ["ts"])
+
+
+@register("merge_key_check", """
+SELECT l_orderkey, l_linenumber, COUNT(*) AS n_rows FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1
+""")
+def merge_key_check(spark, sf_dir):
+    return dedup.duplicate_keys(S.table(spark, sf_dir, "lineitem"), _LI_KEYS)
+
+
+def _stamped(df: DataFrame, stamp: dt.datetime) -> DataFrame:
+    return df.withColumn("partition_time", ntz_lit(stamp))
+
+
+def _merge_inputs(spark, sf_dir):
+    target = _stamped(S.orders_batch_typed(spark, sf_dir, 1), S.BATCH1_TIME)
+    batch = _stamped(S.orders_batch_typed(spark, sf_dir, 2), S.BATCH2_TIME)
+    return target, batch
+
+
+def _stamped_sql(which: int, stamp: dt.datetime) -> str:
+    return f"(SELECT *, TIMESTAMP '{stamp.isoformat(sep=' ')}' AS partition_time FROM {S.orders_batch_sql(which)})"
+
+
+_T_SQL, _S_SQL = _stamped_sql(1, S.BATCH1_TIME), _stamped_sql(2, S.BATCH2_TIME)
+_COUNTS_SQL = f"""
+  (SELECT COUNT(*) FROM {_S_SQL} s WHERE s.o_orderkey NOT IN (SELECT o_orderkey FROM {_T_SQL})) AS ins,
+  (SELECT COUNT(*) FROM {_S_SQL} s JOIN {_T_SQL} t ON s.o_orderkey = t.o_orderkey) AS upd,
+  (SELECT COUNT(*) FROM {_T_SQL} t WHERE t.o_orderkey NOT IN (SELECT o_orderkey FROM {_S_SQL})) AS del
+"""
+
+
+@register("merge_classify", f"""
+WITH c AS (SELECT {_COUNTS_SQL})
+SELECT 'I' AS action, ins AS n_rows FROM c UNION ALL SELECT 'U', upd FROM c UNION ALL SELECT 'D', del FROM c
+""")
+def merge_classify(spark, sf_dir):
+    target, batch = _merge_inputs(spark, sf_dir)
+    return merge.counts_as_rows(merge.change_counts(target, batch, ["o_orderkey"]))
+
+
+@register("merge_snapshot", f"SELECT * FROM {_S_SQL}")
+def merge_snapshot(spark, sf_dir):
+    target, batch = _merge_inputs(spark, sf_dir)
+    return merge.apply_merge(target, batch, ["o_orderkey"], MERGE_SNAPSHOT)
+
+
+@register("merge_upsert", f"""
+SELECT * FROM {_S_SQL}
+UNION ALL
+SELECT * FROM {_T_SQL} t WHERE t.o_orderkey NOT IN (SELECT o_orderkey FROM {_S_SQL})
+""")
+def merge_upsert(spark, sf_dir):
+    target, batch = _merge_inputs(spark, sf_dir)
+    return merge.apply_merge(target, batch, ["o_orderkey"], MERGE_UPSERT)

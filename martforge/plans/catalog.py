@@ -9,14 +9,18 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import MERGE_SNAPSHOT, MERGE_UPSERT
+from ..config import LOAD_FULL, LOAD_MERGE, MERGE_SNAPSHOT, MERGE_UPSERT
 from ..functions import casts
 from ..functions.dates import month_range, ntz_lit
-from ..operators import dedup, indicators, marts, merge
+from ..operators import audit, dedup, indicators, marts, merge
+from ..session import work_dir
+from ..sources import files, flatfile, layers
+from ..streaming import file_stream
 from . import standins as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -355,3 +359,128 @@ SELECT * FROM {_T_SQL} t WHERE t.o_orderkey NOT IN (SELECT o_orderkey FROM {_S_S
 def merge_upsert(spark, sf_dir):
     target, batch = _merge_inputs(spark, sf_dir)
     return merge.apply_merge(target, batch, ["o_orderkey"], MERGE_UPSERT)
+
+
+# --- sources, layers and the batch load (S1-S9, S12-S14, P1-P3, P5-P7, A1, A2) -----
+
+_CUST_TEXT_SQL = S.render_text_sql("customer", S.CUSTOMER_SPEC, "c_custkey")
+
+
+def _customer_file(spark, sf_dir) -> str:
+    text = S.render_text(S.table(spark, sf_dir, "customer"), S.CUSTOMER_SPEC, F.col("c_custkey"))
+    return S.write_batch_file(spark, text, S.CUSTOMER_SPEC, "customer.csv")
+
+
+@register("land_csv_ingest", _CUST_TEXT_SQL)
+def land_csv_ingest(spark, sf_dir):
+    return flatfile.read_flat_file(spark, _customer_file(spark, sf_dir), S.CUSTOMER_SPEC)
+
+
+_T1 = S.BATCH1_TIME.isoformat(sep=" ")
+
+
+@register("land_stamp", f"""
+SELECT CAST(0 AS BIGINT) AS sys_change_version, 'I' AS sys_change_operation,
+       CAST(0 AS BIGINT) AS sys_change_creation_version, TIMESTAMP '{_T1}' AS commit_time,
+       c.*, TIMESTAMP '{_T1}' AS partition_time
+FROM ({_CUST_TEXT_SQL}) c
+""")
+def land_stamp(spark, sf_dir):
+    text = flatfile.read_flat_file(spark, _customer_file(spark, sf_dir), S.CUSTOMER_SPEC)
+    return layers.stamp_land(text, S.BATCH1_TIME)
+
+
+@register("raw_history", f"""
+SELECT '{S.BATCH1_TIME:%Y-%m}' AS partition_month, '{S.BATCH_IDS[0]}' AS batch_id,
+       TIMESTAMP '{_T1}' AS partition_time, COUNT(*) AS n_rows FROM {S.orders_batch_sql(1)}
+UNION ALL
+SELECT '{S.BATCH2_TIME:%Y-%m}', '{S.BATCH_IDS[1]}', TIMESTAMP '{S.BATCH2_TIME.isoformat(sep=' ')}', COUNT(*)
+FROM {S.orders_batch_sql(2)}
+""")
+def raw_history(spark, sf_dir):
+    layout = S.orders_pipeline(spark, sf_dir)
+    raw = layers.read_raw(spark, layout, S.ORDERS_SPEC)
+    return raw.groupBy("partition_month", "batch_id", "partition_time").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("batch_watermark", f"""
+SELECT '{S.ORDERS_SPEC.table_name}' AS table_name, TIMESTAMP '{S.BATCH2_TIME.isoformat(sep=' ')}' AS partition_time,
+       CAST(2 AS BIGINT) AS n_batches
+UNION ALL
+SELECT '{S.CUSTOMER_SPEC.table_name}', TIMESTAMP '{_T1}', CAST(1 AS BIGINT)
+""")
+def batch_watermark(spark, sf_dir):
+    return layers.latest_watermarks(spark, S.orders_pipeline(spark, sf_dir))
+
+
+@register("trusted_full_load", S.orders_expected_sql(2, S.BATCH2_TIME))
+def trusted_full_load(spark, sf_dir):
+    layout = S.orders_pipeline(spark, sf_dir, LOAD_FULL)
+    return layers.read_trusted(spark, layout, replace(S.ORDERS_SPEC, load_mode=LOAD_FULL))
+
+
+@register("trusted_merge_load", S.orders_expected_sql(2, S.BATCH2_TIME))
+def trusted_merge_load(spark, sf_dir):
+    layout = S.orders_pipeline(spark, sf_dir, LOAD_MERGE)
+    return layers.read_trusted(spark, layout, S.ORDERS_SPEC)
+
+
+@register("load_audit", f"""
+WITH c AS (SELECT {_COUNTS_SQL}, (SELECT COUNT(*) FROM {_T_SQL}) AS n1, (SELECT COUNT(*) FROM {_S_SQL}) AS n2)
+SELECT '{S.BATCH_IDS[0]}' AS batch_id, 'MERGE' AS operation, 'OK' AS status, n1 AS rows_in, n1 AS rows_inserted,
+       CAST(0 AS BIGINT) AS rows_updated, CAST(0 AS BIGINT) AS rows_deleted, CAST(0 AS BIGINT) AS null_keys FROM c
+UNION ALL
+SELECT '{S.BATCH_IDS[1]}', 'MERGE', 'OK', n2, ins, upd, del, 0 FROM c
+""")
+def load_audit(spark, sf_dir):
+    layout = S.orders_pipeline(spark, sf_dir, LOAD_MERGE)
+    rows = audit.read_audit(spark, layout.audit)
+    return rows.filter((F.col("table_name") == S.ORDERS_SPEC.table_name) & (F.col("operation") == "MERGE")).select(
+        "batch_id", "operation", "status", "rows_in", "rows_inserted", "rows_updated", "rows_deleted", "null_keys"
+    )
+
+
+ARCHIVE_DATES = (dt.date(2024, 9, 4), dt.date(2024, 9, 5))
+
+
+@register("archive_by_date", f"""
+SELECT DATE '{ARCHIVE_DATES[0]}' AS ingest_date, COUNT(*) AS n_rows FROM customer WHERE c_custkey % 2 = 0
+UNION ALL
+SELECT DATE '{ARCHIVE_DATES[1]}', COUNT(*) FROM customer WHERE c_custkey % 2 = 1
+""")
+def archive_by_date(spark, sf_dir):
+    folder = work_dir(spark, "archive")
+    text = flatfile.read_flat_file(spark, _customer_file(spark, sf_dir), S.CUSTOMER_SPEC)
+    for parity, day in enumerate(ARCHIVE_DATES):
+        part = text.filter(casts.int_rule(F.col("c_custkey")) % 2 == parity)
+        files.archive_by_date(part, folder, day)
+    archived = spark.read.parquet(folder)
+    return archived.groupBy(F.col("ingest_date").cast("date").alias("ingest_date")).agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+
+
+@register("new_files_anti", """
+SELECT DISTINCT 'batch_' || CAST(o_orderkey % 100 AS VARCHAR) AS file_name FROM orders
+EXCEPT
+SELECT DISTINCT 'batch_' || CAST(o_orderkey % 100 AS VARCHAR) FROM orders WHERE o_orderkey % 100 < 60
+""")
+def new_files_anti(spark, sf_dir):
+    o = S.table(spark, sf_dir, "orders")
+    name = F.concat(F.lit("batch_"), (F.col("o_orderkey") % 100).cast("string")).alias("file_name")
+    candidates = o.select(name)
+    ledger = o.filter(F.col("o_orderkey") % 100 < 60).select(name)
+    return files.new_files(candidates, ledger)
+
+
+@register("stream_ingest", S.expected_typed_sql("events", S.EVENTS_SPEC, "event_id"))
+def stream_ingest(spark, sf_dir):
+    landing = work_dir(spark, "stream", "landing")
+    text = S.render_text(S.table(spark, sf_dir, "events"), S.EVENTS_SPEC, F.col("event_id"))
+    flatfile.write_flat_file(text.repartitionByRange(4, "event_id"), landing, S.EVENTS_SPEC)
+    layout = layers.LakeLayout(work_dir(spark, "stream", "lake"))
+    file_stream.ingest_stream(
+        spark, S.EVENTS_SPEC, landing, layout, work_dir(spark, "stream", "checkpoint"),
+        clock=lambda epoch: S.BATCH1_TIME + dt.timedelta(hours=epoch), max_files_per_trigger=2,
+    )
+    return layers.read_trusted(spark, layout, S.EVENTS_SPEC).drop("partition_time")

@@ -215,3 +215,47 @@ def orders_batch_text(spark: SparkSession, sf_dir: str, which: int) -> DataFrame
 def orders_expected_sql(which: int, stamp: dt.datetime | None = None) -> str:
     extra = f", TIMESTAMP '{stamp.isoformat(sep=' ')}' AS partition_time" if stamp else ""
     return expected_typed_sql(orders_batch_sql(which), ORDERS_SPEC, ORDERS_SELECTOR, extra)
+
+
+# --- pipeline runs over the test tables ------------------------------------------
+
+BATCH_IDS = ("000001", "000002")
+_RUNS: dict[tuple, str] = {}
+
+
+def write_batch_file(spark: SparkSession, text: DataFrame, spec: TableSpec, name: str) -> str:
+    """Write a text batch as a delivered ``;`` file set in a fresh shared folder."""
+    from ..session import work_dir
+    from ..sources.flatfile import write_flat_file
+
+    path = f"{work_dir(spark, 'landing')}/{name}"
+    write_flat_file(text, path, spec)
+    return path
+
+
+def orders_pipeline(spark: SparkSession, sf_dir: str, load_mode: str = LOAD_MERGE, cached: bool = True):
+    """Both orders batches as files through land -> raw -> trusted, plus one customer load.
+
+    Returns the lake layout. Runs once per session, table folder and mode
+    unless ``cached`` is false.
+    """
+    from dataclasses import replace
+
+    from ..session import work_dir
+    from ..sources.flatfile import read_flat_file
+    from ..sources.layers import LakeLayout
+    from .load import load_batch
+
+    key = (spark.sparkContext.applicationId, sf_dir, load_mode)
+    if cached and key in _RUNS:
+        return LakeLayout(_RUNS[key])
+    spec = replace(ORDERS_SPEC, load_mode=load_mode)
+    layout = LakeLayout(work_dir(spark, "lake"))
+    for which, batch_id, stamp in ((1, BATCH_IDS[0], BATCH1_TIME), (2, BATCH_IDS[1], BATCH2_TIME)):
+        path = write_batch_file(spark, orders_batch_text(spark, sf_dir, which), spec, f"orders_{batch_id}.csv")
+        load_batch(spark, spec, read_flat_file(spark, path, spec), layout, batch_id, stamp)
+    cust = render_text(table(spark, sf_dir, "customer"), CUSTOMER_SPEC, F.col("c_custkey"))
+    path = write_batch_file(spark, cust, CUSTOMER_SPEC, "customer.csv")
+    load_batch(spark, CUSTOMER_SPEC, read_flat_file(spark, path, CUSTOMER_SPEC), layout, BATCH_IDS[0], BATCH1_TIME)
+    _RUNS[key] = layout.root
+    return layout

@@ -14,7 +14,17 @@ from pyspark.sql import functions as F
 from ..config import TableSpec
 from ..functions.casts import na_to_null
 
-CSV_OPTIONS = {"sep": ";", "header": "true", "quote": '"', "escape": '"', "inferSchema": "false"}
+# Blanks are data (a single blank means NULL to the cast rules), so the
+# writer must not trim them and the reader must keep them.
+CSV_OPTIONS = {
+    "sep": ";",
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "inferSchema": "false",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def read_flat_file(spark: SparkSession, path: str | list[str], spec: TableSpec, **options: str) -> DataFrame:

@@ -42,7 +42,7 @@ def int_rule(c: Column, target: str = "bigint", strict: bool = True) -> Column:
     ``'12.0'`` (a pandas-stringified int column with blanks) and ``'12.7'``
     both give 12: the text is cut, never rounded.
     """
-    head = F.split_part(c, F.lit("."), F.lit(1))
+    head = F.substring_index(c, ".", 1)  # = SPLIT(x, '.')[0], without building an array
     cast = head.cast(target) if strict else head.try_cast(target)
     return F.when(_is_marker(c), F.lit(None)).otherwise(cast)
 

@@ -49,16 +49,18 @@ def classify_changes(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -
         .when(F.col("__in_batch"), F.lit(INSERT))
         .otherwise(F.lit(DELETE))
         .alias("action"),
+        F.lit(False).alias("null_key"),
     )
-    null_deletes = t.filter(~present).select(*keys, F.lit(DELETE).alias("action"))
-    null_inserts = s.filter(~present).select(*keys, F.lit(INSERT).alias("action"))
+    null_deletes = t.filter(~present).select(*keys, F.lit(DELETE).alias("action"), F.lit(True).alias("null_key"))
+    null_inserts = s.filter(~present).select(*keys, F.lit(INSERT).alias("action"), F.lit(True).alias("null_key"))
     return matched.unionByName(null_deletes).unionByName(null_inserts)
 
 
 def change_counts(target: DataFrame, batch: DataFrame, keys: Sequence[str], mode: str = MERGE_SNAPSHOT) -> DataFrame:
-    """One row: ``rows_inserted``, ``rows_updated``, ``rows_deleted``.
+    """One row: ``rows_inserted``, ``rows_updated``, ``rows_deleted``, ``null_keys``.
 
-    In ``upsert`` mode nothing is deleted.
+    In ``upsert`` mode nothing is deleted. ``null_keys`` counts batch rows
+    with a NULL key part (inserted, never matched).
     """
     actions = classify_changes(target, batch, keys)
     deleted = F.count(F.when(F.col("action") == DELETE, 1)) if mode == MERGE_SNAPSHOT else F.lit(0).cast("bigint")
@@ -66,6 +68,7 @@ def change_counts(target: DataFrame, batch: DataFrame, keys: Sequence[str], mode
         F.count(F.when(F.col("action") == INSERT, 1)).alias("rows_inserted"),
         F.count(F.when(F.col("action") == UPDATE, 1)).alias("rows_updated"),
         deleted.alias("rows_deleted"),
+        F.count(F.when(F.col("null_key") & (F.col("action") == INSERT), 1)).alias("null_keys"),
     )
 
 

@@ -5,9 +5,9 @@ The reference's daily load per table, as Spark jobs:
 1. stamp the text batch and write it into the raw history (one pass over the file);
 2. record row count and stamp (watermark) from the written raw partition;
 3. full load: type the rows of this stamp and write them as the new snapshot;
-   merge: type the rows from this stamp on, keep the latest row per key,
-   classify against the current snapshot (keys only) and write the merged
-   snapshot;
+   merge: type the rows from this stamp on, keep the latest row per key and
+   write the merged snapshot, then classify it against the current snapshot
+   on the key columns only (inserted / updated / deleted);
 4. commit the snapshot and append the audit row.
 
 Each write is the barrier for the next step (no sleeps). Everything after
@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import LOAD_FULL, TableSpec
+from ..config import LOAD_FULL, MERGE_SNAPSHOT, TableSpec
 from ..functions.casts import typed_projection
 from ..operators.audit import ERROR, OK, SKIPPED, AuditRecord, append_audit
 from ..operators.dedup import latest_per_key
@@ -47,7 +47,7 @@ class BatchResult:
     status: str = OK
 
 
-def _null_key_count(df: DataFrame, keys) -> F.Column:
+def _null_key_count(keys) -> F.Column:
     cond = F.lit(False)
     for k in keys:
         cond = cond | F.col(k).isNull()
@@ -78,7 +78,7 @@ def load_batch(
         land = L.stamp_land(text, batch_time)
         L.append_raw(land, layout, spec, batch_id)
         batch_raw = L.read_raw(spark, layout, spec).filter(F.col("batch_id") == str(batch_id))
-        mark = L.record_watermark(batch_raw, layout, spec, batch_id).collect()[0]
+        mark = L.record_watermark(spark, batch_raw, layout, spec, batch_id)
         stamp, rows_in = mark["partition_time"], int(mark["rows_in"])
         audits.append(AuditRecord(table, str(batch_id), "INSERT RAW", OK, stamp, rows_in=rows_in))
         if rows_in == 0:
@@ -87,28 +87,26 @@ def load_batch(
 
         batch = typed_batch(spark, layout, spec, stamp)
         target = L.read_trusted(spark, layout, spec)
+        version = f"{batch_id}-{uuid.uuid4().hex[:8]}"
         if spec.load_mode == LOAD_FULL:
-            row = target.agg(F.count(F.lit(1)).alias("n")).collect()[0]
-            counts = {"rows_inserted": None, "rows_updated": 0, "rows_deleted": int(row["n"])}
-            new = batch
+            L.write_snapshot(batch, layout, spec, version)
+            new = L.read_trusted_version(spark, layout, spec, version)
+            n_new = new.agg(F.count(F.lit(1)).alias("n"), _null_key_count(spec.keys).alias("null_keys")).collect()[0]
+            n_old = target.agg(F.count(F.lit(1)).alias("n")).collect()[0]
+            counts = {"rows_inserted": n_new["n"], "rows_updated": 0, "rows_deleted": n_old["n"],
+                      "null_keys": n_new["null_keys"]}
             operation = "FULL LOAD"
         else:
-            counts = change_counts(target, batch, spec.keys, spec.merge_mode).collect()[0].asDict()
-            new = apply_merge(target, batch, spec.keys, spec.merge_mode)
+            L.write_snapshot(apply_merge(target, batch, spec.keys, spec.merge_mode), layout, spec, version)
+            # the snapshot merge result is the batch itself: classify against what was written
+            source = L.read_trusted_version(spark, layout, spec, version) if spec.merge_mode == MERGE_SNAPSHOT else batch
+            counts = change_counts(target, source, spec.keys, spec.merge_mode).collect()[0].asDict()
             operation = "MERGE"
-        version = f"{batch_id}-{uuid.uuid4().hex[:8]}"
-        L.write_snapshot(new, layout, spec, version)
-        written = L.read_trusted_version(spark, layout, spec, version)
-        stats = written.agg(
-            F.count(F.lit(1)).alias("n"), _null_key_count(written, spec.keys).alias("null_keys")
-        ).collect()[0]
         L.commit_snapshot(spark, layout, spec, version, batch_id, stamp)
-        if counts["rows_inserted"] is None:
-            counts["rows_inserted"] = int(stats["n"])
         result = BatchResult(
             table, str(batch_id), stamp, rows_in,
             int(counts["rows_inserted"]), int(counts["rows_updated"]), int(counts["rows_deleted"]),
-            int(stats["null_keys"]), version,
+            int(counts["null_keys"]), version,
         )
         audits.append(AuditRecord(
             table, str(batch_id), operation, OK, stamp, rows_in, result.rows_inserted, result.rows_updated,

@@ -205,20 +205,16 @@ WATERMARK_SCHEMA = T.StructType(
 )
 
 
-def record_watermark(land: DataFrame, layout: LakeLayout, spec: TableSpec, batch_id: str) -> DataFrame:
+def record_watermark(spark: SparkSession, batch: DataFrame, layout: LakeLayout, spec: TableSpec, batch_id: str):
     """Row count (A1) and max stamp (A2) of a landed batch, appended to the watermark table (S14).
 
-    One aggregate job over the batch; the result is one row, written by Spark
-    (no driver round trip).
+    One aggregate job over the batch brings back one row; it is appended as
+    the watermark and returned.
     """
-    mark = land.agg(F.max("partition_time").alias("partition_time"), F.count(F.lit(1)).alias("rows_in")).select(
-        F.lit(spec.table_name).alias("table_name"),
-        F.lit(str(batch_id)).alias("batch_id"),
-        "partition_time",
-        "rows_in",
-    )
-    mark.coalesce(1).write.mode("append").parquet(layout.watermarks)
-    return mark
+    row = batch.agg(F.max("partition_time").alias("partition_time"), F.count(F.lit(1)).alias("rows_in")).collect()[0]
+    mark = (spec.table_name, str(batch_id), row["partition_time"], int(row["rows_in"]))
+    spark.createDataFrame([mark], WATERMARK_SCHEMA).coalesce(1).write.mode("append").parquet(layout.watermarks)
+    return row
 
 
 def read_watermarks(spark: SparkSession, layout: LakeLayout) -> DataFrame:

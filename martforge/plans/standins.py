@@ -93,6 +93,19 @@ CUSTOMER_SPEC = TableSpec(
     keys=("C_CUSTKEY",),
     load_mode=LOAD_FULL,
 )
+PART_SPEC = TableSpec(
+    "part.csv",
+    _cols(("P_PARTKEY", "int"), ("P_NAME", "string"), ("P_BRAND", "string"), ("P_TYPE", "string"),
+          ("P_SIZE", "int"), ("P_RETAILPRICE", "float")),
+    keys=("P_PARTKEY",),
+    load_mode=LOAD_FULL,
+)
+SUPPLIER_SPEC = TableSpec(
+    "supplier.csv",
+    _cols(("S_SUPPKEY", "int"), ("S_NAME", "string"), ("S_NATIONKEY", "int"), ("S_ACCTBAL", "float")),
+    keys=("S_SUPPKEY",),
+    load_mode=LOAD_FULL,
+)
 EVENTS_SPEC = TableSpec(
     "events.csv",
     _cols(("EVENT_ID", "int"), ("TS", "datetime"), ("USER_ID", "int"), ("EVENT_TYPE", "string"),

@@ -42,6 +42,9 @@ class LakeLayout:
     def trusted(self, spec: TableSpec) -> str:
         return f"{self.root}/trusted/{spec.table_name}"
 
+    def refined(self, name: str) -> str:
+        return f"{self.root}/refined/{name}"
+
     def archive(self, spec: TableSpec) -> str:
         return f"{self.root}/archive/{spec.table_name}"
 
@@ -142,17 +145,17 @@ COMMIT_SCHEMA = T.StructType(
 )
 
 
-def _commits_path(layout: LakeLayout, spec: TableSpec) -> str:
-    return f"{layout.trusted(spec)}/_commits"
+def _commits_path(root: str) -> str:
+    return f"{root}/_commits"
 
 
-def current_version(spark: SparkSession, layout: LakeLayout, spec: TableSpec) -> str | None:
-    """The latest committed version name, or None before the first load.
+def current_version_at(spark: SparkSession, root: str) -> str | None:
+    """The latest committed version below ``root``, or None before the first commit.
 
-    Reads the commit log (one row per load) and brings back one value.
+    Reads the commit log (one row per commit) and brings back one value.
     """
     try:
-        commits = spark.read.schema(COMMIT_SCHEMA).parquet(_commits_path(layout, spec))
+        commits = spark.read.schema(COMMIT_SCHEMA).parquet(_commits_path(root))
         row = commits.agg(F.max_by("version", F.struct("committed_at", "version")).alias("v")).collect()[0]
     except Exception as exc:  # no commit log yet
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
@@ -161,6 +164,34 @@ def current_version(spark: SparkSession, layout: LakeLayout, spec: TableSpec) ->
     return row["v"]
 
 
+def write_version(df: DataFrame, root: str, version: str, sort_keys=()) -> str:
+    """Write a new version folder (never the one being read); returns its path."""
+    path = f"{root}/v={version}"
+    out = df.sortWithinPartitions(*sort_keys) if sort_keys else df
+    out.write.mode("overwrite").parquet(path)
+    return path
+
+
+def commit_version(spark: SparkSession, root: str, version: str, batch_id: str, stamp: dt.datetime | None) -> None:
+    """Make a written version current: append its commit row."""
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    row = spark.createDataFrame([(version, str(batch_id), stamp, now)], COMMIT_SCHEMA)
+    row.coalesce(1).write.mode("append").parquet(_commits_path(root))
+
+
+def read_current(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The current version below ``root`` (None before the first commit)."""
+    version = current_version_at(spark, root)
+    if version is None:
+        return None
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(f"{root}/v={version}")
+
+
+def current_version(spark: SparkSession, layout: LakeLayout, spec: TableSpec) -> str | None:
+    return current_version_at(spark, layout.trusted(spec))
+
+
 def trusted_schema(spec: TableSpec) -> T.StructType:
     return T.StructType(spec.typed_schema.fields + [T.StructField("partition_time", T.TimestampNTZType(), True)])
 
@@ -171,26 +202,19 @@ def read_trusted_version(spark: SparkSession, layout: LakeLayout, spec: TableSpe
 
 def read_trusted(spark: SparkSession, layout: LakeLayout, spec: TableSpec) -> DataFrame:
     """The current trusted snapshot; an empty typed frame before the first load."""
-    version = current_version(spark, layout, spec)
-    if version is None:
-        return spark.createDataFrame([], trusted_schema(spec))
-    return read_trusted_version(spark, layout, spec, version)
+    df = read_current(spark, layout.trusted(spec), trusted_schema(spec))
+    return df if df is not None else spark.createDataFrame([], trusted_schema(spec))
 
 
 def write_snapshot(df: DataFrame, layout: LakeLayout, spec: TableSpec, version: str) -> str:
-    """Write a new snapshot folder (never over the one being read); returns its path."""
-    path = f"{layout.trusted(spec)}/v={version}"
-    df.sortWithinPartitions(*spec.keys).write.mode("overwrite").parquet(path)
-    return path
+    """Write a new trusted snapshot, rows sorted by key inside each file."""
+    return write_version(df, layout.trusted(spec), version, spec.keys)
 
 
 def commit_snapshot(
     spark: SparkSession, layout: LakeLayout, spec: TableSpec, version: str, batch_id: str, stamp: dt.datetime | None
 ) -> None:
-    """Make a written snapshot current: append its commit row."""
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    row = spark.createDataFrame([(version, str(batch_id), stamp, now)], COMMIT_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(_commits_path(layout, spec))
+    commit_version(spark, layout.trusted(spec), version, batch_id, stamp)
 
 
 # --- state tables -------------------------------------------------------------

@@ -37,6 +37,9 @@ def duck(sf_dir: str):
     return con
 
 
+EXACT = os.environ.get("MARTFORGE_EXACT_FLOATS") == "1"
+
+
 def norm(v):
     if v is None:
         return None
@@ -45,7 +48,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return repr(v) if EXACT else float(f"{v:.9g}")
     if isinstance(v, decimal.Decimal):
         return float(f"{float(v):.9g}")
     if isinstance(v, dt.datetime):
@@ -57,6 +60,13 @@ def norm(v):
     return v
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE", "float": "FLOAT",
+    "string": "VARCHAR", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+    "boolean": "BOOLEAN",
+}
+
+
 def _key(row):
     return tuple((x is None, str(type(x)), str(x)) for x in row)
 
@@ -69,9 +79,15 @@ def compare(spark, con, name, fn, sql, sf_dir):
     t1 = time.time()
     res = con.execute(sql)
     d_cols = [d[0] for d in res.description]
+    d_types = {d[0]: str(d[1]) for d in res.description}
+    s_types = {n: SPARK_TO_DUCK.get(t, t) for n, t in sdf.dtypes}
+    out_types = {n: (s_types[n], d_types.get(n)) for n in s_types if s_types[n] != d_types.get(n)}
     d_rows = [tuple(norm(v) for v in r) for r in res.fetchall()]
     out = {"name": name, "spark_rows": len(s_rows), "oracle_rows": len(d_rows), "spark_sec": round(t1 - t0, 2)}
     out["cols_match"] = sorted(s_cols) == sorted(d_cols)
+    out["types_match"] = not out_types
+    if out_types:
+        out["type_diffs"] = out_types
     if out["cols_match"]:
         order = sorted(range(len(s_cols)), key=lambda i: s_cols[i])
         d_order = sorted(range(len(d_cols)), key=lambda i: d_cols[i])

@@ -82,20 +82,18 @@ def typed_projection(df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ("p
     return df.select(*typed_columns(spec, strict=True), *extra)
 
 
-def quarantine_split(
-    df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ("partition_time",)
-) -> tuple[DataFrame, DataFrame]:
-    """Typed rows and rejected rows, without failing the load.
+def flag_rows(df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ("partition_time",)) -> DataFrame:
+    """Typed columns (lenient), the input text of every column (``__text_<name>``) and ``bad_column``.
 
-    A row is rejected when any column has input text but no typed value
-    (a lenient cast turned it into NULL). The float rule is lenient in the
-    reference, so a bad float is not a rejection. Rejected rows keep their
-    text and name the first failing column.
+    ``bad_column`` names the first column whose text is present (not NULL,
+    not a NULL marker) but does not cast; NULL when the row is good. The float
+    rule is lenient in the reference, so a bad float is not a rejection.
+    One pass; split it with ``filter`` or write it partitioned by status.
     """
     extra = [F.col(k) for k in keep if k in df.columns]
     checked = [c for c in spec.columns if c.source_type != "float"]
     typed = df.select(
-        *[F.col(c.lake).alias(f"__text_{c.lake}") for c in checked],
+        *[F.col(c.lake).alias(f"__text_{c.lake}") for c in spec.columns],
         *typed_columns(spec, strict=False),
         *extra,
     )
@@ -104,11 +102,17 @@ def quarantine_split(
                & F.col(c.lake).isNull(), F.lit(c.lake))
         for c in checked
     ]
-    flagged = typed.withColumn("__bad_column", F.coalesce(*bad, F.lit(None).cast("string")) if bad else F.lit(None).cast("string"))
-    good = flagged.filter(F.col("__bad_column").isNull()).select(*spec.lake_columns, *[k for k in keep if k in df.columns])
-    rejected = flagged.filter(F.col("__bad_column").isNotNull()).select(
-        *[F.col(f"__text_{c.lake}").alias(c.lake) for c in checked],
-        *[k for k in keep if k in df.columns],
-        F.col("__bad_column").alias("bad_column"),
+    return typed.withColumn("bad_column", F.coalesce(*bad, F.lit(None).cast("string")))
+
+
+def quarantine_split(
+    df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ("partition_time",)
+) -> tuple[DataFrame, DataFrame]:
+    """Typed rows and rejected rows (their text and the failing column), without failing the load."""
+    kept = [k for k in keep if k in df.columns]
+    flagged = flag_rows(df, spec, keep)
+    good = flagged.filter(F.col("bad_column").isNull()).select(*spec.lake_columns, *kept)
+    rejected = flagged.filter(F.col("bad_column").isNotNull()).select(
+        *[F.col(f"__text_{c.lake}").alias(c.lake) for c in spec.columns], *kept, "bad_column"
     )
     return good, rejected

@@ -484,3 +484,57 @@ def stream_ingest(spark, sf_dir):
         clock=lambda epoch: S.BATCH1_TIME + dt.timedelta(hours=epoch), max_files_per_trigger=2,
     )
     return layers.read_trusted(spark, layout, S.EVENTS_SPEC).drop("partition_time")
+
+
+# --- refined marts from loaded files (entry points A + B end to end) --------------
+
+_LI_T = S.typed_sql("lineitem", S.LINEITEM_SPEC)
+_PA_T = S.typed_sql("part", S.PART_SPEC)
+_SU_T = S.typed_sql("supplier", S.SUPPLIER_SPEC)
+_CU_T = S.typed_sql("customer", S.CUSTOMER_SPEC)
+_HE_T = (f"(SELECT *, o_orderdate + {S.DUE_LAG_DAYS} AS o_duedate "
+         f"FROM {S.typed_sql('orders', S.ORDERS_SPEC)})")
+
+
+def _refined(name: str) -> Query:
+    def run(spark, sf_dir):
+        from .refresh import read_mart
+
+        return read_mart(spark, S.star_pipeline(spark, sf_dir), name)
+
+    run.__name__ = f"refined_{name}"
+    return run
+
+
+register("refined_pedidos", f"""
+SELECT l.*, h.o_custkey, h.o_orderstatus, h.o_totalprice, h.o_orderdate, h.o_orderpriority, h.o_duedate
+FROM {_LI_T} l JOIN {_HE_T} h ON l.l_orderkey = h.o_orderkey
+""")(_refined("pedidos"))
+register("refined_cliente", f"SELECT * FROM {_CU_T}")(_refined("cliente"))
+register("refined_produto", f"SELECT * FROM {_PA_T}")(_refined("produto"))
+register("refined_tempo", f"""
+SELECT {_date_parts_sql('h.o_orderdate', 'order')}, {_date_parts_sql('h.o_duedate', 'due')},
+       {_date_parts_sql('l.l_shipdate', 'ship')}
+FROM {_PA_T} p JOIN {_LI_T} l ON p.p_partkey = l.l_partkey JOIN {_HE_T} h ON l.l_orderkey = h.o_orderkey
+""")(_refined("tempo"))
+register("refined_vendedor", f"""
+SELECT DISTINCT l.l_suppkey, s.s_name, s.s_nationkey, s.s_acctbal
+FROM {_LI_T} l JOIN {_SU_T} s ON l.l_suppkey = s.s_suppkey
+""")(_refined("vendedor"))
+
+
+# --- quarantine split (D3 option): bad text reported, the load goes on ------------
+
+@register("trusted_quarantine", f"""
+SELECT CASE WHEN {_V} % 7 = 0 THEN 'l_suppkey' END AS bad_column, COUNT(*) AS n_rows
+FROM lineitem GROUP BY 1
+""")
+def trusted_quarantine(spark, sf_dir):
+    li = S.table(spark, sf_dir, "lineitem")
+    # every seventh line (by key) gets a supplier id that is not a number
+    li = li.withColumn("__bad", (F.col("l_orderkey") + F.col("l_linenumber")) % 7 == 0)
+    text = S.render_text(li, S.LINEITEM_SPEC, F.col("l_orderkey") + F.col("l_linenumber"), keep=("__bad",))
+    text = text.withColumn("l_suppkey", F.when(F.col("__bad"), F.concat(F.lit("S-"), F.col("l_suppkey"))).otherwise(
+        F.col("l_suppkey"))).drop("__bad")
+    flagged = casts.flag_rows(text, S.LINEITEM_SPEC)
+    return flagged.groupBy("bad_column").agg(F.count(F.lit(1)).alias("n_rows"))

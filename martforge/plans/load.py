@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import LOAD_FULL, MERGE_SNAPSHOT, TableSpec
-from ..functions.casts import typed_projection
+from ..functions.casts import flag_rows, typed_projection
 from ..operators.audit import ERROR, OK, SKIPPED, AuditRecord, append_audit
 from ..operators.dedup import latest_per_key
 from ..operators.merge import apply_merge, change_counts
@@ -45,6 +45,7 @@ class BatchResult:
     null_keys: int = 0
     version: str | None = None
     status: str = OK
+    rows_rejected: int = 0
 
 
 def _null_key_count(keys) -> F.Column:
@@ -54,13 +55,35 @@ def _null_key_count(keys) -> F.Column:
     return F.count(F.when(cond, 1))
 
 
-def typed_batch(spark: SparkSession, layout: L.LakeLayout, spec: TableSpec, stamp: dt.datetime) -> DataFrame:
-    """The typed rows a load applies: this stamp (full) or the latest per key from it on (merge)."""
+def typed_batch(
+    spark: SparkSession, layout: L.LakeLayout, spec: TableSpec, stamp: dt.datetime, batch_id: str = "",
+    quarantine: bool = False,
+) -> tuple[DataFrame, int]:
+    """The typed rows a load applies and the number of rejected rows.
+
+    Full load: the rows of this stamp. Merge: the rows from this stamp on,
+    cast first and then reduced to the latest row per key (D8: '12' and
+    '12.0' are one key). With ``quarantine`` rows whose text does not cast
+    are written to the quarantine folder (text kept, failing column named)
+    instead of failing the load.
+    """
+    rows = L.raw_batch_rows(spark, layout, spec, stamp, exact=spec.load_mode == LOAD_FULL)
+    rejected = 0
+    if quarantine:
+        flagged = flag_rows(rows, spec)
+        bad = flagged.filter(F.col("bad_column").isNotNull()).select(
+            *[F.col(f"__text_{c}").alias(c) for c in spec.lake_columns], "partition_time", "bad_column",
+            F.lit(str(batch_id)).alias("batch_id"),
+        )
+        bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(
+            layout.quarantine(spec))
+        rejected = L.read_quarantine(spark, layout, spec).filter(F.col("batch_id") == str(batch_id)).count()
+        typed = flagged.filter(F.col("bad_column").isNull()).select(*spec.lake_columns, "partition_time")
+    else:
+        typed = typed_projection(rows, spec)
     if spec.load_mode == LOAD_FULL:
-        return typed_projection(L.raw_batch_rows(spark, layout, spec, stamp, exact=True), spec)
-    typed = typed_projection(L.raw_batch_rows(spark, layout, spec, stamp, exact=False), spec)
-    # cast first, then de-duplicate (D8): '12' and '12.0' are one key
-    return latest_per_key(typed, spec.keys, ["partition_time"])
+        return typed, rejected
+    return latest_per_key(typed, spec.keys, ["partition_time"]), rejected
 
 
 def load_batch(
@@ -70,8 +93,13 @@ def load_batch(
     layout: L.LakeLayout,
     batch_id: str,
     batch_time: dt.datetime | str | None = None,
+    quarantine: bool = False,
 ) -> BatchResult:
-    """Load one text batch (lake-named string columns) into raw and trusted."""
+    """Load one text batch (lake-named string columns) into raw and trusted.
+
+    ``quarantine``: set rows that do not cast aside (see ``typed_batch``)
+    instead of failing the whole load on the first bad value.
+    """
     audits: list[AuditRecord] = []
     table = spec.table_name
     try:
@@ -85,7 +113,7 @@ def load_batch(
             audits.append(AuditRecord(table, str(batch_id), "LOAD", SKIPPED, None, 0, message="empty batch"))
             return BatchResult(table, str(batch_id), None, 0, status=SKIPPED)
 
-        batch = typed_batch(spark, layout, spec, stamp)
+        batch, rejected = typed_batch(spark, layout, spec, stamp, batch_id, quarantine)
         target = L.read_trusted(spark, layout, spec)
         version = f"{batch_id}-{uuid.uuid4().hex[:8]}"
         if spec.load_mode == LOAD_FULL:
@@ -106,11 +134,11 @@ def load_batch(
         result = BatchResult(
             table, str(batch_id), stamp, rows_in,
             int(counts["rows_inserted"]), int(counts["rows_updated"]), int(counts["rows_deleted"]),
-            int(counts["null_keys"]), version,
+            int(counts["null_keys"]), version, rows_rejected=rejected,
         )
         audits.append(AuditRecord(
             table, str(batch_id), operation, OK, stamp, rows_in, result.rows_inserted, result.rows_updated,
-            result.rows_deleted, result.null_keys, version,
+            result.rows_deleted, result.null_keys, result.rows_rejected, version,
         ))
         return result
     except Exception as exc:

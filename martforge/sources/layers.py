@@ -45,6 +45,9 @@ class LakeLayout:
     def refined(self, name: str) -> str:
         return f"{self.root}/refined/{name}"
 
+    def quarantine(self, spec: TableSpec) -> str:
+        return f"{self.root}/quarantine/{spec.table_name}"
+
     def archive(self, spec: TableSpec) -> str:
         return f"{self.root}/archive/{spec.table_name}"
 
@@ -133,6 +136,11 @@ def raw_batch_rows(spark: SparkSession, layout: LakeLayout, spec: TableSpec, sta
     return raw.filter((F.col("partition_month") >= month) & (F.col("partition_time") >= ts))
 
 
+def read_quarantine(spark: SparkSession, layout: LakeLayout, spec: TableSpec) -> DataFrame:
+    """Rejected rows of all batches (text columns, ``bad_column``, ``batch_id``)."""
+    return spark.read.parquet(layout.quarantine(spec))
+
+
 # --- trusted snapshots --------------------------------------------------------
 
 COMMIT_SCHEMA = T.StructType(

@@ -124,3 +124,14 @@ def test_upsert_keeps_rows_missing_from_a_delta(spark, scratch):
     r = load(spark, layout, scratch, "b2.csv", B2, "000002", T2, spec)
     assert (r.rows_inserted, r.rows_updated, r.rows_deleted) == (1, 2, 0)
     assert [k for k, *_ in trusted(spark, layout, spec)] == [1, 2, 3, 4]
+
+
+def test_quarantine_sets_bad_rows_aside(spark, scratch):
+    layout = L.LakeLayout(f"{scratch}/lake")
+    lines = ["ThingID;Name;Amount;Day", "1;a;1;2024-01-01", "x;b;2;2024-01-02", "3;c;zz;02/01/2024"]
+    path = write_csv(scratch, "q.csv", lines)
+    r = LD.load_batch(spark, SPEC, read_flat_file(spark, path, SPEC), layout, "000001", T1, quarantine=True)
+    assert (r.rows_in, r.rows_inserted, r.rows_rejected) == (3, 1, 2)
+    bad = {row["thing_id"]: row["bad_column"] for row in L.read_quarantine(spark, layout, SPEC).collect()}
+    assert bad == {"x": "thing_id", "3": "day"}
+    assert trusted(spark, layout) == [(1, "a", 1.0, dt.date(2024, 1, 1))]

@@ -5,7 +5,7 @@ import datetime as dt
 from martforge.sources import layers as L
 from martforge.streaming.file_stream import ingest_stream
 
-from .test_pipeline import SPEC, local, trusted, write_csv
+from .test_pipeline import SPEC, trusted, write_csv
 
 HEADER = "ThingID;Name;Amount;Day"
 

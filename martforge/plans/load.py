@@ -3,7 +3,7 @@
 The reference's daily load per table, as Spark jobs:
 
 1. stamp the text batch and write it into the raw history (one pass over the file);
-2. record row count and stamp (watermark) from the written raw partition;
+2. take row count and stamp (the watermark) from the written raw partition;
 3. full load: type the rows of this stamp and write them as the new snapshot;
    merge: type the rows from this stamp on, keep the latest row per key and
    write the merged snapshot, then classify it against the current snapshot
@@ -106,7 +106,7 @@ def load_batch(
         land = L.stamp_land(text, batch_time)
         L.append_raw(land, layout, spec, batch_id)
         batch_raw = L.read_raw(spark, layout, spec).filter(F.col("batch_id") == str(batch_id))
-        mark = L.record_watermark(spark, batch_raw, layout, spec, batch_id)
+        mark = L.record_watermark(batch_raw)
         stamp, rows_in = mark["partition_time"], int(mark["rows_in"])
         audits.append(AuditRecord(table, str(batch_id), "INSERT RAW", OK, stamp, rows_in=rows_in))
         if rows_in == 0:

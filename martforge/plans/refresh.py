@@ -1,9 +1,10 @@
 """Mart refresh: the five refined tables from the current trusted snapshots.
 
 The reference replaces each mart with ``CREATE OR REPLACE TABLE … AS
-SELECT``. Here each mart is written as a new version folder and then
-committed, so readers never see a half-written mart; a failed refresh
-leaves the previous marts current. The marts read the trusted snapshots
+SELECT``. Here each mart is written as a new version folder; one commit row
+then makes the whole refresh current, so readers never see a half-written
+mart or a mix of two refreshes; a failed refresh leaves the previous marts
+current. The marts read the trusted snapshots
 that are current when the refresh starts.
 """
 
@@ -58,11 +59,13 @@ def refresh_marts(
     for name, df in build_marts(sources, star).items():
         L.write_version(df, layout.refined(name), run)
         written[name] = run
-    # commit after every mart is written: the refresh becomes visible as a whole
-    for name, version in written.items():
-        L.commit_version(spark, layout.refined(name), version, run, None)
+    # one commit row for the whole refresh, after every mart is written:
+    # readers switch all five marts at once
+    L.commit_version(spark, layout.refined_root, run, run, None)
     return written
 
 
 def read_mart(spark: SparkSession, layout: L.LakeLayout, name: str) -> DataFrame | None:
-    return L.read_current(spark, layout.refined(name))
+    """A mart as of the latest committed refresh (None before the first)."""
+    run = L.current_version_at(spark, layout.refined_root)
+    return None if run is None else spark.read.parquet(f"{layout.refined(name)}/v={run}")

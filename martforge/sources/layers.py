@@ -5,7 +5,8 @@ Layout below one root folder (a shared folder on a cluster)::
     raw/<table>/partition_month=YYYY-MM/batch_id=<id>/part-*.parquet
     trusted/<table>/v=<id>/part-*.parquet        one folder per committed batch
     trusted/<table>/_commits/part-*.parquet      one row per commit
-    state/watermarks/, state/audit/              append-only state tables
+    refined/<mart>/v=<run>/, refined/_commits/   marts, one commit row per refresh
+    state/audit/                                 append-only audit (also the watermarks)
 
 * The raw history is keyed by batch: a re-run of a batch overwrites its own
   partition (dynamic partition overwrite), so a retried load never doubles
@@ -42,8 +43,12 @@ class LakeLayout:
     def trusted(self, spec: TableSpec) -> str:
         return f"{self.root}/trusted/{spec.table_name}"
 
+    @property
+    def refined_root(self) -> str:
+        return f"{self.root}/refined"
+
     def refined(self, name: str) -> str:
-        return f"{self.root}/refined/{name}"
+        return f"{self.refined_root}/{name}"
 
     def quarantine(self, spec: TableSpec) -> str:
         return f"{self.root}/quarantine/{spec.table_name}"
@@ -51,10 +56,6 @@ class LakeLayout:
     def archive(self, spec: TableSpec) -> str:
         return f"{self.root}/archive/{spec.table_name}"
 
-    @property
-    def watermarks(self) -> str:
-        return f"{self.root}/state/watermarks"
-
     @property
     def audit(self) -> str:
         return f"{self.root}/state/audit"
@@ -227,34 +228,27 @@ def commit_snapshot(
 
 # --- state tables -------------------------------------------------------------
 
-WATERMARK_SCHEMA = T.StructType(
-    [
-        T.StructField("table_name", T.StringType(), False),
-        T.StructField("batch_id", T.StringType(), False),
-        T.StructField("partition_time", T.TimestampNTZType(), True),
-        T.StructField("rows_in", T.LongType(), True),
-    ]
-)
-
+def record_watermark(batch: DataFrame):
+    """Row count (A1) and max stamp (A2) of a landed batch: one aggregate job, one row back.
 
-def record_watermark(spark: SparkSession, batch: DataFrame, layout: LakeLayout, spec: TableSpec, batch_id: str):
-    """Row count (A1) and max stamp (A2) of a landed batch, appended to the watermark table (S14).
-
-    One aggregate job over the batch brings back one row; it is appended as
-    the watermark and returned.
+    The values are kept as the batch's ``INSERT RAW`` audit row, which is the
+    watermark table (S14): see ``read_watermarks``.
     """
-    row = batch.agg(F.max("partition_time").alias("partition_time"), F.count(F.lit(1)).alias("rows_in")).collect()[0]
-    mark = (spec.table_name, str(batch_id), row["partition_time"], int(row["rows_in"]))
-    spark.createDataFrame([mark], WATERMARK_SCHEMA).coalesce(1).write.mode("append").parquet(layout.watermarks)
-    return row
+    return batch.agg(F.max("partition_time").alias("partition_time"), F.count(F.lit(1)).alias("rows_in")).collect()[0]
 
 
 def read_watermarks(spark: SparkSession, layout: LakeLayout) -> DataFrame:
-    return spark.read.schema(WATERMARK_SCHEMA).parquet(layout.watermarks)
+    """Per landed batch: table, batch id, stamp and row count."""
+    from ..operators.audit import OK, read_audit
+
+    audit = read_audit(spark, layout.audit)
+    return audit.filter((F.col("operation") == "INSERT RAW") & (F.col("status") == OK)).select(
+        "table_name", "batch_id", "partition_time", "rows_in"
+    )
 
 
 def latest_watermarks(spark: SparkSession, layout: LakeLayout) -> DataFrame:
     """Per table: the newest batch stamp and the number of batches seen."""
     return read_watermarks(spark, layout).groupBy("table_name").agg(
-        F.max("partition_time").alias("partition_time"), F.count(F.lit(1)).alias("n_batches")
+        F.max("partition_time").alias("partition_time"), F.countDistinct("batch_id").alias("n_batches")
     )

@@ -1,8 +1,8 @@
 """Delimited flat files: read as text under a spec, write for export and fixtures.
 
-Files are read as text (no type inference), by header name, so a file whose
-columns come in another order still lands right; a missing column is an
-error. The no-value words become NULL, then columns get their lake names.
+Files are read as text (no type inference), by header name, so a batch
+whose columns come in another order still lands right; a missing column is
+an error, and so is a file set whose headers disagree. The no-value words become NULL, then columns get their lake names.
 Reads are not multi-line, so every file splits across tasks.
 """
 
@@ -24,7 +24,11 @@ CSV_OPTIONS = {
     "inferSchema": "false",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
+    # check every file's header against the columns: a file whose columns
+    # come in another order fails instead of being read by position
+    "enforceSchema": "false",
 }
+_READ_ONLY = ("inferSchema", "enforceSchema")
 
 
 def read_flat_file(spark: SparkSession, path: str | list[str], spec: TableSpec, **options: str) -> DataFrame:
@@ -47,7 +51,6 @@ def to_lake_text(raw: DataFrame, spec: TableSpec) -> DataFrame:
 
 def write_flat_file(df: DataFrame, path: str, spec: TableSpec, mode: str = "errorifexists", **options: str) -> None:
     """Write lake-named text columns as a ``;`` file set with the source header names."""
-    opts = {**CSV_OPTIONS, **options}
-    opts.pop("inferSchema", None)
+    opts = {k: v for k, v in {**CSV_OPTIONS, **options}.items() if k not in _READ_ONLY}
     out = df.select(*[F.col(c.lake).cast("string").alias(c.source) for c in spec.columns])
     out.write.mode(mode).options(**opts).csv(path)

@@ -135,3 +135,11 @@ def test_quarantine_sets_bad_rows_aside(spark, scratch):
     bad = {row["thing_id"]: row["bad_column"] for row in L.read_quarantine(spark, layout, SPEC).collect()}
     assert bad == {"x": "thing_id", "3": "day"}
     assert trusted(spark, layout) == [(1, "a", 1.0, dt.date(2024, 1, 1))]
+
+
+def test_files_with_disagreeing_headers_fail(spark, scratch):
+    folder = f"{scratch}/mixed"
+    write_csv(folder, "a.csv", ["ThingID;Name;Amount;Day", "1;a;1;2024-01-01"])
+    write_csv(folder, "b.csv", ["Name;ThingID;Amount;Day", "b;2;1;2024-01-01"])
+    with pytest.raises(Exception):
+        read_flat_file(spark, folder, SPEC).collect()

@@ -47,6 +47,7 @@ SYSTEM_COLUMNS = (
 
 LOAD_FULL = "full"
 LOAD_MERGE = "incremental"
+LOAD_RAW_ONLY = "none"  # land and keep the raw history, leave trusted as it is
 MERGE_SNAPSHOT = "snapshot"
 MERGE_UPSERT = "upsert"
 
@@ -132,7 +133,7 @@ class TableSpec:
             else:
                 raise ValueError(f"{self.name}: key {k!r} is not a column")
         object.__setattr__(self, "keys", tuple(keys))
-        if self.load_mode not in (LOAD_FULL, LOAD_MERGE):
+        if self.load_mode not in (LOAD_FULL, LOAD_MERGE, LOAD_RAW_ONLY):
             raise ValueError(f"{self.name}: load mode {self.load_mode!r}")
         if self.merge_mode not in (MERGE_SNAPSHOT, MERGE_UPSERT):
             raise ValueError(f"{self.name}: merge mode {self.merge_mode!r}")

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import LOAD_FULL, MERGE_SNAPSHOT, TableSpec
+from ..config import LOAD_FULL, LOAD_RAW_ONLY, MERGE_SNAPSHOT, TableSpec
 from ..functions.casts import flag_rows, typed_projection
 from ..operators.audit import ERROR, OK, SKIPPED, AuditRecord, append_audit
 from ..operators.dedup import latest_per_key
@@ -112,6 +112,9 @@ def load_batch(
         if rows_in == 0:
             audits.append(AuditRecord(table, str(batch_id), "LOAD", SKIPPED, None, 0, message="empty batch"))
             return BatchResult(table, str(batch_id), None, 0, status=SKIPPED)
+        if spec.load_mode == LOAD_RAW_ONLY:
+            audits.append(AuditRecord(table, str(batch_id), "LOAD", SKIPPED, stamp, rows_in, message="raw only"))
+            return BatchResult(table, str(batch_id), stamp, rows_in, status=SKIPPED)
 
         batch, rejected = typed_batch(spark, layout, spec, stamp, batch_id, quarantine)
         target = L.read_trusted(spark, layout, spec)

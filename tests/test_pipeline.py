@@ -143,3 +143,16 @@ def test_files_with_disagreeing_headers_fail(spark, scratch):
     write_csv(folder, "b.csv", ["Name;ThingID;Amount;Day", "b;2;1;2024-01-01"])
     with pytest.raises(Exception):
         read_flat_file(spark, folder, SPEC).collect()
+
+
+def test_raw_only_mode_leaves_trusted_alone(spark, scratch):
+    from dataclasses import replace
+
+    from martforge.config import LOAD_RAW_ONLY
+
+    layout = L.LakeLayout(f"{scratch}/lake")
+    load(spark, layout, scratch, "b1.csv", B1, "000001", T1)
+    r = load(spark, layout, scratch, "b2.csv", B2, "000002", T2, replace(SPEC, load_mode=LOAD_RAW_ONLY))
+    assert (r.status, r.rows_in) == ("SKIPPED", 4)
+    assert L.read_raw(spark, layout, SPEC).count() == 7
+    assert [k for k, *_ in trusted(spark, layout)] == [1, 2, 3]

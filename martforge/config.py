@@ -115,6 +115,9 @@ class TableSpec:
     load_mode: str = LOAD_FULL
     merge_mode: str = MERGE_SNAPSHOT
     system: str = "flatfile"
+    # modification-date column: an upsert applies only rows changed after the
+    # newest value already in trusted (incremental by modification date)
+    modified: str = ""
     type_map: dict[str, str] = field(default_factory=lambda: dict(DEFAULT_TYPE_MAP))
 
     def __post_init__(self):
@@ -133,6 +136,15 @@ class TableSpec:
             else:
                 raise ValueError(f"{self.name}: key {k!r} is not a column")
         object.__setattr__(self, "keys", tuple(keys))
+        if self.modified:
+            name = self.modified if self.modified in lake else by_source.get(self.modified.lower())
+            if name is None:
+                raise ValueError(f"{self.name}: modified column {self.modified!r} is not a column")
+            if self.merge_mode != MERGE_UPSERT:
+                # in a snapshot merge every key missing from the batch is deleted,
+                # so filtering unchanged rows out would delete them
+                raise ValueError(f"{self.name}: a modified column needs merge_mode='upsert'")
+            object.__setattr__(self, "modified", name)
         if self.load_mode not in (LOAD_FULL, LOAD_MERGE, LOAD_RAW_ONLY):
             raise ValueError(f"{self.name}: load mode {self.load_mode!r}")
         if self.merge_mode not in (MERGE_SNAPSHOT, MERGE_UPSERT):

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ..config import LOAD_FULL, LOAD_RAW_ONLY, MERGE_SNAPSHOT, TableSpec
 from ..functions.casts import flag_rows, typed_projection
 from ..operators.audit import ERROR, OK, SKIPPED, AuditRecord, append_audit
-from ..operators.dedup import latest_per_key
+from ..operators.dedup import changed_since, latest_per_key
 from ..operators.merge import apply_merge, change_counts
 from ..sources import layers as L
 
@@ -57,7 +57,7 @@ def _null_key_count(keys) -> F.Column:
 
 def typed_batch(
     spark: SparkSession, layout: L.LakeLayout, spec: TableSpec, stamp: dt.datetime, batch_id: str = "",
-    quarantine: bool = False,
+    quarantine: bool = False, modified_since=None,
 ) -> tuple[DataFrame, int]:
     """The typed rows a load applies and the number of rejected rows.
 
@@ -65,7 +65,8 @@ def typed_batch(
     cast first and then reduced to the latest row per key (D8: '12' and
     '12.0' are one key). With ``quarantine`` rows whose text does not cast
     are written to the quarantine folder (text kept, failing column named)
-    instead of failing the load.
+    instead of failing the load. ``modified_since`` keeps only rows whose
+    modification date is later (incremental by modification date, P9).
     """
     rows = L.raw_batch_rows(spark, layout, spec, stamp, exact=spec.load_mode == LOAD_FULL)
     rejected = 0
@@ -83,6 +84,8 @@ def typed_batch(
         typed = typed_projection(rows, spec)
     if spec.load_mode == LOAD_FULL:
         return typed, rejected
+    if modified_since is not None:
+        typed = changed_since(typed, spec.modified, modified_since)
     return latest_per_key(typed, spec.keys, ["partition_time"]), rejected
 
 
@@ -116,8 +119,11 @@ def load_batch(
             audits.append(AuditRecord(table, str(batch_id), "LOAD", SKIPPED, stamp, rows_in, message="raw only"))
             return BatchResult(table, str(batch_id), stamp, rows_in, status=SKIPPED)
 
-        batch, rejected = typed_batch(spark, layout, spec, stamp, batch_id, quarantine)
         target = L.read_trusted(spark, layout, spec)
+        since = None
+        if spec.modified and spec.load_mode != LOAD_FULL:
+            since = target.agg(F.max(spec.modified).alias("m")).collect()[0]["m"]
+        batch, rejected = typed_batch(spark, layout, spec, stamp, batch_id, quarantine, since)
         version = f"{batch_id}-{uuid.uuid4().hex[:8]}"
         if spec.load_mode == LOAD_FULL:
             L.write_snapshot(batch, layout, spec, version)

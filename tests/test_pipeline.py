@@ -156,3 +156,26 @@ def test_raw_only_mode_leaves_trusted_alone(spark, scratch):
     assert (r.status, r.rows_in) == ("SKIPPED", 4)
     assert L.read_raw(spark, layout, SPEC).count() == 7
     assert [k for k, *_ in trusted(spark, layout)] == [1, 2, 3]
+
+
+def test_upsert_by_modification_date_applies_only_newer_rows(spark, scratch):
+    spec = TableSpec(
+        "Sales.Thing.csv",
+        (ColumnSpec("ThingID", "int"), ColumnSpec("Name", "string"), ColumnSpec("ModifiedDate", "date")),
+        keys=("ThingID",), load_mode=LOAD_MERGE, merge_mode=MERGE_UPSERT, modified="ModifiedDate",
+    )
+    layout = L.LakeLayout(f"{scratch}/lake")
+    head = "ThingID;Name;ModifiedDate"
+    load(spark, layout, scratch, "m1.csv", [head, "1;a;2024-01-01", "2;b;2024-01-05"], "000001", T1, spec)
+    # a full extract again: only id 2 (changed after 2024-01-05) and id 3 (new) apply
+    r = load(spark, layout, scratch, "m2.csv", [head, "1;a;2024-01-01", "2;b2;2024-01-09", "3;c;2024-01-09"],
+             "000002", T2, spec)
+    assert (r.rows_in, r.rows_inserted, r.rows_updated, r.rows_deleted) == (3, 1, 1, 0)
+    assert trusted(spark, layout, spec) == [
+        (1, "a", dt.date(2024, 1, 1)), (2, "b2", dt.date(2024, 1, 9)), (3, "c", dt.date(2024, 1, 9))]
+
+
+def test_modified_column_needs_upsert():
+    with pytest.raises(ValueError, match="upsert"):
+        TableSpec("t.csv", (ColumnSpec("A", "int"), ColumnSpec("M", "date")), keys=("A",),
+                  load_mode=LOAD_MERGE, modified="M")

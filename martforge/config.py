@@ -36,13 +36,36 @@ DEFAULT_TYPE_MAP = {
     "decimal": "decimal(18,2)",
 }
 
-# Columns the land and raw layers add in front of the file's columns.
+# Columns the land and raw layers add in front of the file's columns, and the
+# values every landed row gets (commit_time takes the batch stamp).
 SYSTEM_COLUMNS = (
     ("sys_change_version", "bigint"),
     ("sys_change_operation", "string"),
     ("sys_change_creation_version", "bigint"),
     ("commit_time", "timestamp_ntz"),
 )
+SYSTEM_VALUES = {"sys_change_version": 0, "sys_change_operation": "I", "sys_change_creation_version": 0}
+
+# The batch stamp is the current time minus this many hours.
+STAMP_LAG_HOURS = 3
+
+# Cast rules: the date rule keeps this many leading characters; the int rule
+# keeps the text before this separator; the float rule turns this decimal
+# comma into a point.
+DATE_TEXT_LENGTH = 10
+INT_CUT_SEPARATOR = "."
+DECIMAL_COMMA = ","
+
+# Delivered files: field separator.
+FIELD_SEPARATOR = ";"
+
+# Indicator parameters as the reference states them: orders with more than 3
+# products; the 3 best-selling products per lead time; orders falling due in
+# month 09/11 (read as September 2011) with a value above 1,000.
+MIN_PRODUCTS_PER_ORDER = 3
+TOP_PRODUCTS = 3
+DUE_MONTH = "2011-09"
+DUE_MIN_TOTAL = 1000.0
 # ---------------------------------------------------------------------------
 
 LOAD_FULL = "full"

@@ -17,7 +17,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import NA_WORDS, NULL_MARKERS, ColumnSpec, TableSpec, spark_type
+from ..config import (
+    DATE_TEXT_LENGTH,
+    DECIMAL_COMMA,
+    INT_CUT_SEPARATOR,
+    NA_WORDS,
+    NULL_MARKERS,
+    ColumnSpec,
+    TableSpec,
+    spark_type,
+)
 
 
 def na_to_null(c: Column) -> Column:
@@ -31,7 +40,7 @@ def _is_marker(c: Column) -> Column:
 
 def date_rule(c: Column, target: str = "date", strict: bool = True) -> Column:
     """``' '``/``'-'`` -> NULL, else ``CAST(SUBSTR(x, 1, 10) AS target)``."""
-    head = F.substring(c, 1, 10)
+    head = F.substring(c, 1, DATE_TEXT_LENGTH)
     cast = head.cast(target) if strict else head.try_cast(target)
     return F.when(_is_marker(c), F.lit(None)).otherwise(cast)
 
@@ -42,14 +51,14 @@ def int_rule(c: Column, target: str = "bigint", strict: bool = True) -> Column:
     ``'12.0'`` (a pandas-stringified int column with blanks) and ``'12.7'``
     both give 12: the text is cut, never rounded.
     """
-    head = F.substring_index(c, ".", 1)  # = SPLIT(x, '.')[0], without building an array
+    head = F.substring_index(c, INT_CUT_SEPARATOR, 1)  # = SPLIT(x, '.')[0], without building an array
     cast = head.cast(target) if strict else head.try_cast(target)
     return F.when(_is_marker(c), F.lit(None)).otherwise(cast)
 
 
 def float_rule(c: Column, target: str = "double") -> Column:
     """``' '``/``'-'`` -> NULL, else decimal comma to point and a lenient cast."""
-    return F.when(_is_marker(c), F.lit(None)).otherwise(F.replace(c, F.lit(","), F.lit(".")).try_cast(target))
+    return F.when(_is_marker(c), F.lit(None)).otherwise(F.replace(c, F.lit(DECIMAL_COMMA), F.lit(".")).try_cast(target))
 
 
 def other_rule(c: Column, target: str = "string", strict: bool = True) -> Column:

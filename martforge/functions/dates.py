@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..config import STAMP_LAG_HOURS
+
 
 def date_parts(c: Column, prefix: str) -> list[Column]:
     """``<prefix>_date`` plus its year, month and day (the EXTRACTs of the time mart)."""
@@ -18,7 +20,7 @@ def date_parts(c: Column, prefix: str) -> list[Column]:
     ]
 
 
-def stamp_time(batch_time: dt.datetime | str | None = None, lag_hours: int = 3) -> Column:
+def stamp_time(batch_time: dt.datetime | str | None = None, lag_hours: int = STAMP_LAG_HOURS) -> Column:
     """The batch stamp: a fixed time if given, else now minus ``lag_hours``.
 
     The reference stamps ``CURRENT_TIMESTAMP() - INTERVAL 3 HOUR`` (a shift to

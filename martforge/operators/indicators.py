@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import DUE_MIN_TOTAL, DUE_MONTH, MIN_PRODUCTS_PER_ORDER, TOP_PRODUCTS
 from ..functions.dates import month_range
 from .marts import StarSpec
 
 
-def orders_over_n_products(detail: DataFrame, star: StarSpec, n: int = 3) -> DataFrame:
+def orders_over_n_products(detail: DataFrame, star: StarSpec, n: int = MIN_PRODUCTS_PER_ORDER) -> DataFrame:
     """Indicator 1: number of orders with more than ``n`` distinct products (one row, ``n_orders``).
 
     Distinct (order, product) pairs first, then a count per order: both steps
@@ -26,7 +27,9 @@ def orders_over_n_products(detail: DataFrame, star: StarSpec, n: int = 3) -> Dat
     return per_order.filter(F.col("n_products") > n).agg(F.count(F.lit(1)).alias("n_orders"))
 
 
-def top_products_by_lead_time(detail: DataFrame, product: DataFrame, star: StarSpec, k: int = 3) -> DataFrame:
+def top_products_by_lead_time(
+    detail: DataFrame, product: DataFrame, star: StarSpec, k: int = TOP_PRODUCTS
+) -> DataFrame:
     """Indicator 2: the ``k`` best-selling products for each production lead time.
 
     Quantity is summed per product before the join with the product table.
@@ -70,8 +73,8 @@ def qty_by_order_date(detail: DataFrame, header: DataFrame, star: StarSpec) -> D
 def due_orders(
     header: DataFrame,
     star: StarSpec,
-    month: str = "2011-09",
-    min_total: float = 1000.0,
+    month: str = DUE_MONTH,
+    min_total: float = DUE_MIN_TOTAL,
     extra_filter: Column | None = None,
 ) -> DataFrame:
     """Indicator 5: orders falling due in ``month`` with a value above ``min_total``.

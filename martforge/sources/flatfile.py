@@ -11,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import TableSpec
+from ..config import FIELD_SEPARATOR, TableSpec
 from ..functions.casts import na_to_null
 
 # Blanks are data (a single blank means NULL to the cast rules), so the
 # writer must not trim them and the reader must keep them.
 CSV_OPTIONS = {
-    "sep": ";",
+    "sep": FIELD_SEPARATOR,
     "header": "true",
     "quote": '"',
     "escape": '"',

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import SYSTEM_COLUMNS, TableSpec
+from ..config import SYSTEM_COLUMNS, SYSTEM_VALUES, TableSpec
 from ..functions.dates import month_key, ntz_lit, stamp_time
 
 RAW_PARTITIONS = ("partition_month", "batch_id")
@@ -70,14 +70,10 @@ def stamp_land(text: DataFrame, batch_time: dt.datetime | str | None = None) ->
     ``partition_time`` both get the batch stamp.
     """
     ts = stamp_time(batch_time)
-    sys_values = {
-        "sys_change_version": F.lit(0).cast("bigint"),
-        "sys_change_operation": F.lit("I"),
-        "sys_change_creation_version": F.lit(0).cast("bigint"),
-        "commit_time": ts,
-    }
+    values = {name: F.lit(SYSTEM_VALUES[name]).cast(kind) for name, kind in SYSTEM_COLUMNS if name in SYSTEM_VALUES}
+    values["commit_time"] = ts
     return text.select(
-        *[sys_values[name].alias(name) for name, _ in SYSTEM_COLUMNS],
+        *[values[name].alias(name) for name, _ in SYSTEM_COLUMNS],
         *text.columns,
         ts.alias("partition_time"),
     )

@@ -22,6 +22,7 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +56,18 @@ def _null_key_count(keys) -> F.Column:
     return F.count(F.when(cond, 1))
 
 
+def _landed(spark: SparkSession, layout: L.LakeLayout, spec: TableSpec, batch_id: str):
+    """Stamp and row count of a landed batch; (None, 0) when it wrote no rows (no folder)."""
+    try:
+        batch_raw = L.read_raw_batch(spark, layout, spec, batch_id)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc):
+            return None, 0
+        raise
+    mark = L.record_watermark(batch_raw)
+    return mark["partition_time"], int(mark["rows_in"])
+
+
 def typed_batch(
     spark: SparkSession, layout: L.LakeLayout, spec: TableSpec, stamp: dt.datetime, batch_id: str = "",
     quarantine: bool = False, modified_since=None,
@@ -68,7 +81,7 @@ def typed_batch(
     instead of failing the load. ``modified_since`` keeps only rows whose
     modification date is later (incremental by modification date, P9).
     """
-    rows = L.raw_batch_rows(spark, layout, spec, stamp, exact=spec.load_mode == LOAD_FULL)
+    rows = L.raw_batch_rows(spark, layout, spec, stamp, exact=spec.load_mode == LOAD_FULL, batch_id=batch_id)
     rejected = 0
     if quarantine:
         flagged = flag_rows(rows, spec)
@@ -108,9 +121,7 @@ def load_batch(
     try:
         land = L.stamp_land(text, batch_time)
         L.append_raw(land, layout, spec, batch_id)
-        batch_raw = L.read_raw(spark, layout, spec).filter(F.col("batch_id") == str(batch_id))
-        mark = L.record_watermark(batch_raw)
-        stamp, rows_in = mark["partition_time"], int(mark["rows_in"])
+        stamp, rows_in = _landed(spark, layout, spec, str(batch_id))
         audits.append(AuditRecord(table, str(batch_id), "INSERT RAW", OK, stamp, rows_in=rows_in))
         if rows_in == 0:
             audits.append(AuditRecord(table, str(batch_id), "LOAD", SKIPPED, None, 0, message="empty batch"))

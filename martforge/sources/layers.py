@@ -119,17 +119,35 @@ def read_raw(spark: SparkSession, layout: LakeLayout, spec: TableSpec) -> DataFr
     return spark.read.schema(raw_schema(spec)).parquet(layout.raw(spec))
 
 
-def raw_batch_rows(spark: SparkSession, layout: LakeLayout, spec: TableSpec, stamp: dt.datetime, exact: bool) -> DataFrame:
+def read_raw_batch(spark: SparkSession, layout: LakeLayout, spec: TableSpec, batch_id: str) -> DataFrame:
+    """The raw rows of one batch, reading only that batch's folder.
+
+    The path pattern names the batch, so only the month folders and the
+    batch's own folder are listed, however long the history grows.
+    """
+    root = layout.raw(spec)
+    return (
+        spark.read.schema(raw_schema(spec))
+        .option("basePath", root)
+        .parquet(f"{root}/partition_month=*/batch_id={batch_id}")
+    )
+
+
+def raw_batch_rows(
+    spark: SparkSession, layout: LakeLayout, spec: TableSpec, stamp: dt.datetime, exact: bool, batch_id: str = ""
+) -> DataFrame:
     """Raw rows of one stamp (``exact``, full load, P6) or from it on (merge, P7).
 
-    The month partition is filtered as well, so only the needed folders are
-    listed and read.
+    The exact case reads only the batch's folder when its id is given; the
+    other filters the month partition as well as the stamp, so only folders
+    from the stamp's month on are read.
     """
-    raw = read_raw(spark, layout, spec)
     ts = ntz_lit(stamp)
     month = stamp.strftime("%Y-%m")
     if exact:
+        raw = read_raw_batch(spark, layout, spec, batch_id) if batch_id else read_raw(spark, layout, spec)
         return raw.filter((F.col("partition_month") == month) & (F.col("partition_time") == ts))
+    raw = read_raw(spark, layout, spec)
     return raw.filter((F.col("partition_month") >= month) & (F.col("partition_time") >= ts))
 
 

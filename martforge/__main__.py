@@ -17,10 +17,9 @@ from dataclasses import asdict
 
 from .config import REFERENCE_SPECS
 from .operators.marts import REFERENCE_STAR
-from .plans.load import load_batch
+from .plans.load import load_file
 from .plans.refresh import refresh_marts
 from .session import build_session
-from .sources.flatfile import read_flat_file
 from .sources.layers import LakeLayout
 from .streaming.file_stream import ingest_stream
 
@@ -55,8 +54,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "load":
         spec = REFERENCE_SPECS[args.table]
         batch_id = args.batch_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S")
-        result = load_batch(spark, spec, read_flat_file(spark, args.file, spec), lake, batch_id,
-                            quarantine=args.quarantine)
+        result = load_file(spark, spec, args.file, lake, batch_id, quarantine=args.quarantine)
         print(json.dumps(asdict(result), default=str))
     elif args.command == "stream":
         spec = REFERENCE_SPECS[args.table]

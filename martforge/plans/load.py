@@ -166,3 +166,30 @@ def load_batch(
         raise
     finally:
         append_audit(spark, layout.audit, audits)
+
+
+def load_file(
+    spark: SparkSession,
+    spec: TableSpec,
+    path: str,
+    layout: L.LakeLayout,
+    batch_id: str,
+    batch_time: dt.datetime | str | None = None,
+    quarantine: bool = False,
+) -> BatchResult:
+    """Load a delivered file; a missing file is skipped with an audit row (D18).
+
+    The marts can still be refreshed from the last committed snapshots.
+    """
+    from ..sources.flatfile import read_flat_file
+
+    try:
+        text = read_flat_file(spark, path, spec)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        append_audit(spark, layout.audit, [
+            AuditRecord(spec.table_name, str(batch_id), "LOAD", SKIPPED, rows_in=0, message=f"missing file {path}")
+        ])
+        return BatchResult(spec.table_name, str(batch_id), None, 0, status=SKIPPED)
+    return load_batch(spark, spec, text, layout, batch_id, batch_time, quarantine)

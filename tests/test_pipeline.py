@@ -179,3 +179,13 @@ def test_modified_column_needs_upsert():
     with pytest.raises(ValueError, match="upsert"):
         TableSpec("t.csv", (ColumnSpec("A", "int"), ColumnSpec("M", "date")), keys=("A",),
                   load_mode=LOAD_MERGE, modified="M")
+
+
+def test_missing_file_is_skipped_with_an_audit_row(spark, scratch):
+    layout = L.LakeLayout(f"{scratch}/lake")
+    load(spark, layout, scratch, "b1.csv", B1, "000001", T1)
+    r = LD.load_file(spark, SPEC, f"{scratch}/nowhere.csv", layout, "000002", T2)
+    assert r.status == "SKIPPED"
+    assert len(trusted(spark, layout)) == 3
+    msgs = [a["message"] for a in read_audit(spark, layout.audit).collect() if a["batch_id"] == "000002"]
+    assert msgs and msgs[0].startswith("missing file")

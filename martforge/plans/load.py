@@ -3,7 +3,7 @@
 The reference's daily load per table, as Spark jobs:
 
 1. stamp the text batch and write it into the raw history (one pass over the file);
-2. take row count and stamp (the watermark) from the written raw partition;
+2. row count and stamp (the watermark) are observed during that write;
 3. full load: type the rows of this stamp and write them as the new snapshot;
    merge: type the rows from this stamp on, keep the latest row per key and
    write the merged snapshot, then classify it against the current snapshot
@@ -23,7 +23,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import LOAD_FULL, LOAD_RAW_ONLY, MERGE_SNAPSHOT, TableSpec
@@ -56,18 +56,6 @@ def _null_key_count(keys) -> F.Column:
     return F.count(F.when(cond, 1))
 
 
-def _landed(spark: SparkSession, layout: L.LakeLayout, spec: TableSpec, batch_id: str):
-    """Stamp and row count of a landed batch; (None, 0) when it wrote no rows (no folder)."""
-    try:
-        batch_raw = L.read_raw_batch(spark, layout, spec, batch_id)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc):
-            return None, 0
-        raise
-    mark = L.record_watermark(batch_raw)
-    return mark["partition_time"], int(mark["rows_in"])
-
-
 def typed_batch(
     spark: SparkSession, layout: L.LakeLayout, spec: TableSpec, stamp: dt.datetime, batch_id: str = "",
     quarantine: bool = False, modified_since=None,
@@ -120,8 +108,8 @@ def load_batch(
     table = spec.table_name
     try:
         land = L.stamp_land(text, batch_time)
-        L.append_raw(land, layout, spec, batch_id)
-        stamp, rows_in = _landed(spark, layout, spec, str(batch_id))
+        mark = L.append_raw(land, layout, spec, batch_id)
+        stamp, rows_in = mark["partition_time"], int(mark["rows_in"])
         audits.append(AuditRecord(table, str(batch_id), "INSERT RAW", OK, stamp, rows_in=rows_in))
         if rows_in == 0:
             audits.append(AuditRecord(table, str(batch_id), "LOAD", SKIPPED, None, 0, message="empty batch"))
@@ -137,9 +125,10 @@ def load_batch(
         batch, rejected = typed_batch(spark, layout, spec, stamp, batch_id, quarantine, since)
         version = f"{batch_id}-{uuid.uuid4().hex[:8]}"
         if spec.load_mode == LOAD_FULL:
-            L.write_snapshot(batch, layout, spec, version)
-            new = L.read_trusted_version(spark, layout, spec, version)
-            n_new = new.agg(F.count(F.lit(1)).alias("n"), _null_key_count(spec.keys).alias("null_keys")).collect()[0]
+            written = Observation(f"snapshot_{table}_{version}")
+            L.write_snapshot(batch.observe(written, F.count(F.lit(1)).alias("n"),
+                                           _null_key_count(spec.keys).alias("null_keys")), layout, spec, version)
+            n_new = written.get
             n_old = target.agg(F.count(F.lit(1)).alias("n")).collect()[0]
             counts = {"rows_inserted": n_new["n"], "rows_updated": 0, "rows_deleted": n_old["n"],
                       "null_keys": n_new["null_keys"]}

@@ -19,9 +19,10 @@ Layout below one root folder (a shared folder on a cluster)::
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,16 +96,19 @@ def raw_schema(spec: TableSpec) -> T.StructType:
     return T.StructType(s.fields + [T.StructField(p, T.StringType(), True) for p in RAW_PARTITIONS])
 
 
-def append_raw(land: DataFrame, layout: LakeLayout, spec: TableSpec, batch_id: str) -> None:
-    """Write a stamped batch into the raw history (S4, S9).
+def append_raw(land: DataFrame, layout: LakeLayout, spec: TableSpec, batch_id: str) -> dict:
+    """Write a stamped batch into the raw history (S4, S9); returns its watermark.
 
     Partitioned by month of the stamp and by batch; rows sorted by key inside
     each file, so parquet min/max statistics skip files on key lookups.
-    Overwrites only this batch's partition.
+    Overwrites only this batch's partition. The row count (A1) and the max
+    stamp (A2) are observed while writing, without a second pass; they are
+    returned as ``{"rows_in", "partition_time"}`` (S14, kept in the audit).
     """
+    mark = Observation(f"raw_{spec.table_name}_{batch_id}_{uuid.uuid4().hex[:8]}")
     out = land.withColumn("partition_month", month_key(F.col("partition_time"))).withColumn(
         "batch_id", F.lit(str(batch_id))
-    )
+    ).observe(mark, F.count(F.lit(1)).alias("rows_in"), F.max("partition_time").alias("partition_time"))
     (
         out.sortWithinPartitions(*spec.keys)
         .write.mode("overwrite")
@@ -112,6 +116,7 @@ def append_raw(land: DataFrame, layout: LakeLayout, spec: TableSpec, batch_id: s
         .partitionBy(*RAW_PARTITIONS)
         .parquet(layout.raw(spec))
     )
+    return mark.get
 
 
 def read_raw(spark: SparkSession, layout: LakeLayout, spec: TableSpec) -> DataFrame:
@@ -243,10 +248,11 @@ def commit_snapshot(
 # --- state tables -------------------------------------------------------------
 
 def record_watermark(batch: DataFrame):
-    """Row count (A1) and max stamp (A2) of a landed batch: one aggregate job, one row back.
+    """Row count (A1) and max stamp (A2) of rows already landed: one aggregate job, one row back.
 
-    The values are kept as the batch's ``INSERT RAW`` audit row, which is the
-    watermark table (S14): see ``read_watermarks``.
+    ``append_raw`` observes the same values while writing; either way they
+    are kept as the batch's ``INSERT RAW`` audit row, which is the watermark
+    table (S14): see ``read_watermarks``.
     """
     return batch.agg(F.max("partition_time").alias("partition_time"), F.count(F.lit(1)).alias("rows_in")).collect()[0]
 

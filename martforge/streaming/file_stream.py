@@ -19,6 +19,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from ..config import TableSpec
 from ..plans.load import BatchResult, load_batch
@@ -30,6 +31,39 @@ def stream_batch_id(epoch_id: int) -> str:
     return f"s{epoch_id:012d}"
 
 
+def _writer(
+    spark: SparkSession,
+    spec: TableSpec,
+    landing: str,
+    layout: LakeLayout,
+    checkpoint: str,
+    results: list[BatchResult] | None,
+    clock: Callable[[int], dt.datetime | None] | None,
+    max_files_per_trigger: int | None,
+    archive_dir: str | None,
+):
+    reader = spark.readStream.schema(spec.text_schema).options(
+        **{k: v for k, v in CSV_OPTIONS.items() if k != "inferSchema"}
+    )
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    text = to_lake_text(reader.csv(landing), spec)
+
+    def per_batch(df: DataFrame, epoch_id: int) -> None:
+        stamp = clock(epoch_id) if clock else None
+        result = load_batch(df.sparkSession, spec, df, layout, stream_batch_id(epoch_id), stamp)
+        if results is not None:  # a long-running stream keeps its results in the audit table only
+            results.append(result)
+
+    return (
+        text.writeStream.foreachBatch(per_batch)
+        .option("checkpointLocation", checkpoint)
+        .queryName(f"ingest_{spec.table_name}")
+    )
+
+
 def ingest_stream(
     spark: SparkSession,
     spec: TableSpec,
@@ -39,31 +73,32 @@ def ingest_stream(
     clock: Callable[[int], dt.datetime | None] | None = None,
     max_files_per_trigger: int | None = None,
     archive_dir: str | None = None,
-    available_now: bool = True,
 ) -> list[BatchResult]:
-    """Run the file stream for ``spec`` over ``landing``; returns the batch results.
+    """Load every file in ``landing`` not yet taken, then stop (``availableNow``).
 
     ``clock(epoch_id)`` gives the batch stamp (default: now minus 3 hours).
     ``archive_dir`` moves loaded files there (best effort: recovery relies
-    on the raw history, not on the archive).
+    on the raw history, not on the archive). Returns one result per micro-batch.
     """
-    reader = spark.readStream.schema(spec.text_schema).options(**{k: v for k, v in CSV_OPTIONS.items() if k != "inferSchema"})
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    text = to_lake_text(reader.csv(landing), spec)
     results: list[BatchResult] = []
-
-    def per_batch(df: DataFrame, epoch_id: int) -> None:
-        stamp = clock(epoch_id) if clock else None
-        results.append(load_batch(df.sparkSession, spec, df, layout, stream_batch_id(epoch_id), stamp))
-
-    writer = text.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    query = writer.queryName(f"ingest_{spec.table_name}").start()
-    if available_now:
-        query.awaitTermination()
-        if query.exception() is not None:
-            raise RuntimeError(str(query.exception()))
+    query = _writer(spark, spec, landing, layout, checkpoint, results, clock, max_files_per_trigger,
+                    archive_dir).trigger(availableNow=True).start()
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
     return results
+
+
+def start_stream(
+    spark: SparkSession,
+    spec: TableSpec,
+    landing: str,
+    layout: LakeLayout,
+    checkpoint: str,
+    interval: str = "1 minute",
+    max_files_per_trigger: int | None = None,
+    archive_dir: str | None = None,
+) -> StreamingQuery:
+    """Keep loading files as they arrive, one micro-batch per ``interval``; returns the running query."""
+    return _writer(spark, spec, landing, layout, checkpoint, None, None, max_files_per_trigger,
+                   archive_dir).trigger(processingTime=interval).start()

@@ -24,3 +24,21 @@ def test_stream_takes_each_file_once(spark, scratch):
     assert [(r.rows_in, r.rows_inserted, r.rows_updated, r.rows_deleted) for r in last] == [(2, 1, 1, 0)]
     assert L.read_raw(spark, layout, SPEC).count() == 5  # every row landed exactly once
     assert [k for k, *_ in trusted(spark, layout)] == [2, 3]
+
+
+def test_continuous_stream_picks_up_new_files(spark, scratch):
+    import time
+
+    from martforge.streaming.file_stream import start_stream
+
+    landing, layout, ckpt = f"{scratch}/landing", L.LakeLayout(f"{scratch}/lake"), f"{scratch}/ckpt"
+    write_csv(landing, "f0.csv", [HEADER, "7;n7;1;2024-01-01"])
+    query = start_stream(spark, SPEC, landing, layout, ckpt, interval="1 second")
+    try:
+        query.processAllAvailable()
+        write_csv(landing, "f1.csv", [HEADER, "8;n8;1;2024-01-02"])
+        time.sleep(1.5)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert L.read_raw(spark, layout, SPEC).count() == 2

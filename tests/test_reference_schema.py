@@ -86,3 +86,16 @@ def test_reference_files_to_marts(spark, scratch):
     top = indicators.top_products_by_lead_time(detail, L.read_trusted(spark, layout, specs["product"]),
                                                REFERENCE_STAR).collect()
     assert [(r["days_to_manufacture"], r["product_id"], r["sales_rank"]) for r in top][0] == (4, 776, 1)
+
+
+def test_composite_key_merge_through_a_load(spark, scratch):
+    spec = REFERENCE_SPECS["Sales.SpecialOfferProduct.csv"]
+    layout = L.LakeLayout(f"{scratch}/lake")
+    head = "SpecialOfferID;ProductID"
+    p1 = write_csv(f"{scratch}/l1", spec.name, [head, "1;1", "1;2"])
+    p2 = write_csv(f"{scratch}/l2", spec.name, [head, "1;2", "2;1", "2;1.0"])
+    load_batch(spark, spec, read_flat_file(spark, p1, spec), layout, "1", dt.datetime(2024, 9, 4))
+    r = load_batch(spark, spec, read_flat_file(spark, p2, spec), layout, "2", dt.datetime(2024, 9, 5))
+    assert (r.rows_in, r.rows_inserted, r.rows_updated, r.rows_deleted) == (3, 1, 1, 1)
+    rows = sorted(tuple(x)[:2] for x in L.read_trusted(spark, layout, spec).collect())
+    assert rows == [(1, 2), (2, 1)]

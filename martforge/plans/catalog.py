@@ -440,36 +440,40 @@ def load_audit(spark, sf_dir):
     )
 
 
-ARCHIVE_DATES = (dt.date(2024, 9, 4), dt.date(2024, 9, 5))
+ARCHIVE_DATES = (S.BATCH1_TIME.date(), S.BATCH2_TIME.date())
 
 
 @register("archive_by_date", f"""
-SELECT DATE '{ARCHIVE_DATES[0]}' AS ingest_date, COUNT(*) AS n_rows FROM customer WHERE c_custkey % 2 = 0
+SELECT DATE '{ARCHIVE_DATES[0]}' AS ingest_date, COUNT(*) AS n_rows FROM {S.orders_batch_sql(1)}
 UNION ALL
-SELECT DATE '{ARCHIVE_DATES[1]}', COUNT(*) FROM customer WHERE c_custkey % 2 = 1
+SELECT DATE '{ARCHIVE_DATES[1]}', COUNT(*) FROM {S.orders_batch_sql(2)}
 """)
 def archive_by_date(spark, sf_dir):
+    """Each delivered orders file, converted, archived under the day it arrived."""
     folder = work_dir(spark, "archive")
-    text = flatfile.read_flat_file(spark, _customer_file(spark, sf_dir), S.CUSTOMER_SPEC)
-    for parity, day in enumerate(ARCHIVE_DATES):
-        part = text.filter(casts.int_rule(F.col("c_custkey")) % 2 == parity)
-        files.archive_by_date(part, folder, day)
+    for which, day in enumerate(ARCHIVE_DATES, start=1):
+        name = f"orders_{S.BATCH_IDS[which - 1]}.csv"
+        path = S.write_batch_file(spark, S.orders_batch_text(spark, sf_dir, which), S.ORDERS_SPEC, name)
+        files.archive_by_date(flatfile.read_flat_file(spark, path, S.ORDERS_SPEC), folder, day)
     archived = spark.read.parquet(folder)
     return archived.groupBy(F.col("ingest_date").cast("date").alias("ingest_date")).agg(
         F.count(F.lit(1)).alias("n_rows")
     )
 
 
-@register("new_files_anti", """
-SELECT DISTINCT 'batch_' || CAST(o_orderkey % 100 AS VARCHAR) AS file_name FROM orders
+# The source folder holds one daily orders file per order date; the destination
+# already has those of the days before the last snapshot window's end.
+@register("new_files_anti", f"""
+SELECT DISTINCT 'orders_' || strftime(o_orderdate, '%Y%m%d') || '.csv' AS file_name FROM orders
 EXCEPT
-SELECT DISTINCT 'batch_' || CAST(o_orderkey % 100 AS VARCHAR) FROM orders WHERE o_orderkey % 100 < 60
+SELECT DISTINCT 'orders_' || strftime(o_orderdate, '%Y%m%d') || '.csv' FROM orders
+WHERE o_orderdate < DATE '{S.WINDOW_END}'
 """)
 def new_files_anti(spark, sf_dir):
     o = S.table(spark, sf_dir, "orders")
-    name = F.concat(F.lit("batch_"), (F.col("o_orderkey") % 100).cast("string")).alias("file_name")
+    name = F.concat(F.lit("orders_"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit(".csv")).alias("file_name")
     candidates = o.select(name)
-    ledger = o.filter(F.col("o_orderkey") % 100 < 60).select(name)
+    ledger = o.filter(F.col("o_orderdate") < F.lit(S.WINDOW_END)).select(name)
     return files.new_files(candidates, ledger)
 
 

@@ -198,26 +198,32 @@ def expected_typed_sql(source: str, spec: TableSpec, selector: str | None = None
 
 
 # --- the two-batch orders scenario -----------------------------------------------
-# Batch 1 holds every order but those with key % 10 = 0; batch 2 every order but
-# key % 10 = 1, each with its price raised by 1. Against batch 1, batch 2 inserts
-# the %10 = 0 orders, updates the rest and (snapshot merge) deletes the %10 = 1 ones.
+# Two daily snapshot files of a rolling window over the whole orders table: batch 1
+# holds the orders dated before WINDOW_END, batch 2 those dated from WINDOW_START
+# on, each with its price raised by 1. Against batch 1, batch 2 inserts the newest
+# orders, updates the overlap and (snapshot merge) deletes the oldest ones.
 
 BATCH1_TIME = dt.datetime(2024, 8, 31, 21, 0, 0)
 BATCH2_TIME = dt.datetime(2024, 9, 5, 9, 0, 0)
+WINDOW_START = dt.date(1995, 7, 1)
+WINDOW_END = dt.date(2001, 1, 1)
 ORDERS_SELECTOR = "o_orderkey"
 
 
 def orders_batch_typed(spark: SparkSession, sf_dir: str, which: int) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     if which == 1:
-        return o.filter(F.col("o_orderkey") % 10 != 0)
-    return o.filter(F.col("o_orderkey") % 10 != 1).withColumn("o_totalprice", F.col("o_totalprice") + F.lit(1.0))
+        return o.filter(F.col("o_orderdate") < F.lit(WINDOW_END))
+    return o.filter(F.col("o_orderdate") >= F.lit(WINDOW_START)).withColumn(
+        "o_totalprice", F.col("o_totalprice") + F.lit(1.0)
+    )
 
 
 def orders_batch_sql(which: int) -> str:
     if which == 1:
-        return "(SELECT * FROM orders WHERE o_orderkey % 10 <> 0)"
-    return ("(SELECT * REPLACE (o_totalprice + 1.0 AS o_totalprice) FROM orders WHERE o_orderkey % 10 <> 1)")
+        return f"(SELECT * FROM orders WHERE o_orderdate < DATE '{WINDOW_END}')"
+    return (f"(SELECT * REPLACE (o_totalprice + 1.0 AS o_totalprice) FROM orders "
+            f"WHERE o_orderdate >= DATE '{WINDOW_START}')")
 
 
 def orders_batch_text(spark: SparkSession, sf_dir: str, which: int) -> DataFrame:

@@ -182,6 +182,8 @@ def current_version_at(spark: SparkSession, root: str) -> str | None:
 
     Reads the commit log (one row per commit) and brings back one value.
     """
+    if path_exists(spark, _commits_path(root)) is False:
+        return None
     try:
         commits = spark.read.schema(COMMIT_SCHEMA).parquet(_commits_path(root))
         row = commits.agg(F.max_by("version", F.struct("committed_at", "version")).alias("v")).collect()[0]
@@ -192,6 +194,20 @@ def current_version_at(spark: SparkSession, root: str) -> str | None:
     return row["v"]
 
 
+def path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Whether ``path`` exists, asked of the Hadoop file system of the session.
+
+    None where the JVM is not reachable (Spark Connect): callers then read
+    and handle a missing path themselves.
+    """
+    jvm = getattr(spark, "_jvm", None)
+    jsc = getattr(spark, "_jsc", None)
+    if jvm is None or jsc is None:
+        return None
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(jsc.hadoopConfiguration()).exists(hpath))
+
+
 def write_version(df: DataFrame, root: str, version: str, sort_keys=()) -> str:
     """Write a new version folder (never the one being read); returns its path."""
     path = f"{root}/v={version}"

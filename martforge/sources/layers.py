@@ -109,8 +109,10 @@ def append_raw(land: DataFrame, layout: LakeLayout, spec: TableSpec, batch_id: s
     out = land.withColumn("partition_month", month_key(F.col("partition_time"))).withColumn(
         "batch_id", F.lit(str(batch_id))
     ).observe(mark, F.count(F.lit(1)).alias("rows_in"), F.max("partition_time").alias("partition_time"))
+    # sort by the partition columns first: that is the order the writer
+    # requires, so it keeps this one instead of re-sorting on them alone
     (
-        out.sortWithinPartitions(*spec.keys)
+        out.sortWithinPartitions(*RAW_PARTITIONS, *spec.keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*RAW_PARTITIONS)

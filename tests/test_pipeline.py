@@ -189,3 +189,21 @@ def test_missing_file_is_skipped_with_an_audit_row(spark, scratch):
     assert len(trusted(spark, layout)) == 3
     msgs = [a["message"] for a in read_audit(spark, layout.audit).collect() if a["batch_id"] == "000002"]
     assert msgs and msgs[0].startswith("missing file")
+
+
+def test_raw_and_trusted_files_are_sorted_by_key(spark, scratch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    layout = L.LakeLayout(f"{scratch}/lake")
+    ids = list(range(40, 0, -1))  # delivered in descending key order
+    lines = ["ThingID;Name;Amount;Day"] + [f"{i};n{i};{i}.5;2024-09-0{1 + i % 9}" for i in ids]
+    res = load(spark, layout, f"{scratch}/in", "sorted.csv", lines, "b1", T1)
+    for folder, column in ((f"{layout.raw(SPEC)}/*/batch_id=b1", "thing_id"),
+                           (f"{layout.trusted(SPEC)}/v={res.version}", "thing_id")):
+        parts = glob.glob(f"{local(folder)}/*.parquet")
+        assert parts
+        for part in parts:
+            keys = pq.read_table(part, columns=[column]).column(0).to_pylist()
+            assert keys == sorted(keys)

@@ -142,6 +142,9 @@ class TableSpec:
     # newest value already in trusted (incremental by modification date)
     modified: str = ""
     type_map: dict[str, str] = field(default_factory=lambda: dict(DEFAULT_TYPE_MAP))
+    # committed trusted snapshots kept; older ones are deleted after each load
+    # (0 keeps every version)
+    keep_versions: int = 3
 
     def __post_init__(self):
         cols = tuple(c.resolved(self.type_map) for c in self.columns)
@@ -172,6 +175,8 @@ class TableSpec:
             raise ValueError(f"{self.name}: load mode {self.load_mode!r}")
         if self.merge_mode not in (MERGE_SNAPSHOT, MERGE_UPSERT):
             raise ValueError(f"{self.name}: merge mode {self.merge_mode!r}")
+        if self.keep_versions < 0:
+            raise ValueError(f"{self.name}: keep_versions must be 0 (all) or more")
 
     @property
     def table_name(self) -> str:

@@ -140,6 +140,7 @@ def load_batch(
             counts = change_counts(target, source, spec.keys, spec.merge_mode).collect()[0].asDict()
             operation = "MERGE"
         L.commit_snapshot(spark, layout, spec, version, batch_id, stamp)
+        L.expire_versions(spark, layout.trusted(spec), spec.keep_versions)
         result = BatchResult(
             table, str(batch_id), stamp, rows_in,
             int(counts["rows_inserted"]), int(counts["rows_updated"]), int(counts["rows_deleted"]),

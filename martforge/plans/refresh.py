@@ -44,11 +44,13 @@ def refresh_marts(
     specs: dict[str, TableSpec],
     prepare: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
     run_id: str | None = None,
+    keep_versions: int = 3,
 ) -> dict[str, str]:
     """Write and commit every mart; returns ``{mart: version}``.
 
     ``specs`` maps each role in ``ROLES`` to its table; ``prepare`` may
     derive columns a role lacks (applied lazily, inside the same plan).
+    Refreshes older than the newest ``keep_versions`` are deleted (0 keeps all).
     """
     prepare = prepare or {}
     sources = {}
@@ -68,6 +70,9 @@ def refresh_marts(
     # one commit row for the whole refresh, after every mart is written:
     # readers switch all five marts at once
     L.commit_version(spark, layout.refined_root, run, run, None)
+    # refreshes older than the newest ``keep_versions`` (0: none) are deleted
+    L.expire_versions(spark, layout.refined_root, keep_versions,
+                      tuple(layout.refined(name) for name in MART_NAMES))
     return written
 
 

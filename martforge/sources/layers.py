@@ -225,6 +225,38 @@ def commit_version(spark: SparkSession, root: str, version: str, batch_id: str,
     row.coalesce(1).write.mode("append").parquet(_commits_path(root))
 
 
+def expire_versions(spark: SparkSession, root: str, keep: int, folders: tuple[str, ...] | None = None) -> list[str]:
+    """Delete committed versions older than the ``keep`` newest commits below ``root``.
+
+    Only versions named in the commit log are deleted, so the folder of a
+    write still in progress (not yet committed) is never touched; folders of
+    failed writes stay. ``folders`` are the parents of the ``v=<version>``
+    folders (default ``root``; a mart refresh commits one version for five
+    marts). ``keep`` 0 keeps everything. Returns the expired version names.
+    """
+    if keep <= 0 or path_exists(spark, _commits_path(root)) is not True:
+        return []
+    commits = spark.read.schema(COMMIT_SCHEMA).parquet(_commits_path(root))
+    newest = commits.groupBy("version").agg(F.max("committed_at").alias("at"))
+    # the keep-th newest commit time: a top-k of the (small) commit log
+    kept = newest.orderBy(F.desc("at"), F.desc("version")).limit(keep).agg(
+        F.min(F.struct("at", "version")).alias("oldest_kept")).collect()[0]["oldest_kept"]
+    if kept is None:
+        return []
+    at, version = ntz_lit(kept["at"]), F.lit(kept["version"])
+    cutoff = (F.col("at") < at) | ((F.col("at") == at) & (F.col("version") < version))
+    old = [r["version"] for r in newest.filter(cutoff).select("version").collect()]
+    jvm = getattr(spark, "_jvm", None)
+    if not old or jvm is None:
+        return []
+    conf = spark._jsc.hadoopConfiguration()
+    for version in old:
+        for parent in folders or (root,):
+            path = jvm.org.apache.hadoop.fs.Path(f"{parent}/v={version}")
+            path.getFileSystem(conf).delete(path, True)
+    return old
+
+
 def read_current(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame | None:
     """The current version below ``root`` (None before the first commit)."""
     version = current_version_at(spark, root)

@@ -207,3 +207,20 @@ def test_raw_and_trusted_files_are_sorted_by_key(spark, scratch):
         for part in parts:
             keys = pq.read_table(part, columns=[column]).column(0).to_pylist()
             assert keys == sorted(keys)
+
+
+def test_old_committed_versions_expire_uncommitted_stay(spark, scratch):
+    import glob
+    from dataclasses import replace
+
+    spec = replace(SPEC, load_mode=LOAD_FULL, keep_versions=2)
+    layout = L.LakeLayout(f"{scratch}/lake")
+    stray = f"{layout.trusted(spec)}/v=in-progress"
+    spark.range(1).write.parquet(stray)  # a write that has not committed (yet)
+    versions = []
+    for i, stamp in enumerate((T1, T2, T3, dt.datetime(2024, 9, 7, 9))):
+        lines = ["ThingID;Name;Amount;Day", f"{i};n{i};1.5;2024-09-01"]
+        versions.append(load(spark, layout, f"{scratch}/in", f"f{i}.csv", lines, f"b{i}", stamp, spec).version)
+    left = sorted(p.rsplit("v=", 1)[1] for p in glob.glob(f"{local(layout.trusted(spec))}/v=*"))
+    assert left == sorted([*versions[-2:], "in-progress"])
+    assert [r["thing_id"] for r in L.read_trusted(spark, layout, spec).collect()] == [3]

@@ -236,6 +236,17 @@ def expire_versions(spark: SparkSession, root: str, keep: int, folders: tuple[st
     """
     if keep <= 0 or path_exists(spark, _commits_path(root)) is not True:
         return []
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:
+        return []
+    conf = spark._jsc.hadoopConfiguration()
+    log = jvm.org.apache.hadoop.fs.Path(_commits_path(root))
+    # one file per commit: with no more files than ``keep`` nothing can expire,
+    # and a listing is cheaper than two Spark jobs
+    n_files = sum(1 for st in log.getFileSystem(conf).listStatus(log)
+                  if not st.getPath().getName().startswith(("_", ".")))
+    if n_files <= keep:
+        return []
     commits = spark.read.schema(COMMIT_SCHEMA).parquet(_commits_path(root))
     newest = commits.groupBy("version").agg(F.max("committed_at").alias("at"))
     # the keep-th newest commit time: a top-k of the (small) commit log
@@ -246,10 +257,6 @@ def expire_versions(spark: SparkSession, root: str, keep: int, folders: tuple[st
     at, version = ntz_lit(kept["at"]), F.lit(kept["version"])
     cutoff = (F.col("at") < at) | ((F.col("at") == at) & (F.col("version") < version))
     old = [r["version"] for r in newest.filter(cutoff).select("version").collect()]
-    jvm = getattr(spark, "_jvm", None)
-    if not old or jvm is None:
-        return []
-    conf = spark._jsc.hadoopConfiguration()
     for version in old:
         for parent in folders or (root,):
             path = jvm.org.apache.hadoop.fs.Path(f"{parent}/v={version}")

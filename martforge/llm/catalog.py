@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import host_rules, language_id, line_dedup, minhash, mixing, packing, token_files
+from . import class_lm, host_rules, language_id, license_scan, line_dedup, minhash, mixing, packing, token_files, vector_dedup
 from .shared import crc_mod, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,7 +35,53 @@ def held_out(modulus: int, remainder: int):
     return F.coalesce(crc_mod("doc_id", modulus) == remainder, F.lit(False))
 
 
-@register("op1_host_rules")
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+OP1_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text, coalesce({_WORDS.format('text')}, []) AS w FROM documents),
+words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+grams AS (SELECT r, unnest([array_to_string(w[i:i+7], ' ') FOR i IN range(1, len(w) - 6)]) AS g,
+                 unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM grams) WHERE n > 1),
+covered AS (SELECT r, count(DISTINCT i + k) AS n_repeat FROM again, (SELECT unnest(range(0, 8)) AS k) GROUP BY r),
+lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d WHERE text IS NOT NULL),
+dup AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup FROM lines
+        WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+base AS (
+  SELECT d.r, d.doc_id, d.source AS host, CAST(len(d.w) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum([length(x) FOR x IN d.w]), 0) AS BIGINT) AS word_chars,
+         CAST(coalesce(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')), 0) AS BIGINT) AS n_symbols,
+         CAST(coalesce(dup.n_dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n_repeat, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN dup USING (r) LEFT JOIN covered c USING (r)),
+judged AS (SELECT *, n_words < {host_rules.MIN_WORDS} OR 100 * n_repeat_words > {host_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM base),
+hosts AS (SELECT host, CAST(count(*) AS DOUBLE) AS n, CAST(sum(CAST(base_failed AS INT)) AS DOUBLE) AS f FROM judged GROUP BY host),
+sums AS (SELECT sum(n) AS n, sum(f) / sum(n) AS mean, sum(f * f / n) AS sq, count(*) AS h FROM hosts),
+spread AS (SELECT *, mean * (1 - mean) AS noise, sq / n - mean * mean - mean * (1 - mean) * h / n AS spread FROM sums),
+prior AS (SELECT mean, CASE WHEN spread > 1e-12 THEN least(greatest(noise / spread - 1, {host_rules.MIN_STRENGTH}),
+          {host_rules.MAX_STRENGTH}) ELSE {host_rules.MAX_STRENGTH} END AS strength FROM spread),
+rates AS (SELECT host, (mean * strength + f) / (strength + n) >= {host_rules.MAX_HOST_RATE} AS host_failed FROM hosts, prior)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, j.host, host_failed,
+       NOT base_failed AND NOT host_failed AS kept
+FROM judged j JOIN rates ON j.host IS NOT DISTINCT FROM rates.host
+"""
+
+OP3_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, coalesce({_WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}, []) AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
+      ELSE list_distinct([w[i] || ' ' || w[i+1] FOR i IN range(1, len(w))]) END AS s FROM w),
+n AS (SELECT doc_id, s, CAST(len(s) AS BIGINT) AS n FROM s),
+x AS (SELECT doc_id, n, unnest(s) AS g FROM n),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS k FROM x a JOIN x b USING (g)
+           WHERE a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY ALL),
+l AS (SELECT a, b FROM common WHERE 100 * k >= 80 * (na + nb - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS node, doc_id AS seen FROM n UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen),
+c AS (SELECT node, min(seen) AS component_id FROM r GROUP BY node)
+SELECT n.doc_id, n.n AS n_shingles, c.component_id, n.doc_id = c.component_id AS kept FROM n JOIN c ON c.node = n.doc_id
+"""
+
+
+@register("op1_host_rules", OP1_SQL)
 def op1(spark, sf_dir):
     return host_rules.judge_documents(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "host",
@@ -48,11 +94,21 @@ def op2(spark, sf_dir):
         "doc_id", "source", "size", "source_size", "target", "taken")
 
 
-@register("op3_minhash_near_dedup")
+@register("op3_minhash_near_dedup", OP3_SQL)
 def op3(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
 
 
+@register("op4_class_language_model")
+def op4(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    test = held_out(5, 1)
+    model, vocabulary = class_lm.train(docs.filter(~test))
+    scored = class_lm.score_texts(docs, model, vocabulary)
+    return scored.withColumn("held_out", test).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @register("op5_language_id")
 def op5(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -63,6 +119,11 @@ def op5(spark, sf_dir):
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
+@register("op6_license_scan", license_scan.oracle_sql())
+def op6(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 @register("op7_fuzzy_line_dedup")
 def op7(spark, sf_dir):
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
@@ -82,3 +143,21 @@ def op9(spark, sf_dir):
         table(spark, sf_dir, "documents"), work_dir(spark, "llm", "token_files"), tokenizer_path())
     return token_files.read_token_files(spark, manifest).withColumn("ids_crc32", F.crc32("ids")).select(
         "doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@register("op10_vector_near_dedup", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0
+),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT vec_id AS node, vec_id AS seen FROM embeddings UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.seen),
+c AS (SELECT node, min(seen) AS component_id FROM r GROUP BY node),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN c ON c.node = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+""")
+def op10(spark, sf_dir):
+    return vector_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))

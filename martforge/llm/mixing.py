@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import let, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
@@ -186,10 +186,10 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     partly = F.col("taken") - F.col("whole") * F.col("size")
     copies = joined.withColumn("mix_partly", partly).withColumn(
         "mix_copy", F.explode(F.sequence(F.lit(1), (F.col("whole") + (F.col("mix_partly") > 0).cast("long")).cast("int"))))
-    words = F.regexp_extract_all(F.col(text_col), F.lit(WORD), 0)
-    picked = F.flatten(F.transform(F.filter(_blocks(block_tokens), _extra), lambda i: F.slice(
-        words, (F.greatest(F.col("start"), i * block_tokens) - F.col("start") + 1).cast("int"),
-        _overlap(i, block_tokens).cast("int"))))
+    picked = let(F.regexp_extract_all(F.col(text_col), F.lit(WORD), 0), lambda words: F.flatten(F.transform(
+        F.filter(_blocks(block_tokens), _extra), lambda i: F.slice(
+            words, (F.greatest(F.col("start"), i * block_tokens) - F.col("start") + 1).cast("int"),
+            _overlap(i, block_tokens).cast("int")))))
     cut = (F.col("mix_copy") > F.col("whole")) & (F.col("mix_partly") < F.col("size"))
     return copies.withColumn(text_col, F.when(cut, F.array_join(picked, " ")).otherwise(F.col(text_col))).select(
         *docs.columns)

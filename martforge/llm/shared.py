@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
@@ -33,3 +33,12 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
 def crc_mod(column: str, n: int):
     """crc32 of an id's decimal text, modulo n; null for a null id."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once per row however often the body uses it.
+
+    The optimizer copies a column's expression to wherever it is used, inside
+    lambdas too; the argument of a lambda is a value.
+    """
+    return F.get(F.transform(F.array(value), body), 0)

@@ -142,9 +142,11 @@ class TableSpec:
     # newest value already in trusted (incremental by modification date)
     modified: str = ""
     type_map: dict[str, str] = field(default_factory=lambda: dict(DEFAULT_TYPE_MAP))
-    # committed trusted snapshots kept; older ones are deleted after each load
-    # (0 keeps every version)
-    keep_versions: int = 3
+    # committed trusted snapshots kept; older ones are deleted after each load.
+    # 0, the default, keeps every version; a limit must outlast the longest reader.
+    keep_versions: int = 0
+    # quoted values of the file hold line breaks: read it whole, without splitting
+    multi_line: bool = False
 
     def __post_init__(self):
         cols = tuple(c.resolved(self.type_map) for c in self.columns)
@@ -207,8 +209,9 @@ class TableSpec:
         return [c for c in self.lake_columns if c not in self.keys]
 
 
-def _cols(*items: tuple[str, str]) -> tuple[ColumnSpec, ...]:
-    return tuple(ColumnSpec(source, kind) for source, kind in items)
+def _cols(*items: tuple[str, ...]) -> tuple[ColumnSpec, ...]:
+    """Columns from (source, type) or (source, type, lake name)."""
+    return tuple(ColumnSpec(*item) for item in items)
 
 
 # The six delivered files of the sales data mart, keyed as the reference
@@ -222,7 +225,7 @@ REFERENCE_SPECS = {
             ("SalesOrderNumber", "string"), ("PurchaseOrderNumber", "string"), ("CustomerID", "int"),
             ("SalesPersonID", "int"), ("BillToAddressID", "int"), ("ShipMethodID", "int"),
             ("CreditCardID", "int"), ("CreditCardApprovalCode", "string"), ("CurrencyRateID", "int"),
-            ("SubTotal", "float"), ("TaxAmt", "float"), ("Freight", "float"), ("TotalDue", "float"),
+            ("SubTotal", "float", "subtotal"), ("TaxAmt", "float"), ("Freight", "float"), ("TotalDue", "float"),
             ("Comment", "string"),
         ),
         keys=("SalesOrderID",),
@@ -265,6 +268,7 @@ REFERENCE_SPECS = {
             ("AdditionalContactInfo", "string"), ("Demographics", "string"),
         ),
         keys=("BusinessEntityID",),
+        multi_line=True,  # Demographics is XML
     ),
     "Sales.SpecialOfferProduct.csv": TableSpec(
         "Sales.SpecialOfferProduct.csv",

@@ -27,6 +27,7 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("rows_deleted", T.LongType(), True),
         T.StructField("null_keys", T.LongType(), True),
         T.StructField("rows_rejected", T.LongType(), True),
+        T.StructField("rows_collapsed", T.LongType(), True),
         T.StructField("version", T.StringType(), True),
         T.StructField("message", T.StringType(), True),
         T.StructField("event_time", T.TimestampNTZType(), False),
@@ -49,6 +50,7 @@ class AuditRecord:
     rows_deleted: int | None = None
     null_keys: int | None = None
     rows_rejected: int | None = None
+    rows_collapsed: int | None = None
     version: str | None = None
     message: str | None = None
     event_time: dt.datetime | None = None

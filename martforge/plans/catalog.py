@@ -299,7 +299,7 @@ EVENTS_WATERMARK = dt.datetime(2024, 1, 29)
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id
                                ORDER BY {_desc(['ts', 'event_id', 'event_type', 'value', 'props'])}) AS rn
-  FROM events WHERE ts > TIMESTAMP '{EVENTS_WATERMARK.isoformat(sep=' ')}')
+  FROM events WHERE ts >= TIMESTAMP '{EVENTS_WATERMARK.isoformat(sep=' ')}' OR ts IS NULL)
 WHERE rn = 1
 """)
 def incremental_by_modified(spark, sf_dir):
@@ -454,7 +454,7 @@ def archive_by_date(spark, sf_dir):
     for which, day in enumerate(ARCHIVE_DATES, start=1):
         name = f"orders_{S.BATCH_IDS[which - 1]}.csv"
         path = S.write_batch_file(spark, S.orders_batch_text(spark, sf_dir, which), S.ORDERS_SPEC, name)
-        files.archive_by_date(flatfile.read_flat_file(spark, path, S.ORDERS_SPEC), folder, day)
+        files.archive_by_date(flatfile.read_flat_file(spark, path, S.ORDERS_SPEC), folder, day, S.BATCH_IDS[which - 1])
     archived = spark.read.parquet(folder)
     return archived.groupBy(F.col("ingest_date").cast("date").alias("ingest_date")).agg(
         F.count(F.lit(1)).alias("n_rows")
@@ -481,7 +481,7 @@ def new_files_anti(spark, sf_dir):
 def stream_ingest(spark, sf_dir):
     landing = work_dir(spark, "stream", "landing")
     text = S.render_text(S.table(spark, sf_dir, "events"), S.EVENTS_SPEC, F.col("event_id"))
-    flatfile.write_flat_file(text.repartitionByRange(4, "event_id"), landing, S.EVENTS_SPEC)
+    flatfile.write_flat_file(text.repartitionByRange("event_id"), landing, S.EVENTS_SPEC)
     layout = layers.LakeLayout(work_dir(spark, "stream", "lake"))
     file_stream.ingest_stream(
         spark, S.EVENTS_SPEC, landing, layout, work_dir(spark, "stream", "checkpoint"),
@@ -542,3 +542,6 @@ def trusted_quarantine(spark, sf_dir):
         F.col("l_suppkey"))).drop("__bad")
     flagged = casts.flag_rows(text, S.LINEITEM_SPEC)
     return flagged.groupBy("bad_column").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+from . import scenarios  # noqa: E402, F401  (registers its queries)

@@ -5,7 +5,7 @@ The reference's daily load per table, as Spark jobs:
 1. stamp the text batch and write it into the raw history (one pass over the file);
 2. row count and stamp (the watermark) are observed during that write;
 3. full load: type the rows of this stamp and write them as the new snapshot;
-   merge: type the rows from this stamp on, keep the latest row per key and
+   merge: type the batch's rows, keep the latest row per key and
    write the merged snapshot, then classify it against the current snapshot
    on the key columns only (inserted / updated / deleted);
 4. commit the snapshot and append the audit row.
@@ -26,12 +26,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import LOAD_FULL, LOAD_RAW_ONLY, MERGE_SNAPSHOT, TableSpec
+from ..config import LOAD_FULL, LOAD_RAW_ONLY, MERGE_UPSERT, TableSpec
 from ..functions.casts import flag_rows, typed_projection
+from ..functions.dates import ntz_lit
 from ..operators.audit import ERROR, OK, SKIPPED, AuditRecord, append_audit
-from ..operators.dedup import changed_since, latest_per_key
+from ..operators.dedup import assert_unique_keys, changed_since, latest_per_key
 from ..operators.merge import apply_merge, change_counts
 from ..sources import layers as L
+from ..sources.files import archive_by_date
+from ..sources.flatfile import FAIL, KEEP, MALFORMED, read_flat_file
 
 
 @dataclass
@@ -47,6 +50,7 @@ class BatchResult:
     version: str | None = None
     status: str = OK
     rows_rejected: int = 0
+    rows_collapsed: int = 0
 
 
 def _null_key_count(keys) -> F.Column:
@@ -56,38 +60,35 @@ def _null_key_count(keys) -> F.Column:
     return F.count(F.when(cond, 1))
 
 
+# later files of a streamed batch win; rows of a batch load have no file
+_ORDER = ("partition_time", *[name for name, _ in L.FILE_COLUMNS])
+
+
 def typed_batch(
     spark: SparkSession, layout: L.LakeLayout, spec: TableSpec, stamp: dt.datetime, batch_id: str = "",
     quarantine: bool = False, modified_since=None,
 ) -> tuple[DataFrame, int]:
-    """The typed rows a load applies and the number of rejected rows.
-
-    Full load: the rows of this stamp. Merge: the rows from this stamp on,
-    cast first and then reduced to the latest row per key (D8: '12' and
-    '12.0' are one key). With ``quarantine`` rows whose text does not cast
-    are written to the quarantine folder (text kept, failing column named)
-    instead of failing the load. ``modified_since`` keeps only rows whose
-    modification date is later (incremental by modification date, P9).
+    """The typed rows of a batch, before they are reduced to one per key, and the number of rejected rows.
+
+    Full load: the rows of this stamp. Merge: the batch's rows from this stamp
+    on. With ``quarantine`` rows whose text does not cast are written to the
+    batch's quarantine folder (text kept, failing column named) instead of
+    failing the load. ``modified_since`` keeps only rows modified since, and
+    undated ones (incremental by modification date, P9).
     """
     rows = L.raw_batch_rows(spark, layout, spec, stamp, exact=spec.load_mode == LOAD_FULL, batch_id=batch_id)
     rejected = 0
     if quarantine:
-        flagged = flag_rows(rows, spec)
+        flagged = flag_rows(rows, spec, _ORDER)
         bad = flagged.filter(F.col("bad_column").isNotNull()).select(
-            *[F.col(f"__text_{c}").alias(c) for c in spec.lake_columns], "partition_time", "bad_column",
-            F.lit(str(batch_id)).alias("batch_id"),
-        )
-        bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(
-            layout.quarantine(spec))
-        rejected = L.read_quarantine(spark, layout, spec).filter(F.col("batch_id") == str(batch_id)).count()
-        typed = flagged.filter(F.col("bad_column").isNull()).select(*spec.lake_columns, "partition_time")
+            *[F.col(f"__text_{c}").alias(c) for c in spec.lake_columns], "partition_time", "bad_column")
+        rejected = L.write_quarantine(bad, layout, spec, batch_id, "value")
+        typed = flagged.filter(F.col("bad_column").isNull()).select(*spec.lake_columns, *_ORDER)
     else:
-        typed = typed_projection(rows, spec)
-    if spec.load_mode == LOAD_FULL:
-        return typed, rejected
+        typed = typed_projection(rows, spec, _ORDER)
     if modified_since is not None:
         typed = changed_since(typed, spec.modified, modified_since)
-    return latest_per_key(typed, spec.keys, ["partition_time"]), rejected
+    return typed, rejected
 
 
 def load_batch(
@@ -98,61 +99,93 @@ def load_batch(
     batch_id: str,
     batch_time: dt.datetime | str | None = None,
     quarantine: bool = False,
+    force: bool = False,
+    unique_keys: bool = False,
 ) -> BatchResult:
     """Load one text batch (lake-named string columns) into raw and trusted.
 
-    ``quarantine``: set rows that do not cast aside (see ``typed_batch``)
-    instead of failing the whole load on the first bad value.
+    A batch that was committed before keeps its stamp unless ``batch_time``
+    says otherwise. A batch older than the committed one lands in raw only:
+    applying it would bring back deleted rows (``force`` applies it).
+    ``quarantine``: set malformed lines and rows that do not cast aside
+    instead of failing the whole load. ``unique_keys``: refuse a merge batch
+    that has several rows for a key (they are reduced to the latest, and
+    counted as ``rows_collapsed``, otherwise).
     """
     audits: list[AuditRecord] = []
-    table = spec.table_name
+    table, batch_id = spec.table_name, str(batch_id)
     try:
-        land = L.stamp_land(text, batch_time)
+        after = L.commit_number(spark, layout.trusted(spec))
+        head = L.read_head(spark, layout.trusted(spec), batch_id)
+        rejected = 0
+        if MALFORMED in text.columns:
+            if quarantine:
+                rejected = L.write_quarantine(
+                    text.filter(F.col(MALFORMED).isNotNull()), layout, spec, batch_id, "line")
+            text = text.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
+        land = L.stamp_land(text, batch_time or head.batch_stamp, with_files=True)
         mark = L.append_raw(land, layout, spec, batch_id)
         stamp, rows_in = mark["partition_time"], int(mark["rows_in"])
-        audits.append(AuditRecord(table, str(batch_id), "INSERT RAW", OK, stamp, rows_in=rows_in))
+        audits.append(AuditRecord(table, batch_id, "INSERT RAW", OK, stamp, rows_in=rows_in))
+        skip = None
         if rows_in == 0:
-            audits.append(AuditRecord(table, str(batch_id), "LOAD", SKIPPED, None, 0, message="empty batch"))
-            return BatchResult(table, str(batch_id), None, 0, status=SKIPPED)
-        if spec.load_mode == LOAD_RAW_ONLY:
-            audits.append(AuditRecord(table, str(batch_id), "LOAD", SKIPPED, stamp, rows_in, message="raw only"))
-            return BatchResult(table, str(batch_id), stamp, rows_in, status=SKIPPED)
-
-        target = L.read_trusted(spark, layout, spec)
+            stamp, skip = None, "empty batch"
+        elif spec.load_mode == LOAD_RAW_ONLY:
+            skip = "raw only"
+        elif head.stamp is not None and stamp < head.stamp and not force:
+            skip = f"older than the committed batch {head.batch_id} ({head.stamp})"
+        if skip:
+            audits.append(AuditRecord(table, batch_id, "LOAD", SKIPPED, stamp, rows_in, message=skip))
+            return BatchResult(table, batch_id, stamp, rows_in, status=SKIPPED, rows_rejected=rejected)
+
+        target = L.read_trusted_version(spark, layout, spec, head.version)
         since = None
         if spec.modified and spec.load_mode != LOAD_FULL:
             since = target.agg(F.max(spec.modified).alias("m")).collect()[0]["m"]
-        batch, rejected = typed_batch(spark, layout, spec, stamp, batch_id, quarantine, since)
+        typed, uncast = typed_batch(spark, layout, spec, stamp, batch_id, quarantine, since)
+        rejected += uncast
         version = f"{batch_id}-{uuid.uuid4().hex[:8]}"
         if spec.load_mode == LOAD_FULL:
             written = Observation(f"snapshot_{table}_{version}")
-            L.write_snapshot(batch.observe(written, F.count(F.lit(1)).alias("n"),
-                                           _null_key_count(spec.keys).alias("null_keys")), layout, spec, version)
+            rows = typed.drop(*[name for name, _ in L.FILE_COLUMNS])
+            L.write_snapshot(rows.observe(written, F.count(F.lit(1)).alias("n"),
+                                          _null_key_count(spec.keys).alias("null_keys")), layout, spec, version)
             n_new = written.get
             n_old = target.agg(F.count(F.lit(1)).alias("n")).collect()[0]
             counts = {"rows_inserted": n_new["n"], "rows_updated": 0, "rows_deleted": n_old["n"],
                       "null_keys": n_new["null_keys"]}
-            operation = "FULL LOAD"
+            operation, collapsed = "FULL LOAD", 0
         else:
+            if unique_keys:
+                assert_unique_keys(typed, spec.keys, f"{table} batch {batch_id}")
+            seen = Observation(f"batch_{table}_{version}")
+            # cast first, then the latest row per key (D8: '12' and '12.0' are one key)
+            batch = latest_per_key(typed.observe(seen, F.count(F.lit(1)).alias("n")), spec.keys, _ORDER).drop(
+                *[name for name, _ in L.FILE_COLUMNS])
             L.write_snapshot(apply_merge(target, batch, spec.keys, spec.merge_mode), layout, spec, version)
-            # the snapshot merge result is the batch itself: classify against what was written
-            source = L.read_trusted_version(spark, layout, spec, version) if spec.merge_mode == MERGE_SNAPSHOT else batch
+            # what was written holds the batch's rows, by their stamp: no second pass over the text
+            source = L.read_trusted_version(spark, layout, spec, version)
+            if spec.merge_mode == MERGE_UPSERT:
+                source = source.filter(F.col("partition_time") == ntz_lit(stamp))
+                if head.stamp == stamp:  # rows of an earlier batch with this very stamp are not this batch's
+                    source = batch
             counts = change_counts(target, source, spec.keys, spec.merge_mode).collect()[0].asDict()
             operation = "MERGE"
-        L.commit_snapshot(spark, layout, spec, version, batch_id, stamp)
+            collapsed = int(seen.get["n"]) - int(counts["rows_inserted"]) - int(counts["rows_updated"])
+        L.commit_snapshot(spark, layout, spec, version, batch_id, stamp, after)
         L.expire_versions(spark, layout.trusted(spec), spec.keep_versions)
         result = BatchResult(
-            table, str(batch_id), stamp, rows_in,
+            table, batch_id, stamp, rows_in,
             int(counts["rows_inserted"]), int(counts["rows_updated"]), int(counts["rows_deleted"]),
-            int(counts["null_keys"]), version, rows_rejected=rejected,
+            int(counts["null_keys"]), version, rows_rejected=rejected, rows_collapsed=collapsed,
         )
         audits.append(AuditRecord(
-            table, str(batch_id), operation, OK, stamp, rows_in, result.rows_inserted, result.rows_updated,
-            result.rows_deleted, result.null_keys, result.rows_rejected, version,
+            table, batch_id, operation, OK, stamp, rows_in, result.rows_inserted, result.rows_updated,
+            result.rows_deleted, result.null_keys, result.rows_rejected, result.rows_collapsed, version,
         ))
         return result
     except Exception as exc:
-        audits.append(AuditRecord(table, str(batch_id), "LOAD", ERROR, message=str(exc)[:1000]))
+        audits.append(AuditRecord(table, batch_id, "LOAD", ERROR, message=str(exc)))
         raise
     finally:
         append_audit(spark, layout.audit, audits)
@@ -166,15 +199,16 @@ def load_file(
     batch_id: str,
     batch_time: dt.datetime | str | None = None,
     quarantine: bool = False,
+    force: bool = False,
+    archive: bool = False,
 ) -> BatchResult:
     """Load a delivered file; a missing file is skipped with an audit row (D18).
 
     The marts can still be refreshed from the last committed snapshots.
+    ``archive`` adds the file's rows, as text, to the dated archive once they are loaded.
     """
-    from ..sources.flatfile import read_flat_file
-
     try:
-        text = read_flat_file(spark, path, spec)
+        text = read_flat_file(spark, path, spec, malformed=KEEP if quarantine else FAIL)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" not in str(exc):
             raise
@@ -182,4 +216,7 @@ def load_file(
             AuditRecord(spec.table_name, str(batch_id), "LOAD", SKIPPED, rows_in=0, message=f"missing file {path}")
         ])
         return BatchResult(spec.table_name, str(batch_id), None, 0, status=SKIPPED)
-    return load_batch(spark, spec, text, layout, batch_id, batch_time, quarantine)
+    result = load_batch(spark, spec, text, layout, batch_id, batch_time, quarantine, force)
+    if archive and result.stamp is not None:
+        archive_by_date(text, layout.archive(spec), result.stamp.date(), batch_id)
+    return result

@@ -44,7 +44,7 @@ def refresh_marts(
     specs: dict[str, TableSpec],
     prepare: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
     run_id: str | None = None,
-    keep_versions: int = 3,
+    keep_versions: int = 0,
 ) -> dict[str, str]:
     """Write and commit every mart; returns ``{mart: version}``.
 
@@ -53,6 +53,7 @@ def refresh_marts(
     Refreshes older than the newest ``keep_versions`` are deleted (0 keeps all).
     """
     prepare = prepare or {}
+    after = L.commit_number(spark, layout.refined_root)
     sources = {}
     for role in ROLES:
         df = L.read_trusted(spark, layout, specs[role]).drop("partition_time")
@@ -69,7 +70,7 @@ def refresh_marts(
     written = {name: run for name in jobs}
     # one commit row for the whole refresh, after every mart is written:
     # readers switch all five marts at once
-    L.commit_version(spark, layout.refined_root, run, run, None)
+    L.commit_version(spark, layout.refined_root, run, run, None, after)
     # refreshes older than the newest ``keep_versions`` (0: none) are deleted
     L.expire_versions(spark, layout.refined_root, keep_versions,
                       tuple(layout.refined(name) for name in MART_NAMES))

@@ -9,28 +9,37 @@ source (``streaming.file_stream``) keeps its own ledger in the checkpoint.
 from __future__ import annotations
 
 import datetime as dt
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """Names of the files in ``folder`` (``path``, ``file_name``, ``length``, ``modified``).
+    """The files below ``folder``, at any depth (``path``, ``file_name``, ``length``, ``modified``).
 
-    Uses the binary-file source without its content column, so only the
-    listing is read; folders and ``_``/``.`` marker files are skipped.
+    ``file_name`` is the path relative to the folder, so equal base names in
+    two folders are two files. Uses the binary-file source without its content
+    column, so only the listing is read; ``_``/``.`` marker files are skipped.
     """
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    return listing.select(
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+               .option("recursiveFileLookup", "true").load(folder))
+    root = urlparse(folder).path.rstrip("/") + "/"
+    base = F.regexp_extract("path", r"([^/]+)$", 1)
+    return listing.filter(~base.startswith("_") & ~base.startswith(".")).select(
         "path",
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
+        F.expr("substr(path, locate(:root, path) + length(:root))".replace(":root", _sql_text(root))).alias("file_name"),
         "length",
         F.col("modificationTime").alias("modified"),
-    ).filter(~F.col("file_name").startswith("_") & ~F.col("file_name").startswith("."))
+    )
+
+
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def new_files(candidates: DataFrame, ledger: DataFrame, name: str = "file_name") -> DataFrame:
-    """Candidate names not yet in the ledger (anti join on the name, J5).
+    """Candidate names (relative paths) not yet in the ledger (anti join on the name, J5).
 
     Names ending in ``/`` are folders and never candidates.
     """
@@ -38,16 +47,17 @@ def new_files(candidates: DataFrame, ledger: DataFrame, name: str = "file_name")
     return cands.join(ledger.select(name).distinct(), name, "left_anti")
 
 
-def archive_by_date(rows: DataFrame, folder: str, ingest_date: dt.date | str) -> None:
-    """Append converted rows under ``ingest_date=YYYY-MM-DD`` (the reference's Y/M/D folders).
+def archive_by_date(rows: DataFrame, folder: str, ingest_date: dt.date | str, batch_id: str) -> None:
+    """Add a batch's converted rows under ``ingest_date=YYYY-MM-DD/batch_id=<id>`` (the reference's Y/M/D folders).
 
-    Re-archiving the same date replaces that date only (dynamic overwrite).
+    Archiving the same batch again replaces that batch only; other files of the day stay.
     """
     day = ingest_date if isinstance(ingest_date, str) else ingest_date.isoformat()
     (
         rows.withColumn("ingest_date", F.lit(day))
+        .withColumn("batch_id", F.lit(str(batch_id)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ingest_date")
+        .partitionBy("ingest_date", "batch_id")
         .parquet(folder)
     )

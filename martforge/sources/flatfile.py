@@ -2,14 +2,17 @@
 
 Files are read as text (no type inference), by header name, so a batch
 whose columns come in another order still lands right; a missing column is
-an error, and so is a file set whose headers disagree. The no-value words become NULL, then columns get their lake names.
-Reads are not multi-line, so every file splits across tasks.
+an error, and so is a file set whose headers disagree or a line whose number
+of fields is not the header's. The no-value words become NULL, then columns
+get their lake names. Reads are not multi-line, so every file splits across
+tasks, unless the spec says that its values hold line breaks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import FIELD_SEPARATOR, TableSpec
 from ..functions.casts import na_to_null
@@ -30,22 +33,49 @@ CSV_OPTIONS = {
 }
 _READ_ONLY = ("inferSchema", "enforceSchema")
 
+FAIL, KEEP = "fail", "keep"
+MALFORMED = "malformed_line"
 
-def read_flat_file(spark: SparkSession, path: str | list[str], spec: TableSpec, **options: str) -> DataFrame:
-    """Text columns with lake names, in spec order (S1, P1, P2)."""
-    opts = {**CSV_OPTIONS, **options}
-    raw = spark.read.options(**opts).csv(path)
-    return to_lake_text(raw, spec)
 
+def read_flat_file(
+    spark: SparkSession, path: str | list[str], spec: TableSpec, malformed: str = FAIL, with_file: bool = False,
+    **options: str,
+) -> DataFrame:
+    """Text columns with lake names, in spec order (S1, P1, P2).
 
-def to_lake_text(raw: DataFrame, spec: TableSpec) -> DataFrame:
+    A line with more or fewer fields than the header is malformed. ``fail``
+    raises when the row is read; ``keep`` adds the column ``malformed_line``
+    (the line's text, NULL for good rows), which a load sets aside.
+    ``with_file`` adds the time and path of each row's file.
+    """
+    if malformed not in (FAIL, KEEP):
+        raise ValueError(f"malformed: {malformed!r}")
+    opts = {**CSV_OPTIONS, "multiLine": str(spec.multi_line).lower(), **options}
+    header = spark.read.options(**opts).csv(path).columns
+    # every column is read, so that every line's fields are counted
+    opts |= {"columnNameOfCorruptRecord": MALFORMED, "columnPruning": "false"}
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*header, MALFORMED]])
+    origin = {"file_time": F.col("_metadata.file_modification_time").cast("timestamp_ntz"),
+              "file_path": F.col("_metadata.file_path")} if with_file else {}
+    raw = spark.read.schema(schema).options(**opts).csv(path).withColumns(origin)
+    rows = to_lake_text(raw, spec, keep=(*origin, MALFORMED))
+    if malformed == KEEP:
+        return rows
+    line = F.concat(F.lit(f"{spec.name}: malformed line: "), F.col(MALFORMED))
+    checked = [F.when(F.col(MALFORMED).isNotNull(), F.raise_error(line)).otherwise(F.col(c)).alias(c)
+               for c in spec.lake_columns]
+    return rows.select(*checked, *origin)
+
+
+def to_lake_text(raw: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> DataFrame:
     """Header-named text columns -> lake-named text columns with NA words as NULL."""
     present = {c.lower(): c for c in raw.columns}
     missing = [c.source for c in spec.columns if c.source.lower() not in present]
     if missing:
         raise ValueError(f"{spec.name}: file lacks columns {missing}")
     return raw.select(
-        *[na_to_null(F.col(f"`{present[c.source.lower()]}`").cast("string")).alias(c.lake) for c in spec.columns]
+        *[na_to_null(F.col(f"`{present[c.source.lower()]}`").cast("string")).alias(c.lake) for c in spec.columns],
+        *keep,
     )
 
 

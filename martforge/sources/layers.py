@@ -2,26 +2,33 @@
 
 Layout below one root folder (a shared folder on a cluster)::
 
-    raw/<table>/partition_month=YYYY-MM/batch_id=<id>/part-*.parquet
+    raw/<table>/batch_id=<id>/partition_month=YYYY-MM/part-*.parquet
+    quarantine/<table>/batch_id=<id>/            rows of the batch that were set aside
     trusted/<table>/v=<id>/part-*.parquet        one folder per committed batch
     trusted/<table>/_commits/part-*.parquet      one row per commit
+    trusted/<table>/_numbers/<n>                 taken commit numbers (write guard)
     refined/<mart>/v=<run>/, refined/_commits/   marts, one commit row per refresh
     state/audit/                                 append-only audit (also the watermarks)
 
-* The raw history is keyed by batch: a re-run of a batch overwrites its own
-  partition (dynamic partition overwrite), so a retried load never doubles
-  rows (D14).
+* The raw history is keyed by batch: a re-run of a batch replaces its folder,
+  whatever month the run is in, so a retried load never doubles rows (D14).
 * A trusted load writes a new version folder and then appends a commit row.
   Readers take the latest committed version; a load that fails before its
   commit leaves the previous snapshot current (D11). Nothing is truncated.
+* A commit takes the next commit number by an exclusive create. A writer that
+  started from an older number than the last one fails instead of undoing the
+  other's update.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +36,10 @@ from pyspark.sql import types as T
 from ..config import SYSTEM_COLUMNS, SYSTEM_VALUES, TableSpec
 from ..functions.dates import month_key, ntz_lit, stamp_time
 
-RAW_PARTITIONS = ("partition_month", "batch_id")
+RAW_PARTITIONS = ("batch_id", "partition_month")
+# where a streamed row comes from; NULL for rows of a batch load
+FILE_COLUMNS = (("file_time", T.TimestampNTZType()), ("file_path", T.StringType()))
+KEPT_NUMBERS = 100  # commit numbers whose marker files stay
 
 
 @dataclass(frozen=True)
@@ -64,18 +74,21 @@ class LakeLayout:
 
 # --- land -------------------------------------------------------------------
 
-def stamp_land(text: DataFrame, batch_time: dt.datetime | str | None = None) -> DataFrame:
+def stamp_land(text: DataFrame, batch_time: dt.datetime | str | None = None, with_files: bool = False) -> DataFrame:
     """Add the system columns and the batch stamp to a text batch (P3).
 
     Version 0, operation ``'I'``, creation version 0; ``commit_time`` and
-    ``partition_time`` both get the batch stamp.
+    ``partition_time`` both get the batch stamp. ``with_files`` adds the
+    columns that say which file a row came from, as the raw history keeps them.
     """
     ts = stamp_time(batch_time)
     values = {name: F.lit(SYSTEM_VALUES[name]).cast(kind) for name, kind in SYSTEM_COLUMNS if name in SYSTEM_VALUES}
     values["commit_time"] = ts
+    files = [F.col(n) if n in text.columns else F.lit(None).cast(t).alias(n) for n, t in FILE_COLUMNS]
     return text.select(
         *[values[name].alias(name) for name, _ in SYSTEM_COLUMNS],
-        *text.columns,
+        *[c for c in text.columns if c not in dict(FILE_COLUMNS)],
+        *(files if with_files else []),
         ts.alias("partition_time"),
     )
 
@@ -85,6 +98,7 @@ def land_schema(spec: TableSpec) -> T.StructType:
 
     fields = [T.StructField(n, spark_type(t), True) for n, t in SYSTEM_COLUMNS]
     fields += [T.StructField(c, T.StringType(), True) for c in spec.lake_columns]
+    fields += [T.StructField(n, t, True) for n, t in FILE_COLUMNS]
     fields.append(T.StructField("partition_time", T.TimestampNTZType(), True))
     return T.StructType(fields)
 
@@ -96,27 +110,31 @@ def raw_schema(spec: TableSpec) -> T.StructType:
     return T.StructType(s.fields + [T.StructField(p, T.StringType(), True) for p in RAW_PARTITIONS])
 
 
+def batch_folder(root: str, batch_id: str) -> str:
+    if not re.fullmatch(r"[\w.-]+", str(batch_id)):
+        raise ValueError(f"batch id {batch_id!r}: only letters, digits, '.', '_' and '-'")
+    return f"{root}/batch_id={batch_id}"
+
+
 def append_raw(land: DataFrame, layout: LakeLayout, spec: TableSpec, batch_id: str) -> dict:
     """Write a stamped batch into the raw history (S4, S9); returns its watermark.
 
-    Partitioned by month of the stamp and by batch; rows sorted by key inside
-    each file, so parquet min/max statistics skip files on key lookups.
-    Overwrites only this batch's partition. The row count (A1) and the max
-    stamp (A2) are observed while writing, without a second pass; they are
-    returned as ``{"rows_in", "partition_time"}`` (S14, kept in the audit).
+    One folder per batch, which a re-run replaces, and in it one per month of
+    the stamp; rows are sorted by key inside each file. The row count (A1) and
+    the max stamp (A2) are observed while writing, without a second pass; they
+    are returned as ``{"rows_in", "partition_time"}`` (S14, kept in the audit).
     """
     mark = Observation(f"raw_{spec.table_name}_{batch_id}_{uuid.uuid4().hex[:8]}")
-    out = land.withColumn("partition_month", month_key(F.col("partition_time"))).withColumn(
-        "batch_id", F.lit(str(batch_id))
-    ).observe(mark, F.count(F.lit(1)).alias("rows_in"), F.max("partition_time").alias("partition_time"))
-    # sort by the partition columns first: that is the order the writer
-    # requires, so it keeps this one instead of re-sorting on them alone
+    out = land.withColumn("partition_month", month_key(F.col("partition_time"))).observe(
+        mark, F.count(F.lit(1)).alias("rows_in"), F.max("partition_time").alias("partition_time"))
+    # sort by the partition column first: that is the order the writer
+    # requires, so it keeps this one instead of re-sorting on it alone
     (
-        out.sortWithinPartitions(*RAW_PARTITIONS, *spec.keys)
+        out.sortWithinPartitions("partition_month", *spec.keys)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*RAW_PARTITIONS)
-        .parquet(layout.raw(spec))
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("partition_month")
+        .parquet(batch_folder(layout.raw(spec), batch_id))
     )
     return mark.get
 
@@ -127,40 +145,48 @@ def read_raw(spark: SparkSession, layout: LakeLayout, spec: TableSpec) -> DataFr
 
 
 def read_raw_batch(spark: SparkSession, layout: LakeLayout, spec: TableSpec, batch_id: str) -> DataFrame:
-    """The raw rows of one batch, reading only that batch's folder.
-
-    The path pattern names the batch, so only the month folders and the
-    batch's own folder are listed, however long the history grows.
-    """
+    """The raw rows of one batch; only that batch's folder is listed, however long the history grows."""
     root = layout.raw(spec)
-    return (
-        spark.read.schema(raw_schema(spec))
-        .option("basePath", root)
-        .parquet(f"{root}/partition_month=*/batch_id={batch_id}")
-    )
+    return spark.read.schema(raw_schema(spec)).option("basePath", root).parquet(batch_folder(root, batch_id))
 
 
 def raw_batch_rows(
     spark: SparkSession, layout: LakeLayout, spec: TableSpec, stamp: dt.datetime, exact: bool, batch_id: str = ""
 ) -> DataFrame:
-    """Raw rows of one stamp (``exact``, full load, P6) or from it on (merge, P7).
+    """Raw rows of one stamp (``exact``, P6) or from it on (P7); a load names its batch and reads only that.
 
-    The exact case reads only the batch's folder when its id is given; the
-    other filters the month partition as well as the stamp, so only folders
-    from the stamp's month on are read.
+    Without a batch id the whole history is filtered by month and stamp, so
+    only folders from the stamp's month on are read.
     """
-    ts = ntz_lit(stamp)
-    month = stamp.strftime("%Y-%m")
+    ts, month = ntz_lit(stamp), stamp.strftime("%Y-%m")
+    raw = read_raw_batch(spark, layout, spec, batch_id) if batch_id else read_raw(spark, layout, spec)
     if exact:
-        raw = read_raw_batch(spark, layout, spec, batch_id) if batch_id else read_raw(spark, layout, spec)
         return raw.filter((F.col("partition_month") == month) & (F.col("partition_time") == ts))
-    raw = read_raw(spark, layout, spec)
     return raw.filter((F.col("partition_month") >= month) & (F.col("partition_time") >= ts))
 
 
+def quarantine_schema(spec: TableSpec) -> T.StructType:
+    text = [*spec.lake_columns, "malformed_line", "bad_column"]
+    fields = [T.StructField(c, T.StringType(), True) for c in text]
+    fields += [T.StructField("partition_time", T.TimestampNTZType(), True), T.StructField("batch_id", T.StringType(), True)]
+    return T.StructType(fields)
+
+
+def write_quarantine(rows: DataFrame, layout: LakeLayout, spec: TableSpec, batch_id: str, kind: str) -> int:
+    """Replace the batch's rejected rows of one kind; returns how many there are (observed while writing)."""
+    seen = Observation(f"quarantine_{spec.table_name}_{batch_id}_{uuid.uuid4().hex[:8]}")
+    have = set(rows.columns)
+    columns = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+               for f in quarantine_schema(spec).fields if f.name != "batch_id"]
+    rows.select(*columns).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static").parquet(f"{batch_folder(layout.quarantine(spec), batch_id)}/kind={kind}")
+    return int(seen.get["n"])
+
+
 def read_quarantine(spark: SparkSession, layout: LakeLayout, spec: TableSpec) -> DataFrame:
-    """Rejected rows of all batches (text columns, ``bad_column``, ``batch_id``)."""
-    return spark.read.parquet(layout.quarantine(spec))
+    """Rejected rows of all batches (text columns, ``malformed_line``, ``bad_column``, ``batch_id``, ``kind``)."""
+    schema = T.StructType([*quarantine_schema(spec).fields, T.StructField("kind", T.StringType(), True)])
+    return spark.read.schema(schema).parquet(layout.quarantine(spec))
 
 
 # --- trusted snapshots --------------------------------------------------------
@@ -179,21 +205,47 @@ def _commits_path(root: str) -> str:
     return f"{root}/_commits"
 
 
-def current_version_at(spark: SparkSession, root: str) -> str | None:
-    """The latest committed version below ``root``, or None before the first commit.
-
-    Reads the commit log (one row per commit) and brings back one value.
-    """
+def commit_log(spark: SparkSession, root: str) -> DataFrame | None:
+    """All commits below ``root``; None before the first."""
     if path_exists(spark, _commits_path(root)) is False:
         return None
     try:
-        commits = spark.read.schema(COMMIT_SCHEMA).parquet(_commits_path(root))
-        row = commits.agg(F.max_by("version", F.struct("committed_at", "version")).alias("v")).collect()[0]
-    except Exception as exc:  # no commit log yet
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+        return spark.read.schema(COMMIT_SCHEMA).parquet(_commits_path(root))
+    except AnalysisException as exc:  # no commit log yet
+        if "PATH_NOT_FOUND" in str(exc):
             return None
         raise
-    return row["v"]
+
+
+@dataclass(frozen=True)
+class Head:
+    """What a load needs of the commit log, read in one job."""
+
+    version: str | None = None  # current version
+    batch_id: str | None = None  # its batch
+    stamp: dt.datetime | None = None  # its stamp
+    batch_stamp: dt.datetime | None = None  # stamp under which the asked batch was last committed
+
+
+def read_head(spark: SparkSession, root: str, batch_id: str = "") -> Head:
+    """The latest commit below ``root`` and, if ``batch_id`` was committed before, its stamp."""
+    commits = commit_log(spark, root)
+    if commits is None:
+        return Head()
+    order = F.struct("committed_at", "version")
+    own = F.when(F.col("batch_id") == str(batch_id), order)
+    row = commits.agg(
+        F.max_by(F.struct("version", "batch_id", "partition_time"), order).alias("last"),
+        F.max_by("partition_time", own).alias("batch_stamp"),
+    ).collect()[0]
+    if row["last"] is None:
+        return Head()
+    return Head(row["last"]["version"], row["last"]["batch_id"], row["last"]["partition_time"], row["batch_stamp"])
+
+
+def current_version_at(spark: SparkSession, root: str) -> str | None:
+    """The latest committed version below ``root``, or None before the first commit."""
+    return read_head(spark, root).version
 
 
 def path_exists(spark: SparkSession, path: str) -> bool | None:
@@ -218,50 +270,96 @@ def write_version(df: DataFrame, root: str, version: str, sort_keys=()) -> str:
     return path
 
 
-def commit_version(spark: SparkSession, root: str, version: str, batch_id: str, stamp: dt.datetime | None) -> None:
-    """Make a written version current: append its commit row."""
+class CommitConflict(RuntimeError):
+    """Another writer committed since this one read the table."""
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """The Hadoop path and its file system, or None where the JVM is not reachable."""
+    jvm, jsc = getattr(spark, "_jvm", None), getattr(spark, "_jsc", None)
+    if jvm is None or jsc is None:
+        return None
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(jsc.hadoopConfiguration())
+
+
+def _taken_numbers(spark: SparkSession, root: str) -> list[int]:
+    at = _hadoop(spark, f"{root}/_numbers")
+    if at is None or not at[1].exists(at[0]):
+        return []
+    names = [st.getPath().getName() for st in at[1].listStatus(at[0])]
+    return sorted(int(n) for n in names if n.isdigit())
+
+
+def commit_number(spark: SparkSession, root: str) -> int:
+    """The last commit number taken below ``root``; a writer reads it before it reads the table."""
+    return max(_taken_numbers(spark, root), default=0)
+
+
+def commit_version(spark: SparkSession, root: str, version: str, batch_id: str, stamp: dt.datetime | None,
+                   after: int | None = None) -> None:
+    """Make a written version current: take the next commit number, then append the commit row.
+
+    ``after``: the commit number that the writer started from. The number's
+    marker file is created exclusively, so of two writers that started from
+    the same number one commits and the other raises ``CommitConflict``; its
+    version folder stays uncommitted. (Object stores without an exclusive
+    create, and sessions without a JVM, need one writer per table.)
+    """
+    if after is not None:
+        at = _hadoop(spark, f"{root}/_numbers/{after + 1}")
+        if at is not None:
+            try:
+                if commit_number(spark, root) > after:
+                    raise CommitConflict(f"{root}: another load committed number {after + 1}")
+                at[1].create(at[0], False).close()
+            except Py4JJavaError as exc:
+                if "AlreadyExists" not in str(exc.java_exception):
+                    raise
+                raise CommitConflict(f"{root}: another load committed number {after + 1}") from exc
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     row = spark.createDataFrame([(version, str(batch_id), stamp, now)], COMMIT_SCHEMA)
     row.coalesce(1).write.mode("append").parquet(_commits_path(root))
+    if after is not None and after % KEPT_NUMBERS == 0:
+        for number in _taken_numbers(spark, root)[:-KEPT_NUMBERS]:
+            path, fs = _hadoop(spark, f"{root}/_numbers/{number}")
+            fs.delete(path, False)
 
 
 def expire_versions(spark: SparkSession, root: str, keep: int, folders: tuple[str, ...] | None = None) -> list[str]:
     """Delete committed versions older than the ``keep`` newest commits below ``root``.
 
-    Only versions named in the commit log are deleted, so the folder of a
-    write still in progress (not yet committed) is never touched; folders of
-    failed writes stay. ``folders`` are the parents of the ``v=<version>``
-    folders (default ``root``; a mart refresh commits one version for five
-    marts). ``keep`` 0 keeps everything. Returns the expired version names.
+    Only versions named in the commit log and still on disk are deleted, so
+    the folder of a write in progress (not yet committed) is never touched,
+    and nothing is deleted twice; folders of failed writes stay. ``folders``
+    are the parents of the ``v=<version>`` folders (default ``root``; a mart
+    refresh commits one version for five marts). ``keep`` 0 keeps everything.
+    It needs the session's JVM. Returns the expired version names.
     """
-    if keep <= 0 or path_exists(spark, _commits_path(root)) is not True:
-        return []
-    jvm = getattr(spark, "_jvm", None)
-    if jvm is None:
-        return []
-    conf = spark._jsc.hadoopConfiguration()
-    log = jvm.org.apache.hadoop.fs.Path(_commits_path(root))
-    # one file per commit: with no more files than ``keep`` nothing can expire,
-    # and a listing is cheaper than two Spark jobs
-    n_files = sum(1 for st in log.getFileSystem(conf).listStatus(log)
-                  if not st.getPath().getName().startswith(("_", ".")))
-    if n_files <= keep:
+    if keep <= 0:
         return []
-    commits = spark.read.schema(COMMIT_SCHEMA).parquet(_commits_path(root))
-    newest = commits.groupBy("version").agg(F.max("committed_at").alias("at"))
-    # the keep-th newest commit time: a top-k of the (small) commit log
-    kept = newest.orderBy(F.desc("at"), F.desc("version")).limit(keep).agg(
-        F.min(F.struct("at", "version")).alias("oldest_kept")).collect()[0]["oldest_kept"]
-    if kept is None:
+    at = _hadoop(spark, root)
+    if at is None:
+        raise RuntimeError("expiring versions needs a session with a JVM; keep all versions (0) without one")
+    parents = folders or (root,)
+    present: set[str] = set()
+    for parent in parents:
+        path, fs = _hadoop(spark, parent)
+        if fs.exists(path):
+            names = [st.getPath().getName() for st in fs.listStatus(path)]
+            present.update(n[2:] for n in names if n.startswith("v="))
+    commits = commit_log(spark, root)
+    if commits is None or len(present) <= keep:
         return []
-    at, version = ntz_lit(kept["at"]), F.lit(kept["version"])
-    cutoff = (F.col("at") < at) | ((F.col("at") == at) & (F.col("version") < version))
-    old = [r["version"] for r in newest.filter(cutoff).select("version").collect()]
-    for version in old:
-        for parent in folders or (root,):
-            path = jvm.org.apache.hadoop.fs.Path(f"{parent}/v={version}")
-            path.getFileSystem(conf).delete(path, True)
-    return old
+    here = spark.createDataFrame([(v,) for v in sorted(present)], "version string")
+    newest = commits.join(here, "version", "left_semi").groupBy("version").agg(F.max("committed_at").alias("at"))
+    # versions on disk: at most ``keep`` and those committed or failed since the last expiry
+    order = [r["version"] for r in newest.orderBy(F.desc("at"), F.desc("version")).collect()]
+    for version in order[keep:]:
+        for parent in parents:
+            path, fs = _hadoop(spark, f"{parent}/v={version}")
+            fs.delete(path, True)
+    return order[keep:]
 
 
 def read_current(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame | None:
@@ -281,14 +379,16 @@ def trusted_schema(spec: TableSpec) -> T.StructType:
     return T.StructType(spec.typed_schema.fields + [T.StructField("partition_time", T.TimestampNTZType(), True)])
 
 
-def read_trusted_version(spark: SparkSession, layout: LakeLayout, spec: TableSpec, version: str) -> DataFrame:
+def read_trusted_version(spark: SparkSession, layout: LakeLayout, spec: TableSpec, version: str | None) -> DataFrame:
+    """A trusted snapshot; an empty typed frame for None (before the first load)."""
+    if version is None:
+        return spark.createDataFrame([], trusted_schema(spec))
     return spark.read.schema(trusted_schema(spec)).parquet(f"{layout.trusted(spec)}/v={version}")
 
 
 def read_trusted(spark: SparkSession, layout: LakeLayout, spec: TableSpec) -> DataFrame:
     """The current trusted snapshot; an empty typed frame before the first load."""
-    df = read_current(spark, layout.trusted(spec), trusted_schema(spec))
-    return df if df is not None else spark.createDataFrame([], trusted_schema(spec))
+    return read_trusted_version(spark, layout, spec, current_version(spark, layout, spec))
 
 
 def write_snapshot(df: DataFrame, layout: LakeLayout, spec: TableSpec, version: str) -> str:
@@ -297,23 +397,14 @@ def write_snapshot(df: DataFrame, layout: LakeLayout, spec: TableSpec, version:
 
 
 def commit_snapshot(
-    spark: SparkSession, layout: LakeLayout, spec: TableSpec, version: str, batch_id: str, stamp: dt.datetime | None
+    spark: SparkSession, layout: LakeLayout, spec: TableSpec, version: str, batch_id: str, stamp: dt.datetime | None,
+    after: int | None = None,
 ) -> None:
-    commit_version(spark, layout.trusted(spec), version, batch_id, stamp)
+    commit_version(spark, layout.trusted(spec), version, batch_id, stamp, after)
 
 
 # --- state tables -------------------------------------------------------------
 
-def record_watermark(batch: DataFrame):
-    """Row count (A1) and max stamp (A2) of rows already landed: one aggregate job, one row back.
-
-    ``append_raw`` observes the same values while writing; either way they
-    are kept as the batch's ``INSERT RAW`` audit row, which is the watermark
-    table (S14): see ``read_watermarks``.
-    """
-    return batch.agg(F.max("partition_time").alias("partition_time"), F.count(F.lit(1)).alias("rows_in")).collect()[0]
-
-
 def read_watermarks(spark: SparkSession, layout: LakeLayout) -> DataFrame:
     """Per landed batch: table, batch id, stamp and row count."""
     from ..operators.audit import OK, read_audit

@@ -200,7 +200,7 @@ def test_raw_and_trusted_files_are_sorted_by_key(spark, scratch):
     ids = list(range(40, 0, -1))  # delivered in descending key order
     lines = ["ThingID;Name;Amount;Day"] + [f"{i};n{i};{i}.5;2024-09-0{1 + i % 9}" for i in ids]
     res = load(spark, layout, f"{scratch}/in", "sorted.csv", lines, "b1", T1)
-    for folder, column in ((f"{layout.raw(SPEC)}/*/batch_id=b1", "thing_id"),
+    for folder, column in ((f"{layout.raw(SPEC)}/batch_id=b1/*", "thing_id"),
                            (f"{layout.trusted(SPEC)}/v={res.version}", "thing_id")):
         parts = glob.glob(f"{local(folder)}/*.parquet")
         assert parts
@@ -224,3 +224,107 @@ def test_old_committed_versions_expire_uncommitted_stay(spark, scratch):
     left = sorted(p.rsplit("v=", 1)[1] for p in glob.glob(f"{local(layout.trusted(spec))}/v=*"))
     assert left == sorted([*versions[-2:], "in-progress"])
     assert [r["thing_id"] for r in L.read_trusted(spark, layout, spec).collect()] == [3]
+
+
+def test_rerun_in_another_month_replaces_the_batch(spark, scratch):
+    layout = L.LakeLayout(f"{scratch}/lake")
+    load(spark, layout, scratch, "b1.csv", B1, "000001", T1)
+    load(spark, layout, scratch, "b1.csv", B1, "000001", T2)  # the month after
+    assert L.read_raw(spark, layout, SPEC).count() == 3
+
+
+def test_older_batch_is_refused_unless_forced(spark, scratch):
+    layout = L.LakeLayout(f"{scratch}/lake")
+    load(spark, layout, scratch, "b1.csv", B1, "000001", T1)
+    load(spark, layout, scratch, "b2.csv", B2, "000002", T2)
+    before = trusted(spark, layout)
+    path = f"{scratch}/b1.csv"
+    for stamp in (T1, None):  # its own stamp, given or remembered
+        r = LD.load_batch(spark, SPEC, read_flat_file(spark, path, SPEC), layout, "000001", stamp)
+        assert r.status == "SKIPPED" and r.stamp == T1
+        assert trusted(spark, layout) == before
+    r = LD.load_batch(spark, SPEC, read_flat_file(spark, path, SPEC), layout, "000001", T1, force=True)
+    assert r.status == "OK"
+    assert [k for k, *_ in trusted(spark, layout)] == [1, 2, 3]  # the old batch alone, not mixed with the newer
+
+
+def test_repeated_keys_are_counted_or_refused(spark, scratch):
+    layout = L.LakeLayout(f"{scratch}/lake")
+    lines = ["ThingID;Name;Amount;Day", "1;a;1;2024-01-01", "1;b;2;2024-01-02"]
+    r = load(spark, layout, scratch, "k.csv", lines, "000001", T1)
+    assert (r.rows_in, r.rows_inserted, r.rows_collapsed) == (2, 1, 1)
+    with pytest.raises(ValueError, match="has 2 rows"):
+        LD.load_batch(spark, SPEC, read_flat_file(spark, f"{scratch}/k.csv", SPEC), layout, "000002", T2, unique_keys=True)
+
+
+def test_same_day_and_undated_changes_are_applied(spark, scratch):
+    spec = TableSpec(
+        "Sales.Thing.csv",
+        (ColumnSpec("ThingID", "int"), ColumnSpec("Name", "string"), ColumnSpec("ModifiedDate", "date")),
+        keys=("ThingID",), load_mode=LOAD_MERGE, merge_mode=MERGE_UPSERT, modified="ModifiedDate",
+    )
+    layout = L.LakeLayout(f"{scratch}/lake")
+    head = "ThingID;Name;ModifiedDate"
+    load(spark, layout, scratch, "m1.csv", [head, "1;a;2024-01-05"], "000001", T1, spec)
+    load(spark, layout, scratch, "m2.csv", [head, "1;a2;2024-01-05", "2;b;2024-01-05", "3;c;"], "000002", T2, spec)
+    assert [(k, n) for k, n, _ in trusted(spark, layout, spec)] == [(1, "a2"), (2, "b"), (3, "c")]
+
+
+def test_malformed_lines_fail_or_are_set_aside(spark, scratch):
+    lines = ["ThingID;Name;Amount;Day", "1;a;1;2024-01-01;EXTRA", "2;b", "3;c;3;2024-01-03"]
+    path = write_csv(scratch, "bad.csv", lines)
+    layout = L.LakeLayout(f"{scratch}/lake")
+    with pytest.raises(Exception, match="malformed line"):
+        LD.load_file(spark, SPEC, path, layout, "000001", T1)
+    r = LD.load_file(spark, SPEC, path, layout, "000001", T1, quarantine=True)
+    assert (r.rows_in, r.rows_inserted, r.rows_rejected) == (1, 1, 2)
+    aside = L.read_quarantine(spark, layout, SPEC).collect()
+    assert sorted(a["malformed_line"] for a in aside) == ["1;a;1;2024-01-01;EXTRA", "2;b"]
+    path = write_csv(scratch, "bad.csv", [lines[0], "1;a;1;2024-01-01", "2;b;2;2024-01-02", lines[3]])  # corrected
+    r = LD.load_file(spark, SPEC, path, layout, "000001", T1, quarantine=True)
+    assert (r.rows_in, r.rows_rejected, r.status) == (3, 0, "OK")
+    assert L.read_quarantine(spark, layout, SPEC).count() == 0
+
+
+def test_quoted_line_break_needs_multi_line(spark, scratch):
+    from dataclasses import replace
+
+    path = write_csv(scratch, "m.csv", ["ThingID;Name;Amount;Day", '3;"line1', 'line2";3;2024-01-03'])
+    with pytest.raises(Exception, match="malformed line"):
+        read_flat_file(spark, path, SPEC).collect()
+    rows = read_flat_file(spark, path, replace(SPEC, multi_line=True)).collect()
+    assert [tuple(r) for r in rows] == [("3", "line1\nline2", "3", "2024-01-03")]
+
+
+def test_two_writers_from_one_version_conflict(spark, scratch, monkeypatch):
+    layout = L.LakeLayout(f"{scratch}/lake")
+    load(spark, layout, scratch, "b1.csv", B1, "000001", T1)
+    write_snapshot = L.write_snapshot
+
+    def other_commits_first(df, lay, spec, version):
+        path = write_snapshot(df, lay, spec, version)
+        monkeypatch.setattr(L, "write_snapshot", write_snapshot)
+        load(spark, layout, scratch, "b2.csv", B2, "000002", T2)
+        return path
+
+    monkeypatch.setattr(L, "write_snapshot", other_commits_first)
+    with pytest.raises(L.CommitConflict):
+        load(spark, layout, scratch, "b3.csv", ["ThingID;Name;Amount;Day", "9;z;1;2024-03-03"], "000003", T3)
+    assert [k for k, *_ in trusted(spark, layout)] == [2, 3, 4]  # the other writer's
+
+
+def test_expired_versions_are_deleted_once(spark, scratch):
+    root = f"{scratch}/mart"
+    for i in range(4):
+        L.write_version(spark.range(1), root, f"v{i}")
+        L.commit_version(spark, root, f"v{i}", str(i), None, L.commit_number(spark, root))
+    assert sorted(L.expire_versions(spark, root, 2)) == ["v0", "v1"]
+    assert L.expire_versions(spark, root, 2) == []
+
+
+def test_whole_error_message_is_audited(spark, scratch):
+    layout = L.LakeLayout(f"{scratch}/lake")
+    with pytest.raises(Exception) as failure:
+        load(spark, layout, scratch, "bad.csv", ["ThingID;Name;Amount;Day", "x;a;1;2024-01-01"], "000001", T1)
+    messages = [a["message"] for a in read_audit(spark, layout.audit).collect() if a["status"] == "ERROR"]
+    assert messages == [str(failure.value)]

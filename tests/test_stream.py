@@ -42,3 +42,41 @@ def test_continuous_stream_picks_up_new_files(spark, scratch):
     finally:
         query.stop()
     assert L.read_raw(spark, layout, SPEC).count() == 2
+
+
+def _touch(path, minutes):
+    import os
+
+    from .test_pipeline import local
+
+    t = dt.datetime(2024, 9, 1, tzinfo=dt.timezone.utc).timestamp() + 60 * minutes
+    os.utime(local(path), (t, t))
+
+
+def test_newest_file_of_a_micro_batch_wins(spark, scratch):
+    from dataclasses import replace
+
+    from martforge.config import LOAD_FULL, MERGE_UPSERT
+
+    landing = f"{scratch}/landing"
+    _touch(write_csv(landing, "z.csv", [HEADER, "1;zzz-old;1;2024-01-01", "2;gone;1;2024-01-01"]), 1)
+    _touch(write_csv(landing, "a.csv", ["Name;ThingID;Amount;Day", "aaa-new;1;1;2024-01-02"]), 2)
+    expect = {"upsert": [(1, "aaa-new"), (2, "gone")], "snapshot": [(1, "aaa-new")], "full": [(1, "aaa-new")]}
+    # other column orders in one upsert batch are refused, as in a batch load of both files
+    _touch(write_csv(f"{scratch}/same", "z.csv", [HEADER, "1;zzz-old;1;2024-01-01", "2;gone;1;2024-01-01"]), 1)
+    _touch(write_csv(f"{scratch}/same", "a.csv", [HEADER, "1;aaa-new;1;2024-01-02"]), 2)
+    for name, rows in expect.items():
+        spec = {"upsert": replace(SPEC, merge_mode=MERGE_UPSERT), "snapshot": SPEC,
+                "full": replace(SPEC, load_mode=LOAD_FULL)}[name]
+        layout = L.LakeLayout(f"{scratch}/{name}")
+        folder = f"{scratch}/same" if name == "upsert" else landing
+        ingest_stream(spark, spec, folder, layout, f"{scratch}/ckpt-{name}", clock=lambda e: dt.datetime(2024, 9, 1))
+        assert [(k, n) for k, n, *_ in trusted(spark, layout, spec)] == rows, name
+
+
+def test_stream_sets_bad_rows_aside(spark, scratch):
+    landing, layout = f"{scratch}/landing", L.LakeLayout(f"{scratch}/lake")
+    write_csv(landing, "f.csv", [HEADER, "1;a;1;2024-01-01", "x;b;1;2024-01-01", "2;c"])
+    (r,) = ingest_stream(spark, SPEC, landing, layout, f"{scratch}/ckpt", clock=lambda e: dt.datetime(2024, 9, 1),
+                         quarantine=True)
+    assert (r.rows_inserted, r.rows_rejected) == (1, 2)

@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 from .shared import written
 
 SMALL_BUCKET = 16  # split buckets of up to so many members are compared in full in the second round
-PATIENCE = 2  # rounds in a row without a new link after which the search for further links ends
 
 
-def _checksum(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("v", "u")), F.sum(F.xxhash64("u", "v") % 1000003)).first()
-    return tuple(row)
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether every v has one u, and no u is a v."""
+    ends = edges.select(F.col("v").alias("x"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(
+        edges.select("u", F.lit(0), F.lit(1)))
+    of_node = ends.groupBy("x").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return of_node.filter("below + above > 1").isEmpty()
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -32,71 +34,71 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     now = written(edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).select(
         F.greatest(a, b).alias("v"), F.least(a, b).alias("u")).distinct(), "edges")
-    seen = _checksum(now)
-    while seen[0]:
-        both = now.select(F.col("u").alias("x"), F.col("u").alias("y")).union(now.select("u", "v")).union(
-            now.select("v", "u"))
+    while not _is_forest_of_stars(now):
+        both = now.select(F.col("u").alias("x"), F.col("u").alias("y")).union(now.select("v", "u")).union(
+            now.select("u", "v"))
         least = both.groupBy("x").agg(F.min("y").alias("m"))
-        large = written(now.join(least, now["u"] == least["x"]).select("v", F.col("m").alias("u")).filter(
-            F.col("v") != F.col("u")).distinct(), "edges")
+        large = now.join(least, now["u"] == least["x"]).select("v", F.col("m").alias("u")).filter(
+            F.col("v") != F.col("u")).distinct()
         least = large.groupBy(F.col("v").alias("x")).agg(F.min("u").alias("m"))
-        joined = large.join(least, large["v"] == least["x"])
-        small = joined.filter(F.col("u") != F.col("m")).select(F.col("u").alias("v"), F.col("m").alias("u"))
+        small = large.join(least, large["v"] == least["x"]).select(F.col("u").alias("v"), F.col("m").alias("u")).filter(
+            F.col("u") != F.col("v"))
         now = written(least.select(F.col("x").alias("v"), F.col("m").alias("u")).union(small).distinct(), "edges")
-        before, seen = seen, _checksum(now)
-        if seen == before:
-            break
     return now.select(F.col("v").alias("node"), F.col("u").alias("component"))
 
 
+def shared_buckets(members: DataFrame) -> DataFrame:
+    """The rows of (bucket, node) whose bucket has several rows, with their number n."""
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return written(members.join(sizes, "bucket"), "buckets")
+
+
 def _pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
 
 
-def bucket_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def bucket_components(shared: DataFrame, verify: Callable[[DataFrame], DataFrame],
+                      known: DataFrame | None = None) -> DataFrame:
     """Components (as above) of the links that ``verify`` confirms among nodes that share a bucket.
 
-    ``members`` has (bucket, node); ``verify`` takes candidate pairs (a, b)
-    and returns those that are linked. Each bucket proposes a star, not all
-    its pairs: its centre is the member that meets most other nodes over all
-    buckets (an original that many copies resemble meets more of them than
+    ``shared`` comes from ``shared_buckets``; ``verify`` takes candidate pairs
+    (a, b) and returns those that are linked. Each bucket proposes a star, not
+    all its pairs: its centre is the member that meets most other nodes over
+    all buckets (an original that many copies resemble meets more of them than
     the copies meet each other). Buckets that then still span several
     components are searched further: small ones in full, large ones by stars
-    around other centres, as long as that finds links.
+    around other centres, as long as that finds links. ``known`` has links
+    (a, b) found elsewhere.
     """
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    multi = written(members.join(sizes, "bucket"), "buckets")
-    scores = multi.groupBy("node").agg(F.sum("n").alias("score"))
-    scored = multi.join(scores, "node").select("bucket", "node", "score")
+    if known is not None and shared.isEmpty():
+        return connected_components(known)
+    scores = shared.groupBy("node").agg(F.sum("n").alias("score"))
+    scored = shared.join(scores, "node").select("bucket", "node", "n", "score")
     centers = scored.groupBy("bucket").agg(F.max(F.struct("score", "node"))["node"].alias("center"))
-    tried = written(_pairs(multi.join(centers, "bucket").filter(F.col("node") != F.col("center"))), "pairs")
-    links = written(verify(tried), "links")
-    labels = connected_components(links)
-    idle = turn = 0
-    while idle < PATIENCE:
+    tried = written(_pairs(shared.join(centers, "bucket").filter(F.col("node") != F.col("center"))), "pairs")
+    links = verify(tried) if known is None else verify(tried).union(known)
+    labels = connected_components(written(links, "links"))
+    open_rows = shared.select("bucket", "node", "n")
+    turn = 0
+    while True:
         of_node = labels.withColumnRenamed("node", "of")
-        placed = multi.join(of_node, multi["node"] == of_node["of"], "left").select(
+        placed = open_rows.join(of_node, open_rows["node"] == of_node["of"], "left").select(
             "bucket", "node", "n", F.coalesce("component", "node").alias("component"))
         split = placed.groupBy("bucket").agg(
             F.min("component").alias("low"), F.max("component").alias("high"),
             F.max(F.struct(F.xxhash64("node", F.lit(turn)), "node", "component")).alias("top")).filter("low <> high")
-        open_rows = written(placed.join(split.select("bucket", "top"), "bucket"), "split")
-        large = open_rows.filter(F.col("component") != F.col("top")["component"]).select(
+        placed = written(placed.join(split.select("bucket", "top"), "bucket"), "split")
+        candidates = placed.filter(F.col("component") != F.col("top")["component"]).select(
             "node", F.col("top")["node"].alias("center"))
         if turn == 0:
-            small = open_rows.filter(F.col("n") <= SMALL_BUCKET).select("bucket", "node", "component")
-            other = small.select("bucket", F.col("node").alias("center"), F.col("component").alias("c"))
-            every = small.join(other, "bucket").filter((F.col("node") < F.col("center")) & (F.col("component") != F.col("c")))
-            large = large.union(every.select("node", "center"))
-        fresh = written(_pairs(large).join(tried, ["a", "b"], "left_anti"), "pairs")
-        if fresh.isEmpty():
-            break
+            few = placed.filter(F.col("n") <= SMALL_BUCKET).select("bucket", "node", "component")
+            other = few.select("bucket", F.col("node").alias("center"), F.col("component").alias("c"))
+            every = few.join(other, "bucket").filter((F.col("node") < F.col("center")) & (F.col("component") != F.col("c")))
+            candidates = candidates.union(every.select("node", "center"))
+        fresh = written(_pairs(candidates).join(tried, ["a", "b"], "left_anti"), "pairs")
         found = written(verify(fresh), "links")
-        tried, turn = tried.union(fresh), turn + 1
         if found.isEmpty():
-            idle += 1
-            continue
-        idle, links = 0, links.union(found)
+            return labels
         # the components so far, as edges, stand for the links that made them
         labels = connected_components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found))
-    return labels
+        open_rows, tried, turn = placed.select("bucket", "node", "n"), tried.union(fresh), turn + 1

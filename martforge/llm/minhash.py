@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import bucket_components
+from .components import bucket_components, connected_components, shared_buckets
 from .shared import arrow_map, written
 from .text import Texts, lists, mix, signed, span_hashes, text_slices
 
@@ -121,15 +121,8 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def side(x: str) -> DataFrame:
         return sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"set_{x}"))
 
-    # sizes first: most failing pairs need no set
-    sizes = sets.groupBy("doc_id").agg(F.min(F.size("shingles")).alias("low"), F.max(F.size("shingles")).alias("high"))
-    near = pairs
-    for x in ("a", "b"):
-        near = near.join(sizes.select(F.col("doc_id").alias(x), F.col("low").alias(f"low_{x}"),
-                                      F.col("high").alias(f"high_{x}")), x)
-    near = near.filter((100 * F.col("high_a") >= percent * F.col("low_b")) &
-                       (100 * F.col("high_b") >= percent * F.col("low_a"))).select("a", "b")
-    both = near.join(side("a"), "a").join(side("b"), "b")
+    near = 100 * F.least(F.size("set_a"), F.size("set_b")) >= percent * F.greatest(F.size("set_a"), F.size("set_b"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").filter(near)
     shared = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - shared
     return both.filter(100 * shared >= percent * union).select("a", "b").distinct()
@@ -148,10 +141,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = live.groupBy(*prints).agg(F.min("doc_id").alias("rep"))
     tagged = live.select("doc_id", *prints).distinct().join(classes, prints)
     reps = live.join(classes, prints).filter(F.col("doc_id") == F.col("rep"))
-    members = reps.select(F.explode("bands").alias("bucket"), F.col("rep").alias("node")).distinct()
-    buckets = written(members, "bands")
-    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    wanted = buckets.join(shared, "bucket").select(F.col("node").alias("doc_id")).distinct()
+    buckets = shared_buckets(reps.select(F.explode("bands").alias("bucket"), F.col("rep").alias("node")))
+    wanted = buckets.select(F.col("node").alias("doc_id")).distinct()
     sets = written(arrow_map(rows.join(wanted, "doc_id", "left_semi"), _full_sets(shingle_words),
                              f"doc_id {kind}, shingles array<long>"), "sets")
     labels = bucket_components(buckets, lambda pairs: similar_pairs(pairs, sets, percent))
@@ -161,8 +152,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     several = tagged.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("a"))
     ties = ties.join(several, "a", "left_semi")
     if not ties.isEmpty():
-        from .components import connected_components
-
         labels = connected_components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(ties))
     found = tagged.join(labels, tagged["rep"] == labels["node"], "left").select(
         F.col("doc_id").alias("id"), F.coalesce("component", "rep").alias("component_id"))

@@ -180,16 +180,17 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     plan = plan.filter(F.col("taken") > 0).select(
         F.struct("source", "size").alias("mix_key"), F.col("doc_id").alias("mix_id"), "start", "size", "taken", "whole",
         "rest", "walk", "blocks").dropDuplicates(["mix_id", "mix_key"])
-    keyed = docs.withColumn("mix_of", F.struct(F.col(source_col).cast("string").alias("source"),
-                                               word_count(F.col(text_col)).alias("size")))
-    joined = keyed.join(plan, keyed[id_col].eqNullSafe(plan["mix_id"]) & (F.col("mix_of") == F.col("mix_key")), "inner")
-    partly = F.col("taken") - F.col("whole") * F.col("size")
-    copies = joined.withColumn("mix_partly", partly).withColumn(
-        "mix_copy", F.explode(F.sequence(F.lit(1), (F.col("whole") + (F.col("mix_partly") > 0).cast("long")).cast("int"))))
-    picked = let(F.regexp_extract_all(F.col(text_col), F.lit(WORD), 0), lambda words: F.flatten(F.transform(
+    # the documents travel as one column, whatever their columns are called
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                       F.struct(F.col(source_col).cast("string").alias("source"),
+                                word_count(F.col(text_col)).alias("size")).alias("key"))
+    joined = rows.join(plan, rows["id"].eqNullSafe(plan["mix_id"]) & (F.col("key") == F.col("mix_key")), "inner")
+    copies = joined.withColumn("partly", F.col("taken") - F.col("whole") * F.col("size")).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1), (F.col("whole") + (F.col("partly") > 0).cast("long")).cast("int"))))
+    picked = let(F.regexp_extract_all(F.col("text"), F.lit(WORD), 0), lambda words: F.flatten(F.transform(
         F.filter(_blocks(block_tokens), _extra), lambda i: F.slice(
             words, (F.greatest(F.col("start"), i * block_tokens) - F.col("start") + 1).cast("int"),
             _overlap(i, block_tokens).cast("int")))))
-    cut = (F.col("mix_copy") > F.col("whole")) & (F.col("mix_partly") < F.col("size"))
-    return copies.withColumn(text_col, F.when(cut, F.array_join(picked, " ")).otherwise(F.col(text_col))).select(
-        *docs.columns)
+    cut = (F.col("copy") > F.col("whole")) & (F.col("partly") < F.col("size"))
+    mixed = F.when(cut, F.array_join(picked, " ")).otherwise(F.col("text"))
+    return copies.select(*[mixed.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -16,7 +16,7 @@ spread vectors), and ``tables`` is the number that finds a pair at the cosine
 threshold with probability 1 - ``MISS``; closer pairs are found more surely.
 
 Defined results: a vector that is null, empty, zero or holds a null or
-non-finite component links with nothing and is kept; vectors of different
+non-finite component, or has no id, links with nothing and is kept; vectors of different
 lengths never link; rows that share an id count as one vector in components,
 their links are counted row by row; an empty table gives an empty result.
 """
@@ -178,8 +178,9 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col:
                            cosine: float = COSINE, seed: int = SEED) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id and kept."""
     raw = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("vec"))
-    rows = written(arrow_map(raw, _vectors, "vec_id long, vec binary"), "vectors")
-    classes = rows.filter("vec is not null and vec_id is not null").groupBy("vec").agg(
+    found = arrow_map(raw, _vectors, "vec_id long, vec binary")
+    rows = written(found.withColumn("vec", F.when(F.col("vec_id").isNotNull(), F.col("vec"))), "vectors")
+    classes = rows.filter("vec is not null").groupBy("vec").agg(
         F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")).withColumn("cid", F.xxhash64("vec"))
     classes = written(classes, "vector_classes")
     bits, tables = plan_tables(classes.count(), cosine)
@@ -196,10 +197,10 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col:
         F.greatest("tile", "with").alias("high"))
     full = units.join(hashed.select("node", "cid", "copies", "vec", "signs"), ["node", "cid"])
     dealt = full.repartition(*_UNIT).sortWithinPartitions(*_UNIT)
-    found = written(arrow_map(dealt, _units(cosine), "node long, cid long, n long, other long"), "vector_links")
+    links = written(arrow_map(dealt, _units(cosine), "node long, cid long, n long, other long"), "vector_links")
 
-    counts = found.filter("n > 0").groupBy("node", "cid").agg(F.sum("n").alias("n"))
-    edges = found.filter("n = 0").select(F.col("node").alias("a"), F.col("other").alias("b"))
+    counts = links.filter("n > 0").groupBy("node", "cid").agg(F.sum("n").alias("n"))
+    edges = links.filter("n = 0").select(F.col("node").alias("a"), F.col("other").alias("b"))
     known = rows.join(classes.withColumnRenamed("vec", "class_vec"), F.col("vec") == F.col("class_vec"), "left").select(
         "vec_id", "node", "cid", "copies")
     ids = known.filter("node is not null").select("vec_id", "node").distinct()

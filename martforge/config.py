@@ -9,8 +9,9 @@ unmapped type is an error, not a silently dropped column).
 
 from __future__ import annotations
 
+import json
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields, replace
 
 from pyspark.sql import types as T
 
@@ -209,6 +210,34 @@ class TableSpec:
         return [c for c in self.lake_columns if c not in self.keys]
 
 
+def with_modified(spec: TableSpec, column: str = "ModifiedDate", kind: str = "date") -> TableSpec:
+    """The spec with a modification-date column, loaded incrementally by it (an upsert, P9)."""
+    columns = spec.columns
+    if column.lower() not in {c.source.lower() for c in columns}:
+        columns = (*columns, ColumnSpec(column, kind))
+    return replace(spec, columns=columns, load_mode=LOAD_MERGE, merge_mode=MERGE_UPSERT, modified=column)
+
+
+def read_specs(path: str) -> dict[str, TableSpec]:
+    """Table specs from a JSON file: ``{"tables": [{"name": ..., "columns": [...], "keys": [...], ...}]}``.
+
+    A column is ``{"source", "source_type"}`` with optional ``lake`` and
+    ``target``; every other field of ``TableSpec`` may be given by its name.
+    """
+    with open(path, encoding="utf-8") as f:
+        tables = json.load(f)["tables"]
+    known = {x.name for x in fields(TableSpec)}
+    out = {}
+    for table in tables:
+        if unknown := set(table) - known:
+            raise ValueError(f"{path}: unknown fields {sorted(unknown)} of table {table.get('name')!r}")
+        columns = tuple(ColumnSpec(**c) for c in table["columns"])
+        type_map = {**DEFAULT_TYPE_MAP, **table.get("type_map", {})}
+        rest = {k: v for k, v in table.items() if k not in ("columns", "keys", "type_map")}
+        out[table["name"]] = TableSpec(columns=columns, keys=tuple(table["keys"]), type_map=type_map, **rest)
+    return out
+
+
 def _cols(*items: tuple[str, ...]) -> tuple[ColumnSpec, ...]:
     """Columns from (source, type) or (source, type, lake name)."""
     return tuple(ColumnSpec(*item) for item in items)

@@ -63,10 +63,14 @@ class AuditRecord:
 
 
 def append_audit(spark: SparkSession, path: str, records: list[AuditRecord]) -> None:
-    """Append audit rows (a handful per batch) to the audit table."""
-    if records:
-        spark.createDataFrame([r.as_row() for r in records], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    """Append audit rows (a handful per batch) to the audit table.
+
+    Each table's rows have a folder of their own, so loads of several tables may append at the same time.
+    """
+    for name in dict.fromkeys(r.table_name for r in records):
+        rows = [r.as_row() for r in records if r.table_name == name]
+        spark.createDataFrame(rows, AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/{name}")
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(AUDIT_SCHEMA).parquet(path)
+    return spark.read.schema(AUDIT_SCHEMA).option("recursiveFileLookup", "true").parquet(path)

@@ -56,7 +56,8 @@ def refresh_marts(
     after = L.commit_number(spark, layout.refined_root)
     sources = {}
     for role in ROLES:
-        df = L.read_trusted(spark, layout, specs[role]).drop("partition_time")
+        # the modification date is the load's, not the marts'
+        df = L.read_trusted(spark, layout, specs[role]).drop("partition_time", *filter(None, [specs[role].modified]))
         sources[role] = prepare[role](df) if role in prepare else df
     run = run_id or uuid.uuid4().hex[:12]
     # the five writes are independent jobs: submit them together so small

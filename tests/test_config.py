@@ -38,3 +38,22 @@ def test_spark_type_names():
     assert spark_type("timestamp_ntz").simpleString() == "timestamp_ntz"
     with pytest.raises(ValueError):
         spark_type("varchar2")
+
+
+def test_specs_from_a_file(tmp_path):
+    import json
+
+    from martforge.config import LOAD_MERGE, read_specs
+
+    path = tmp_path / "specs.json"
+    table = {"name": "own.csv", "columns": [{"source": "ID", "source_type": "int"},
+                                            {"source": "Price", "source_type": "money", "lake": "cost"}],
+             "keys": ["ID"], "load_mode": LOAD_MERGE, "merge_mode": "upsert", "multi_line": True,
+             "type_map": {"money": "decimal(10,2)"}}
+    path.write_text(json.dumps({"tables": [table]}))
+    spec = read_specs(str(path))["own.csv"]
+    assert spec.lake_columns == ["id", "cost"] and spec.keys == ("id",) and spec.multi_line
+    assert [c.target for c in spec.columns] == ["bigint", "decimal(10,2)"]
+    path.write_text(json.dumps({"tables": [{**table, "surprise": 1}]}))
+    with pytest.raises(ValueError, match="surprise"):
+        read_specs(str(path))

@@ -146,6 +146,10 @@ class TableSpec:
     # committed trusted snapshots kept; older ones are deleted after each load.
     # 0, the default, keeps every version; a limit must outlast the longest reader.
     keep_versions: int = 0
+    # an upsert table of this many key buckets: a load rewrites the buckets that
+    # its keys fall into and leaves the others (0: one folder, rewritten whole).
+    # Choose it so that a bucket is a few hundred megabytes; it is fixed for a table.
+    buckets: int = 0
     # quoted values of the file hold line breaks: read it whole, without splitting
     multi_line: bool = False
 
@@ -178,6 +182,9 @@ class TableSpec:
             raise ValueError(f"{self.name}: load mode {self.load_mode!r}")
         if self.merge_mode not in (MERGE_SNAPSHOT, MERGE_UPSERT):
             raise ValueError(f"{self.name}: merge mode {self.merge_mode!r}")
+        if self.buckets and (self.load_mode == LOAD_FULL or self.merge_mode != MERGE_UPSERT or self.keep_versions):
+            # later versions name the folders of earlier ones, so none may expire
+            raise ValueError(f"{self.name}: buckets need an upsert table that keeps all versions")
         if self.keep_versions < 0:
             raise ValueError(f"{self.name}: keep_versions must be 0 (all) or more")
 

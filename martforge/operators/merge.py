@@ -93,7 +93,7 @@ def apply_merge(target: DataFrame, batch: DataFrame, keys: Sequence[str], mode:
     if mode != MERGE_UPSERT:
         raise ValueError(f"merge mode {mode!r}")
     keys = list(keys)
-    present = _all_keys_present(keys)
-    kept = target.filter(present).join(batch.select(*keys).filter(present), keys, "left_anti")
-    null_keyed = target.filter(~present)
-    return batch.unionByName(kept.select(*batch.columns)).unionByName(null_keyed.select(*batch.columns))
+    # a NULL key matches nothing, so the anti join keeps the target's NULL-keyed rows; those of the
+    # batch stay out of the join (a hot partition of the target, NULL keys or not, is split by AQE)
+    kept = target.join(batch.select(*keys).filter(_all_keys_present(keys)), keys, "left_anti")
+    return batch.unionByName(kept.select(*batch.columns))

@@ -162,10 +162,20 @@ def load_batch(
             # cast first, then the latest row per key (D8: '12' and '12.0' are one key)
             batch = latest_per_key(typed.observe(seen, F.count(F.lit(1)).alias("n")), spec.keys, _ORDER).drop(
                 *[name for name, _ in L.FILE_COLUMNS])
-            L.write_snapshot(apply_merge(target, batch, spec.keys, spec.merge_mode), layout, spec, version)
+            if spec.buckets:
+                # the typed batch is written once; only the buckets of its keys are read and written again
+                path = L.write_version(batch, f"{layout.trusted(spec)}/_batches", version)
+                batch = spark.read.schema(L.trusted_schema(spec)).parquet(path)
+                touched = L.touched_buckets(batch, spec)
+                folders = L.bucket_folders(spark, layout, spec, head.version)
+                target = L.read_buckets(spark, spec, [folders[b] for b in touched if b in folders])
+                L.write_buckets(apply_merge(target, batch, spec.keys, spec.merge_mode), layout, spec, version, folders,
+                                touched)
+            else:
+                L.write_snapshot(apply_merge(target, batch, spec.keys, spec.merge_mode), layout, spec, version)
             # what was written holds the batch's rows, by their stamp: no second pass over the text
-            source = L.read_trusted_version(spark, layout, spec, version)
-            if spec.merge_mode == MERGE_UPSERT:
+            source = batch if spec.buckets else L.read_trusted_version(spark, layout, spec, version)
+            if spec.merge_mode == MERGE_UPSERT and not spec.buckets:
                 source = source.filter(F.col("partition_time") == ntz_lit(stamp))
                 if head.stamp == stamp:  # rows of an earlier batch with this very stamp are not this batch's
                     source = batch

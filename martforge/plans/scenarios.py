@@ -171,3 +171,18 @@ def land_stamp_lag(spark, sf_dir):
     stamped = layers.stamp_land(S.render_text(S.table(spark, sf_dir, "customer"), S.CUSTOMER_SPEC))
     lag = F.timestamp_diff("HOUR", F.col("partition_time"), F.localtimestamp())
     return stamped.groupBy(lag.alias("lag_hours")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("upsert_buckets", f"""
+SELECT o_orderkey, o_totalprice FROM {S.orders_batch_sql(2)}
+UNION ALL
+SELECT o_orderkey, o_totalprice FROM {S.orders_batch_sql(1)} WHERE o_orderkey NOT IN (SELECT o_orderkey FROM {S.orders_batch_sql(2)})
+""")
+def upsert_buckets(spark, sf_dir):
+    """Both orders batches upserted into a table of key buckets."""
+    spec = replace(S.ORDERS_SPEC, load_mode=LOAD_MERGE, merge_mode=MERGE_UPSERT, buckets=8)
+    layout = layers.LakeLayout(work_dir(spark, "lake"))
+    for which, stamp in ((1, S.BATCH1_TIME), (2, S.BATCH2_TIME)):
+        path = S.write_batch_file(spark, S.render_text(S.orders_batch_typed(spark, sf_dir, which), spec), spec, f"o{which}.csv")
+        load_file(spark, spec, path, layout, S.BATCH_IDS[which - 1], stamp)
+    return layers.read_trusted(spark, layout, spec).select("o_orderkey", "o_totalprice")

@@ -383,6 +383,8 @@ def read_trusted_version(spark: SparkSession, layout: LakeLayout, spec: TableSpe
     """A trusted snapshot; an empty typed frame for None (before the first load)."""
     if version is None:
         return spark.createDataFrame([], trusted_schema(spec))
+    if spec.buckets:
+        return read_buckets(spark, spec, bucket_folders(spark, layout, spec, version).values())
     return spark.read.schema(trusted_schema(spec)).parquet(f"{layout.trusted(spec)}/v={version}")
 
 
@@ -403,6 +405,48 @@ def commit_snapshot(
     commit_version(spark, layout.trusted(spec), version, batch_id, stamp, after)
 
 
+# --- key buckets of an upsert table ---------------------------------------------
+#
+# trusted/<table>/v=<id>/bucket=<b>/   the buckets that this version rewrote
+# trusted/<table>/_buckets/v=<id>/     the folder of every bucket of this version
+
+def bucket_of(spec: TableSpec):
+    """The bucket of a row: by all key columns, NULLs too."""
+    return F.pmod(F.hash(*[F.col(k) for k in spec.keys]), F.lit(spec.buckets))
+
+
+def bucket_folders(spark: SparkSession, layout: LakeLayout, spec: TableSpec, version: str | None) -> dict[int, str]:
+    """Bucket -> folder of a version (at most ``spec.buckets`` rows)."""
+    if version is None:
+        return {}
+    rows = spark.read.schema("bucket int, folder string").parquet(f"{layout.trusted(spec)}/_buckets/v={version}")
+    return {r["bucket"]: f"{layout.trusted(spec)}/{r['folder']}" for r in rows.collect()}
+
+
+def read_buckets(spark: SparkSession, spec: TableSpec, folders) -> DataFrame:
+    paths = sorted(folders)
+    if not paths:
+        return spark.createDataFrame([], trusted_schema(spec))
+    return spark.read.schema(trusted_schema(spec)).parquet(*paths)
+
+
+def touched_buckets(rows: DataFrame, spec: TableSpec) -> list[int]:
+    """The buckets that the rows' keys fall into (at most ``spec.buckets``)."""
+    return sorted(r["b"] for r in rows.select(bucket_of(spec).alias("b")).distinct().collect())
+
+
+def write_buckets(df: DataFrame, layout: LakeLayout, spec: TableSpec, version: str, kept: dict[int, str],
+                  touched: list[int]) -> None:
+    """Write the touched buckets of a new version and the list of all its folders."""
+    root = layout.trusted(spec)
+    df.withColumn("bucket", bucket_of(spec)).repartition("bucket").sortWithinPartitions("bucket", *spec.keys).write.mode(
+        "overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(f"{root}/v={version}")
+    rows = [(b, folder.removeprefix(f"{root}/")) for b, folder in kept.items() if b not in touched]
+    rows += [(b, f"v={version}/bucket={b}") for b in touched]
+    df.sparkSession.createDataFrame(rows, "bucket int, folder string").coalesce(1).write.mode("overwrite").parquet(
+        f"{root}/_buckets/v={version}")
+
+
 # --- state tables -------------------------------------------------------------
 
 def read_watermarks(spark: SparkSession, layout: LakeLayout) -> DataFrame:

@@ -40,7 +40,8 @@ def load(spark, layout, folder, name, lines, batch_id, stamp, spec=SPEC):
 
 
 def trusted(spark, layout, spec=SPEC):
-    return sorted(tuple(r) for r in L.read_trusted(spark, layout, spec).drop("partition_time").collect())
+    rows = [tuple(r) for r in L.read_trusted(spark, layout, spec).drop("partition_time").collect()]
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, repr(r)))
 
 
 B1 = ["ThingID;Name;Amount;Day", "1;a;1,5;2024-01-01", "2;b;2.5;2024-01-02", "3;c;-;2024-01-03"]
@@ -328,3 +329,23 @@ def test_whole_error_message_is_audited(spark, scratch):
         load(spark, layout, scratch, "bad.csv", ["ThingID;Name;Amount;Day", "x;a;1;2024-01-01"], "000001", T1)
     messages = [a["message"] for a in read_audit(spark, layout.audit).collect() if a["status"] == "ERROR"]
     assert messages == [str(failure.value)]
+
+
+def test_upsert_of_one_key_rewrites_its_bucket_only(spark, scratch):
+    import glob
+    from dataclasses import replace
+
+    plain, spec = replace(SPEC, merge_mode=MERGE_UPSERT), replace(SPEC, merge_mode=MERGE_UPSERT, buckets=4)
+    layout, other = L.LakeLayout(f"{scratch}/lake"), L.LakeLayout(f"{scratch}/plain")
+    first = ["ThingID;Name;Amount;Day", ";nokey;1;2024-01-01"] + [f"{i};n{i};{i};2024-01-01" for i in range(40)]
+    delta = ["ThingID;Name;Amount;Day", "7;changed;1;2024-01-02"]
+    for name, lines, batch_id, stamp in (("f.csv", first, "000001", T1), ("d.csv", delta, "000002", T2)):
+        results = [load(spark, lake, scratch, name, lines, batch_id, stamp, s) for lake, s in ((layout, spec), (other, plain))]
+        assert {(r.rows_inserted, r.rows_updated, r.rows_deleted, r.null_keys, r.rows_collapsed) for r in results} == {
+            (41, 0, 0, 1, 0) if name == "f.csv" else (0, 1, 0, 0, 0)}
+        before, after = trusted(spark, other, plain), trusted(spark, layout, spec)
+        assert sorted(before, key=repr) == sorted(after, key=repr)
+    written = glob.glob(f"{local(layout.trusted(spec))}/v=000002-*/bucket=*")
+    assert len(written) == 1  # the other buckets' files are those of the first load
+    folders = L.bucket_folders(spark, layout, spec, L.current_version(spark, layout, spec)).values()
+    assert sum("v=000001-" in f for f in folders) == len(folders) - 1

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import BLOOM, settings, written
 
 SMALL_BUCKET = 16  # split buckets of up to so many members are compared in full in the second round
 
@@ -49,8 +49,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
 def shared_buckets(members: DataFrame) -> DataFrame:
     """The rows of (bucket, node) whose bucket has several rows, with their number n."""
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return written(members.join(sizes, "bucket"), "buckets")
+    sizes = written(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "bucket_sizes")
+    with settings(members.sparkSession, BLOOM):  # most buckets have one member: they stay out of the shuffle
+        return written(members.join(sizes.filter("n > 1"), "bucket"), "buckets")
 
 
 def _pairs(rows: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import bucket_components, connected_components, shared_buckets
-from .shared import arrow_map, written
+from .shared import BLOOM, arrow_map, settings, written
 from .text import Texts, lists, mix, signed, span_hashes, text_slices
 
 SHINGLE_WORDS = 5
@@ -142,9 +142,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tagged = live.select("doc_id", *prints).distinct().join(classes, prints)
     reps = live.join(classes, prints).filter(F.col("doc_id") == F.col("rep"))
     buckets = shared_buckets(reps.select(F.explode("bands").alias("bucket"), F.col("rep").alias("node")))
-    wanted = buckets.select(F.col("node").alias("doc_id")).distinct()
-    sets = written(arrow_map(rows.join(wanted, "doc_id", "left_semi"), _full_sets(shingle_words),
-                             f"doc_id {kind}, shingles array<long>"), "sets")
+    wanted = written(buckets.groupBy("node").agg(F.max("n").alias("n")), "wanted").filter("n > 1").select(
+        F.col("node").alias("doc_id"))
+    with settings(docs.sparkSession, BLOOM):  # most texts stay out of the shuffle
+        sets = written(arrow_map(rows.join(wanted, "doc_id", "left_semi"), _full_sets(shingle_words),
+                                 f"doc_id {kind}, shingles array<long>"), "sets")
     labels = bucket_components(buckets, lambda pairs: similar_pairs(pairs, sets, percent))
 
     # an id with several texts ties their classes together

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,3 +43,28 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     lambdas too; the argument of a lambda is a value.
     """
     return F.get(F.transform(F.array(value), body), 0)
+
+
+# A join of a large table with a few of its ids drops the other rows before its shuffle: Spark builds a
+# Bloom filter of the ids (8 MB at most, however many there are) where the small side has a filter.
+BLOOM = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1t",
+}
+
+
+@contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]):
+    """Session settings for the jobs that run inside; the caller's values come back afterwards."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

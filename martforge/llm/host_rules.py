@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import arrow_map, written
-from .text import BLANK, CONTINUATION, mix, span_hashes, text_slices
+from .text import BLANK, CONTINUATION, mix, one_of_each, span_hashes, text_slices
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -36,7 +36,7 @@ FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_r
 
 def _duplicates(keys: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """Per row, how many of its keys equal an earlier key of the row."""
-    own = np.unique(mix(keys + mix(rows.astype(np.uint64))), return_index=True)[1]
+    own = one_of_each(mix(keys + mix(rows.astype(np.uint64))))
     return np.bincount(rows, minlength=n) - np.bincount(rows[own], minlength=n)
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .components import bucket_components, connected_components, shared_buckets
 from .shared import BLOOM, arrow_map, settings, written
-from .text import Texts, lists, mix, signed, span_hashes, text_slices
+from .text import Texts, lists, mix, one_of_each, signed, span_hashes, text_slices
 
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 80
@@ -54,8 +54,7 @@ def shingle_sets(texts: Texts, k: int) -> tuple[np.ndarray, np.ndarray]:
         inside = left > i
         key[inside] = mix(key[inside] ^ words[keep[inside] + i])
     of_row = rows[keep]
-    own = np.unique(mix(key + mix(of_row.astype(np.uint64))), return_index=True)[1]
-    own.sort()
+    own = one_of_each(mix(key + mix(of_row.astype(np.uint64))))
     return key[own], of_row[own]
 
 

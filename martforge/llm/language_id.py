@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import arrow_map
-from .text import lists, text_slices
+from .shared import arrow_map, bound_batches
+from .text import lists, release, text_slices
 
 MAX_ORDER = 4
 BITS = 18
@@ -149,6 +149,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 def language_of(spark: SparkSession, model: LanguageModel, text: Column) -> Column:
     """A struct of lang_pred and score (the winning regression value, held to 0 to 1)."""
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # 2 ** BITS rows by languages, whatever the corpus
 
     @F.pandas_udf("lang_pred string, score double")
@@ -162,6 +163,7 @@ def language_of(spark: SparkSession, model: LanguageModel, text: Column) -> Colu
             best = found.argmax(axis=1)
             names[spoken] = np.array(known.languages, object)[best]
             scores[spoken] = np.clip(found[np.arange(len(best)), best], 0, 1)
+        release()
         return pd.DataFrame({"lang_pred": names, "score": scores})
 
     return classify(text)

@@ -8,6 +8,7 @@ in proportion to its own length only. A null text counts as an empty one.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20  # rows are taken together up to this much text
+SLICE_BYTES = 2 << 20  # rows are taken together up to this much text
 CHUNK_BYTES = 1 << 20  # bytes hashed at a time
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64))
@@ -117,6 +118,15 @@ def text_array(column: pa.Array) -> Texts:
     return Texts(raw[at[0]: at[-1]], at - at[0])
 
 
+def release() -> None:
+    """Give freed memory back to the system: an idle worker keeps its process, and so would keep the memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
                 limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, Texts]]:
     """The rows of the batches with their texts, in slices of at most ``limit`` bytes of text or one row."""
@@ -132,6 +142,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             part = batch.slice(first, last - first)
             yield part, text_array(part.column(column))
             first = last
+    release()
 
 
 def one_of_each(keys: np.ndarray) -> np.ndarray:

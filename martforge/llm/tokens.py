@@ -15,7 +15,8 @@ import numpy as np
 
 from .text import Texts, span_hashes
 
-KEEP_WORDS = 1 << 20  # distinct words that a worker keeps before it starts anew
+KEEP_WORDS = 1 << 19  # distinct words that a worker keeps before it starts anew
+BATCH_WORDS = 5000  # words encoded at a time
 END_ID = 2
 
 
@@ -41,7 +42,9 @@ class WordEncoder:
     def _learn(self, texts: Texts, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         raw = texts.data.tobytes()
         words = [raw[s:e].decode("utf-8", "replace") for s, e in zip(starts.tolist(), ends.tolist())]
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        found = []
+        for at in range(0, len(words), BATCH_WORDS):
+            found += [x.ids for x in self.tokenizer.encode_batch_fast(words[at: at + BATCH_WORDS], add_special_tokens=False)]
         sizes = np.array([len(x) for x in found], np.int64)
         flat = np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))
         first = np.cumsum(sizes) - sizes + len(self.ids)

@@ -9,12 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BLOOM, settings, written
+from .shared import BLOOM, arrow_map, settings, written
 
 SMALL_BUCKET = 16  # split buckets of up to so many members are compared in full in the second round
+TILE = 128  # members of a larger split bucket that are compared with as many others as one unit of work
+STAR_TURNS = 2  # turns of other centres before the rest is compared in tiles
+_CHUNK = 16  # pairs of one member compared before those joined meanwhile are left out
 
 
 def _is_forest_of_stars(edges: DataFrame) -> bool:
@@ -58,8 +63,104 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct()
 
 
+_UNIT = ["bucket", "low", "high"]
+
+
+def _unit_edges(group: pa.Table, prepare: Callable) -> list[tuple]:
+    """Edges that connect what the links of one pair of tiles (or one tile with itself) connect; at most one per member."""
+    node = group.column("node").to_pylist()
+    tile, low, high = (group.column(x).to_numpy() for x in ("tile", "low", "high"))
+    _, label = np.unique(np.array(group.column("component").to_pylist()), return_inverse=True)
+    near, edges = prepare(group.column("value")), []
+    one = low[0] == high[0]
+    others = np.arange(len(node)) if one else np.flatnonzero(tile == high[0])
+    for i in range(len(node)) if one else np.flatnonzero(tile == low[0]).tolist():
+        rest = others[others > i] if one else others
+        for at in range(0, len(rest), _CHUNK):
+            some = rest[at: at + _CHUNK]
+            some = some[label[some] != label[i]]
+            if not len(some):
+                continue
+            for j in some[near(i, some)].tolist():
+                if label[i] != label[j]:
+                    edges.append((node[i], node[j]))
+                    label[label == label[j]] = label[i]
+    return edges
+
+
+def _units(prepare: Callable):
+    """Rows come sorted by unit; one unit is held at a time."""
+    def run(batches):
+        held: list[pa.Table] = []
+
+        def flush():
+            group = pa.concat_tables(held).combine_chunks()
+            edges = _unit_edges(group, prepare) if group.num_rows > 1 else []
+            of = group.schema.field("node").type
+            return pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], of) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            keys = np.stack([rows.column(x).to_numpy() for x in _UNIT])
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), rows.num_rows]
+            for first, last in zip(cuts, cuts[1:]):
+                if held and any(held[-1].column(x)[-1].as_py() != rows.column(x)[first].as_py() for x in _UNIT):
+                    yield flush()
+                    held.clear()
+                held.append(rows.slice(first, last - first))
+        if held:
+            yield flush()
+    return run
+
+
+def _tile_links(split: DataFrame, values: DataFrame, prepare: Callable) -> DataFrame:
+    """Edges (a, b) that connect all links between different components of each bucket of ``split``.
+
+    The members of a bucket's largest component need no comparison among
+    themselves: their tiles meet those of the other members only. No pair is
+    written out.
+    """
+    sizes = split.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("m")).groupBy("bucket").agg(
+        F.max(F.struct("m", "component")).alias("top"), F.sum("m").alias("all"))
+    sizes = sizes.select("bucket", F.col("top.component").alias("top"),
+                         F.ceil((F.col("all") - F.col("top.m")) / TILE).cast("int").alias("others"),
+                         F.ceil(F.col("top.m") / TILE).cast("int").alias("tops"))
+    in_top, hashed = F.col("component") == F.col("top"), F.xxhash64("node", "bucket")
+    placed = split.select("bucket", "node", "component").join(sizes, "bucket").withColumn(
+        "tile", F.when(in_top, F.col("others") + F.pmod(hashed, F.col("tops"))).otherwise(
+            F.pmod(hashed, F.col("others"))).cast("int"))
+    meets = F.sequence(F.lit(0), F.when(in_top, F.col("others")).otherwise(F.col("others") + F.col("tops")) - 1)
+    units = placed.withColumn("with", F.explode(meets)).select(
+        "bucket", "node", "component", "tile", F.least("tile", "with").alias("low"), F.greatest("tile", "with").alias("high"))
+    kind = dict(split.dtypes)["node"]
+    dealt = units.join(values, "node").repartition(*_UNIT).sortWithinPartitions(*_UNIT)
+    return arrow_map(dealt, _units(prepare), f"a {kind}, b {kind}")
+
+
+def _split(rows: DataFrame, labels: DataFrame, turn: int = 0) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with their components, and the buckets that span several, each with one hashed member."""
+    of_node = labels.withColumnRenamed("node", "of")
+    placed = rows.join(of_node, rows["node"] == of_node["of"], "left").select(
+        "bucket", "node", "n", F.coalesce("component", "node").alias("component"))
+    split = placed.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.max(F.struct(F.xxhash64("node", F.lit(turn)), "node", "component")).alias("top")).filter("low <> high")
+    return placed, split.select("bucket", "top")
+
+
+def _across(rows: DataFrame) -> DataFrame:
+    """All pairs (node, center) of a bucket whose components differ."""
+    own = rows.select("bucket", "node", "component")
+    other = own.select("bucket", F.col("node").alias("center"), F.col("component").alias("c"))
+    return own.join(other, "bucket").filter((F.col("node") < F.col("center")) & (F.col("component") != F.col("c"))).select(
+        "node", "center")
+
+
 def bucket_components(shared: DataFrame, verify: Callable[[DataFrame], DataFrame],
-                      known: DataFrame | None = None) -> DataFrame:
+                      known: DataFrame | None = None, values: DataFrame | None = None,
+                      prepare: Callable | None = None) -> DataFrame:
     """Components (as above) of the links that ``verify`` confirms among nodes that share a bucket.
 
     ``shared`` comes from ``shared_buckets``; ``verify`` takes candidate pairs
@@ -68,8 +169,13 @@ def bucket_components(shared: DataFrame, verify: Callable[[DataFrame], DataFrame
     all buckets (an original that many copies resemble meets more of them than
     the copies meet each other). Buckets that then still span several
     components are searched further: small ones in full, large ones by stars
-    around other centres, as long as that finds links. ``known`` has links
-    (a, b) found elsewhere.
+    around other centres for at most ``STAR_TURNS`` turns. What large buckets
+    still span then is compared in full as well, every member with all of other
+    components, so the result is that of all pairs within buckets: in tiles
+    (see ``_tile_links``) on ``values`` (node, value), where ``prepare`` turns
+    the values of a unit into a function of a place and other places that tells
+    which of these are linked; without ``values``, as pairs for ``verify``.
+    ``known`` has links (a, b) found elsewhere.
     """
     if known is not None and shared.isEmpty():
         return connected_components(known)
@@ -82,24 +188,29 @@ def bucket_components(shared: DataFrame, verify: Callable[[DataFrame], DataFrame
     open_rows = shared.select("bucket", "node", "n")
     turn = 0
     while True:
-        of_node = labels.withColumnRenamed("node", "of")
-        placed = open_rows.join(of_node, open_rows["node"] == of_node["of"], "left").select(
-            "bucket", "node", "n", F.coalesce("component", "node").alias("component"))
-        split = placed.groupBy("bucket").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"),
-            F.max(F.struct(F.xxhash64("node", F.lit(turn)), "node", "component")).alias("top")).filter("low <> high")
-        placed = written(placed.join(split.select("bucket", "top"), "bucket"), "split")
+        placed, split = _split(open_rows, labels, turn)
+        placed = written(placed.join(split, "bucket"), "split")
         candidates = placed.filter(F.col("component") != F.col("top")["component"]).select(
             "node", F.col("top")["node"].alias("center"))
         if turn == 0:
-            few = placed.filter(F.col("n") <= SMALL_BUCKET).select("bucket", "node", "component")
-            other = few.select("bucket", F.col("node").alias("center"), F.col("component").alias("c"))
-            every = few.join(other, "bucket").filter((F.col("node") < F.col("center")) & (F.col("component") != F.col("c")))
-            candidates = candidates.union(every.select("node", "center"))
+            candidates = candidates.union(_across(placed.filter(F.col("n") <= SMALL_BUCKET)))
         fresh = written(_pairs(candidates).join(tried, ["a", "b"], "left_anti"), "pairs")
         found = written(verify(fresh), "links")
-        if found.isEmpty():
-            return labels
         # the components so far, as edges, stand for the links that made them
-        labels = connected_components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found))
-        open_rows, tried, turn = placed.select("bucket", "node", "n"), tried.union(fresh), turn + 1
+        done = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        labels = connected_components(done.union(found))
+        open_rows, tried, turn = placed.filter(F.col("n") > SMALL_BUCKET).select("bucket", "node", "n"), tried.union(fresh), turn + 1
+        if turn == STAR_TURNS or open_rows.isEmpty() or found.isEmpty():
+            break
+    if open_rows.isEmpty():
+        return labels
+    placed, split = _split(open_rows, labels)
+    rest = written(placed.join(split, "bucket"), "split")
+    if rest.isEmpty():
+        return labels
+    if values is None:
+        found = verify(_pairs(_across(rest)).join(tried, ["a", "b"], "left_anti"))
+    else:
+        found = _tile_links(rest, values, prepare)
+    done = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return connected_components(done.union(written(found, "links")))

@@ -36,6 +36,7 @@ SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 80
 BANDS, ROWS = 32, 5
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+_COLUMNS = 4096  # shingles counted at a time
 
 
 def shingle_sets(texts: Texts, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -127,6 +128,31 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * shared >= percent * union).select("a", "b").distinct()
 
 
+def _similar_sets(percent: int):
+    """For sets of one unit: which of some others are similar to one."""
+    def prepare(values):
+        sets = [np.asarray(x, np.int64) for x in values.to_pylist()]
+        size = np.array([len(x) for x in sets])
+        key, of_set = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+        _, key, times = np.unique(key, return_inverse=True, return_counts=True)
+        many = times > 1  # a shingle of one set alone is in no intersection
+        place = np.cumsum(many) - 1
+        of_set, key = of_set[many[key]], place[key[many[key]]]
+        order = np.argsort(key, kind="stable")
+        of_set, key, shared = of_set[order], key[order], np.zeros((len(sets), len(sets)))
+        for first in range(0, int(many.sum()), _COLUMNS):
+            a, b = np.searchsorted(key, [first, first + _COLUMNS])
+            part = np.zeros((len(sets), _COLUMNS), np.float32)
+            part[of_set[a:b], key[a:b] - first] = 1
+            shared += part @ part.T
+
+        def near(i: int, others: np.ndarray) -> np.ndarray:
+            common = shared[i, others]
+            return 100 * common >= percent * (size[i] + size[others] - common)
+        return near
+    return prepare
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle_words: int = SHINGLE_WORDS, percent: int = SIMILARITY_PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id and kept."""
@@ -146,7 +172,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     with settings(docs.sparkSession, BLOOM):  # most texts stay out of the shuffle
         sets = written(arrow_map(rows.join(wanted, "doc_id", "left_semi"), _full_sets(shingle_words),
                                  f"doc_id {kind}, shingles array<long>"), "sets")
-    labels = bucket_components(buckets, lambda pairs: similar_pairs(pairs, sets, percent))
+    values = sets.select(F.col("doc_id").alias("node"), F.col("shingles").alias("value"))
+    labels = bucket_components(buckets, lambda pairs: similar_pairs(pairs, sets, percent), values=values,
+                               prepare=_similar_sets(percent))
 
     # an id with several texts ties their classes together
     ties = tagged.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).filter("a <> b")

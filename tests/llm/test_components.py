@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from martforge.llm.components import bucket_components, connected_components, shared_buckets
 
 from .conftest import rows_of
@@ -38,3 +40,26 @@ def test_bucket_search_finds_links_that_its_first_star_misses(spark):
     got = bucket_components(shared_buckets(spark.createDataFrame(members, "bucket long, node long")),
                             lambda pairs: pairs.join(links, ["a", "b"], "left_semi"))
     assert rows_of(got) == [(1, 0), (21, 20), (3, 2), (5, 4)]
+
+
+def test_large_buckets_are_searched_in_full(spark, monkeypatch):
+    """Several hundred members without a hub, in one bucket: all pairs, by either route."""
+    import martforge.llm.components as K
+
+    monkeypatch.setattr(K, "TILE", 32)
+    rng, n = random.Random(7), 300
+    linked = {tuple(sorted(rng.sample(range(n), 2))) for _ in range(110)}
+    links = spark.createDataFrame(sorted(linked), "a long, b long")
+    members = spark.createDataFrame([(1, i) for i in range(n)], "bucket long, node long")
+    values = spark.createDataFrame([(i, i) for i in range(n)], "node long, value long")
+
+    def prepare(column):
+        own = column.to_pylist()
+        return lambda i, others: np.array([tuple(sorted((own[i], own[j]))) in linked for j in others.tolist()], bool)
+
+    def verify(pairs):
+        return pairs.join(links, ["a", "b"], "left_semi")
+
+    expect = sorted(plain(sorted(linked)), key=repr)
+    assert rows_of(bucket_components(shared_buckets(members), verify)) == expect
+    assert rows_of(bucket_components(shared_buckets(members), verify, values=values, prepare=prepare)) == expect

@@ -55,6 +55,16 @@ def test_groups_of_near_copies_around_one_original(spark):
     assert rows_of(M.near_duplicates(table, shingle_words=2)) == plain_components(rows, 2)
 
 
+def test_large_groups_without_an_original(spark):
+    """Members are random subsets of one template: no centre resembles them all, few of them resemble each other."""
+    rng, template = random.Random(12), [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join(w for w in template if rng.random() < 0.82)) for i in range(500)]
+    expect = plain_components(rows, 1)
+    assert 100 < sum(not r[3] for r in expect) < 400
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(M.near_duplicates(table, shingle_words=1)) == expect
+
+
 def test_an_id_with_two_texts_ties_their_groups(spark):
     a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
     rows = [(5, a), (9, a), (9, b), (7, b), (8, c)]

@@ -1,0 +1,125 @@
+"""Rules and hosts case by case, ranks against a plain recount, and what links do to hosts without a rule."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from martforge.llm import link_trust
+from martforge.llm.link_trust import ALLOW, BLOCK
+
+from .conftest import CLASHING
+
+SCHEMA = "page_id long, url string, html string"
+
+
+def link(*urls):
+    return " ".join(f'<p><a class="x" href="{u}">there</a></p>' for u in urls)
+
+
+def judged(spark, rows, **kw):
+    df = spark.createDataFrame(rows, SCHEMA)
+    return {r["page_id"]: r for r in link_trust.judge_pages(df, **kw).collect()}
+
+
+@pytest.mark.parametrize("url, host, path, rule, verdict", [
+    ("https://a.com/x", "a.com", "/x", "com/", ALLOW),
+    ("https://A.COM/X?q#f", "a.com", "/X", "com/", ALLOW),
+    ("https://a.com", "a.com", "", None, ALLOW),  # an empty path starts with no rule's
+    ("http://example.com/en/1", "example.com", "/en/1", "example.com/en/", BLOCK),
+    ("http://b.example.com/en/1", "b.example.com", "/en/1", "example.com/en/", BLOCK),
+    ("http://www.example.com/en/1", "www.example.com", "/en/1", "www.example.com/en/", ALLOW),
+    ("http://x.www.example.com/en/", "x.www.example.com", "/en/", "www.example.com/en/", ALLOW),
+    ("http://notexample.com/en/1", "notexample.com", "/en/1", "com/", ALLOW),
+    ("http://q.net/es/1#top", "q.net", "/es/1", "net/es/", BLOCK),
+    ("http://q.net/ES/1", "q.net", "/ES/1", None, ALLOW),
+    ("http://q.net/esp", "q.net", "/esp", None, ALLOW),
+    ("http://net/fr/", "net", "/fr/", "net/fr/", BLOCK),
+    ("http://com?x/y", "com", "", None, ALLOW),
+    ("http://a.com:80/x", "a.com:80", "/x", None, ALLOW),
+    ("x://a.org/://b.com/", "a.org", "/://b.com/", None, ALLOW),
+    ("no scheme", "", "", None, ALLOW),
+    ("", "", "", None, ALLOW),
+    (None, "", "", None, ALLOW),
+    ("http:///x", "", "/x", None, ALLOW),
+    ("http://É.com/x", "É.com", "/x", "com/", ALLOW),
+])
+def test_hosts_paths_rules(spark, url, host, path, rule, verdict):
+    df = spark.createDataFrame([(url,)], "url string")
+    h, p = link_trust.host_of(F.col("url")), link_trust.path_of(F.col("url"))
+    row = df.select(h.alias("h"), p.alias("p"), link_trust.decide(h, p).alias("f")).first()
+    assert (row["h"], row["p"]) == (host, path)
+    assert (row["f"]["rule"] if row["f"] else None) == rule
+    assert (row["f"]["verdict"] if row["f"] else ALLOW) == verdict
+
+
+def test_links_of_a_page(spark):
+    html = ('<A HREF="HTTP://One.org/x">a</a><a title="t" href=\'//two.org\'>b</a><a href=https://three.org?x>c</a>'
+            '<a href="/local">d</a><a href="mail@x">e</a><img src="http://four.org/i"><a\nhref = "http://one.org/y">f</a>')
+    df = spark.createDataFrame([(html,), (None,), ("",)], "html string")
+    found = [r[0] for r in df.select(link_trust.linked_hosts(F.col("html"))).collect()]
+    assert found == [["one.org", "two.org", "three.org"], None, []]
+
+
+def test_distrust_goes_to_hosts_that_link_to_blocked_ones(spark):
+    rows = [
+        (1, "http://bad.net/es/1", None), (2, "http://bad.net/es/2", link("http://victim.org/")),
+        (3, "http://farm.org/1", link("http://bad.net/es/1")),  # links to a blocked host
+        (4, "http://far.org/1", link("http://farm.org/1")),  # links to one that does
+        (5, "http://victim.org/", None),  # is linked by a blocked host: no fault of its own
+        (6, "http://good.com/", link("http://both.org/")), (7, "http://both.org/", link("http://farm.org/2")),  # trusted more
+        (8, "http://alone.org/", None), (9, "http://bad.net/en/", None),  # a page of a seed that no rule fits
+    ]
+    verdicts = {k: r["verdict"] for k, r in judged(spark, rows).items()}
+    assert verdicts == {1: BLOCK, 2: BLOCK, 3: BLOCK, 4: BLOCK, 5: ALLOW, 6: ALLOW, 7: ALLOW, 8: ALLOW, 9: BLOCK}
+
+
+def test_a_blocked_host_that_many_link_to_condemns_none(spark):
+    rows = [(0, "http://bad.net/es/1", None)] + [(i, f"http://h{i}.org/", link("http://bad.net/")) for i in range(1, 100)]
+    assert {r["verdict"] for k, r in judged(spark, rows).items() if k} == {ALLOW}
+
+
+def plain_ranks(edges, seeds, rounds):
+    out = {}
+    for u, v in edges:
+        out.setdefault(u, []).append(v)
+    now = dict(seeds)
+    for _ in range(rounds):
+        new = {h: m * (100 - link_trust.DAMPING) // 100 for h, m in seeds.items()}
+        for u, mass in now.items():
+            for v in out.get(u, ()):
+                new[v] = new.get(v, 0) + mass * link_trust.DAMPING // (100 * len(out[u]))
+        now = {h: m for h, m in new.items() if m}
+    return now
+
+
+def test_ranks_as_by_plain_recount(spark):
+    rng = random.Random(3)
+    names = [f"h{i}.org" for i in range(60)] + ["hub.org"]
+    edges = {tuple(rng.sample(names, 2)) for _ in range(200)} | {("hub.org", n) for n in names[:50]} | {(n, "hub.org") for n in names[10:40]}
+    ways = {ALLOW: (edges, names[:5]), BLOCK: ({(v, u) for u, v in edges}, names[5:7])}
+    seeds = {way: {h: link_trust.MASS // len(own) for h in own} for way, (_, own) in ways.items()}
+    found = link_trust.spread(
+        spark.createDataFrame([(w, u, v) for w, (es, _) in ways.items() for u, v in es], "direction string, src string, dst string"),
+        spark.createDataFrame([(w, h, m) for w, own in seeds.items() for h, m in own.items()], "direction string, host string, mass long"),
+        rounds=7)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r["direction"], {})[r["host"]] = r["mass"]
+    assert got == {way: plain_ranks(es, seeds[way], 7) for way, (es, _) in ways.items()}
+    assert all(sum(own.values()) <= link_trust.MASS for own in got.values())
+
+
+def test_odd_rows(spark):
+    rows = [(1, "http://a.com/", None), (1, "http://a.com/", None), (None, None, None), (2, "http://q.org/", "<a href='//"),
+            (3, "http://q.org/" + "x" * 100000, link("http://q.org/self") * 1000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    extra = df.withColumns({name: F.lit("clash") for name in [*CLASHING, "path", "rule", "verdict", "found", "src", "mass", "n"]})
+    plain = sorted(map(repr, link_trust.judge_pages(df).collect()))
+    assert len(plain) == 5 and plain == sorted(map(repr, link_trust.judge_pages(extra).collect()))
+    assert link_trust.judge_pages(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_too_many_rules(spark):
+    with pytest.raises(ValueError):
+        link_trust.decide(F.lit("a"), F.lit("b"), [("com", "/", ALLOW)] * (link_trust.MAX_RULES + 1))

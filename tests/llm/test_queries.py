@@ -18,6 +18,9 @@ COLUMNS = {
     "op8_": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
     "op9_": "doc_id start n_tokens ids_crc32",
     "op10_": "vec_id n_links component_id kept",
+    "op11_": "page_id host path rule verdict",
+    "op12_": "doc_id leaf subroot root proof_sha256 folded_root verified",
+    "op13_": "item_id rank doc_id score",
 }
 
 

@@ -150,7 +150,14 @@ class TableSpec:
     # its keys fall into and leaves the others (0: one folder, rewritten whole).
     # Choose it so that a bucket is a few hundred megabytes; it is fixed for a table.
     buckets: int = 0
-    # quoted values of the file hold line breaks: read it whole, without splitting
+    # the files of a trusted snapshot hold disjoint ranges of the keys (else only sorted inside)
+    cluster: bool = True
+    # a trusted snapshot is a table of this many hash buckets of the keys: a merge
+    # joins it where it lies and shuffles the batch alone (0: no buckets)
+    join_buckets: int = 0
+    # merges store what they changed, row by row, with the old and the new values
+    track_changes: bool = False
+    # quoted values of the file hold line breaks: read it twice, to know which splits start inside quotes
     multi_line: bool = False
 
     def __post_init__(self):
@@ -185,6 +192,10 @@ class TableSpec:
         if self.buckets and (self.load_mode == LOAD_FULL or self.merge_mode != MERGE_UPSERT or self.keep_versions):
             # later versions name the folders of earlier ones, so none may expire
             raise ValueError(f"{self.name}: buckets need an upsert table that keeps all versions")
+        if self.join_buckets and (self.load_mode != LOAD_MERGE or self.buckets):
+            raise ValueError(f"{self.name}: join_buckets are for tables kept by merge, without key buckets")
+        if self.track_changes and (self.load_mode != LOAD_MERGE or self.buckets):
+            raise ValueError(f"{self.name}: changes are tracked in merges, of tables without key buckets")
         if self.keep_versions < 0:
             raise ValueError(f"{self.name}: keep_versions must be 0 (all) or more")
 

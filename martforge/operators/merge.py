@@ -72,6 +72,24 @@ def change_counts(target: DataFrame, batch: DataFrame, keys: Sequence[str], mode
     )
 
 
+def merge_in_place(target: DataFrame, batch: DataFrame, keys: Sequence[str], mode: str = MERGE_SNAPSHOT) -> DataFrame:
+    """The merged rows, in the partitions of ``batch``: both sides are dealt by the keys, and no key part is NULL.
+
+    An upsert is a full outer join that takes the batch's row where there is
+    one; joined with a bucketed target, neither the join nor the bucketed
+    write that follows moves a row of the target.
+    """
+    if mode == MERGE_SNAPSHOT:
+        return batch
+    keys, columns = list(keys), batch.columns
+    rest = [c for c in columns if c not in keys]
+    old = target.select(*keys, F.struct(*rest).alias("__old"))
+    new = batch.select(*keys, F.struct(*rest).alias("__new"))
+    both = old.join(new.hint("merge"), keys, "full_outer")
+    kept = F.coalesce("__new", "__old")
+    return both.select(*keys, kept.alias("__row")).select(*[c if c in keys else F.col(f"__row.{c}").alias(c) for c in columns])
+
+
 def counts_as_rows(counts: DataFrame) -> DataFrame:
     """The one-row counts as three ``(action, n_rows)`` rows."""
     return counts.select(

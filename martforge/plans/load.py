@@ -30,8 +30,9 @@ from ..config import LOAD_FULL, LOAD_RAW_ONLY, MERGE_UPSERT, TableSpec
 from ..functions.casts import flag_rows, typed_projection
 from ..functions.dates import ntz_lit
 from ..operators.audit import ERROR, OK, SKIPPED, AuditRecord, append_audit
+from ..operators.changes import SAME, change_rows
 from ..operators.dedup import assert_unique_keys, changed_since, latest_per_key
-from ..operators.merge import apply_merge, change_counts
+from ..operators.merge import apply_merge, change_counts, merge_in_place
 from ..sources import layers as L
 from ..sources.files import archive_by_date
 from ..sources.flatfile import FAIL, KEEP, MALFORMED, read_flat_file
@@ -91,6 +92,20 @@ def typed_batch(
     return typed, rejected
 
 
+def _merge_in_buckets(spark, batch: DataFrame, layout: L.LakeLayout, spec: TableSpec, old: str | None, new: str,
+                      path: str) -> tuple[DataFrame, DataFrame]:
+    """Write the new version of a table of join buckets; returns the batch and the target, read again."""
+    present = L._present(spec.keys)
+    batch.repartition(spec.join_buckets, *spec.keys).write.mode("overwrite").parquet(path)
+    batch = spark.read.schema(L.trusted_schema(spec)).parquet(path)
+    keyed, unkeyed = L.read_join_buckets(spark, layout, spec, old)
+    dealt = batch.filter(present).repartition(spec.join_buckets, *spec.keys)
+    L.write_join_buckets(merge_in_place(keyed, dealt, spec.keys, spec.merge_mode), layout, spec, new)
+    rest = batch.filter(~present)
+    L.write_unkeyed(rest.union(unkeyed) if spec.merge_mode == MERGE_UPSERT else rest, layout, spec, new)
+    return batch, keyed.union(unkeyed)
+
+
 def load_batch(
     spark: SparkSession,
     spec: TableSpec,
@@ -148,8 +163,8 @@ def load_batch(
         if spec.load_mode == LOAD_FULL:
             written = Observation(f"snapshot_{table}_{version}")
             rows = typed.drop(*[name for name, _ in L.FILE_COLUMNS])
-            L.write_snapshot(rows.observe(written, F.count(F.lit(1)).alias("n"),
-                                          _null_key_count(spec.keys).alias("null_keys")), layout, spec, version)
+            L.write_snapshot(rows, layout, spec, version, written, F.count(F.lit(1)).alias("n"),
+                             _null_key_count(spec.keys).alias("null_keys"))
             n_new = written.get
             n_old = target.agg(F.count(F.lit(1)).alias("n")).collect()[0]
             counts = {"rows_inserted": n_new["n"], "rows_updated": 0, "rows_deleted": n_old["n"],
@@ -171,16 +186,24 @@ def load_batch(
                 target = L.read_buckets(spark, spec, [folders[b] for b in touched if b in folders])
                 L.write_buckets(apply_merge(target, batch, spec.keys, spec.merge_mode), layout, spec, version, folders,
                                 touched)
+            elif spec.join_buckets:
+                # the batch is written dealt as the target is, and joined with it bucket by bucket
+                path = f"{layout.trusted(spec)}/_batches/v={version}"
+                batch, target = _merge_in_buckets(spark, batch, layout, spec, head.version, version, path)
             else:
                 L.write_snapshot(apply_merge(target, batch, spec.keys, spec.merge_mode), layout, spec, version)
             # what was written holds the batch's rows, by their stamp: no second pass over the text
-            source = batch if spec.buckets else L.read_trusted_version(spark, layout, spec, version)
-            if spec.merge_mode == MERGE_UPSERT and not spec.buckets:
+            beside = spec.buckets or spec.join_buckets
+            source = batch if beside else L.read_trusted_version(spark, layout, spec, version)
+            if spec.merge_mode == MERGE_UPSERT and not beside:
                 source = source.filter(F.col("partition_time") == ntz_lit(stamp))
                 if head.stamp == stamp:  # rows of an earlier batch with this very stamp are not this batch's
                     source = batch
             counts = change_counts(target, source, spec.keys, spec.merge_mode).collect()[0].asDict()
             operation = "MERGE"
+            if spec.track_changes:
+                rows = change_rows(target, source, spec.keys, spec.merge_mode)
+                L.write_changes(rows.filter(F.col("action") != SAME), layout, spec, batch_id)
             collapsed = int(seen.get["n"]) - int(counts["rows_inserted"]) - int(counts["rows_updated"])
         L.commit_snapshot(spark, layout, spec, version, batch_id, stamp, after)
         L.expire_versions(spark, layout.trusted(spec), spec.keep_versions)

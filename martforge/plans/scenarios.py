@@ -9,11 +9,13 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import replace
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..config import LOAD_MERGE, MERGE_UPSERT
+from ..config import LOAD_MERGE, MERGE_SNAPSHOT, MERGE_UPSERT, NA_WORDS
 from ..functions.dates import STAMP_LAG_HOURS
-from ..session import work_dir
+from ..operators import changes
+from ..session import session_conf, work_dir
 from ..sources import files, flatfile, layers
 from ..streaming import file_stream
 from . import standins as S
@@ -186,3 +188,127 @@ def upsert_buckets(spark, sf_dir):
         path = S.write_batch_file(spark, S.render_text(S.orders_batch_typed(spark, sf_dir, which), spec), spec, f"o{which}.csv")
         load_file(spark, spec, path, layout, S.BATCH_IDS[which - 1], stamp)
     return layers.read_trusted(spark, layout, spec).select("o_orderkey", "o_totalprice")
+
+
+_NA = ", ".join(f"'{w}'" for w in NA_WORDS)
+
+
+@register("land_csv_quoted_breaks", f"""
+SELECT doc_id, lang, source, n_chars, CASE WHEN text NOT IN ({_NA}) THEN sha256(text) END AS text_sha256,
+  CASE WHEN text NOT IN ({_NA}) THEN CAST(len(text) - len(replace(text, chr(10), '')) AS BIGINT) END AS n_breaks
+FROM documents
+""")
+def land_csv_quoted_breaks(spark, sf_dir):
+    """The documents as files with line breaks inside quoted values, loaded in splits that begin anywhere."""
+    spec, layout = S.DOCUMENTS_SPEC, layers.LakeLayout(work_dir(spark, "lake"))
+    path = S.write_batch_file(spark, S.render_text(S.table(spark, sf_dir, "documents"), spec), spec, "documents.csv")
+    with session_conf(spark, {"spark.sql.files.openCostInBytes": "65536"}):  # small files too go to all cores
+        load_file(spark, spec, path, layout, S.BATCH_IDS[0], S.BATCH1_TIME)
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    return layers.read_trusted(spark, layout, spec).select(
+        "doc_id", "lang", "source", "n_chars", F.sha2("text", 256).alias("text_sha256"), breaks.cast("long").alias("n_breaks"))
+
+
+@register("copy_files_dated", f"""
+SELECT '{files.dated_folder(files.ORIGINAL, S.BATCH1_TIME.date())}/orders/' || year(o_orderdate) AS folder,
+  CAST(1 AS BIGINT) AS n_files, CAST(0 AS BIGINT) AS n_again, COUNT(*) AS n_rows, CAST(SUM(o_orderkey) AS BIGINT) AS key_sum
+FROM orders GROUP BY year(o_orderdate)
+""")
+def copy_files_dated(spark, sf_dir):
+    """One orders file per year, copied by the executors into the day's folder under another prefix; a second run copies nothing."""
+    root = work_dir(spark, "copy")
+    day = files.dated_folder(files.ORIGINAL, S.BATCH1_TIME.date())
+    orders = S.render_text(S.table(spark, sf_dir, "orders"), S.ORDERS_SPEC).withColumn("year", F.substring("o_orderdate", 1, 4))
+    orders.repartition("year").write.partitionBy("year").options(sep=";", header="true").csv(f"{root}/landing/extract")
+    runs = [files.copy_new_files(spark, f"{root}/landing", f"{root}/archive", f"{root}/copied", run, "*.csv",
+                                 "extract/year=", f"{day}/orders/") for run in ("run-1", "run-2")]
+    folder = F.regexp_extract("name", f"({day}/orders/[0-9]+)/", 1).alias("folder")
+    counts = [r.withColumn("name", F.col("target")).groupBy(folder).agg(F.count(F.lit(1)).alias(n))
+              for r, n in zip(runs, ("n_files", "n_again"))]
+    copied = spark.read.option("recursiveFileLookup", "true").options(sep=";", header="true").csv(f"{root}/archive")
+    rows = copied.withColumn("name", F.col("_metadata.file_path")).groupBy(folder).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("o_orderkey").cast("long")).alias("key_sum"))
+    return rows.join(counts[0], "folder", "left").join(counts[1], "folder", "left").select(
+        "folder", "n_files", F.coalesce("n_again", F.lit(0)).alias("n_again"), "n_rows", "key_sum")
+
+
+@register("trusted_key_ranges", """
+SELECT CAST(0 AS BIGINT) AS n_overlapping, COUNT(*) AS n_rows, MIN(l_orderkey) AS low, MAX(l_orderkey) AS high FROM lineitem
+""")
+def trusted_key_ranges(spark, sf_dir):
+    """The files of a trusted snapshot of the order lines: how many share a key range with the file before them."""
+    spec, layout = S.star_specs()["detail"], layers.LakeLayout(work_dir(spark, "lake"))
+    path = S.write_batch_file(spark, S.render_text(S.table(spark, sf_dir, "lineitem"), spec), spec, "lineitem.csv")
+    with session_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m"}):  # several files at any size
+        load_file(spark, spec, path, layout, S.BATCH_IDS[0], S.BATCH1_TIME)
+    ranges = layers.read_trusted(spark, layout, spec).groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min("l_orderkey").alias("low"), F.max("l_orderkey").alias("high"), F.count(F.lit(1)).alias("n"))
+    before = F.max("high").over(Window.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1))  # a row per file
+    # a key whose rows end one file and begin the next is in both
+    return ranges.withColumn("before", before).agg(
+        F.count(F.when(F.col("low") < F.col("before"), 1)).alias("n_overlapping"), F.sum("n").alias("n_rows"),
+        F.min("low").alias("low"), F.max("high").alias("high"))
+
+
+def _partly_changed(spark, sf_dir, which: int):
+    """The orders batches; of batch 2 every third order keeps its price."""
+    rows = S.orders_batch_typed(spark, sf_dir, which)
+    if which == 2:
+        price = F.col("o_totalprice") - F.when(F.col("o_orderkey") % 3 == 0, 1.0).otherwise(0.0)
+        rows = rows.withColumn("o_totalprice", F.round(price, 2))
+    return rows
+
+
+def _load_partly_changed(spark, sf_dir, spec):
+    layout = layers.LakeLayout(work_dir(spark, "lake"))
+    for which, stamp in ((1, S.BATCH1_TIME), (2, S.BATCH2_TIME)):
+        path = S.write_batch_file(spark, S.render_text(_partly_changed(spark, sf_dir, which), spec), spec, f"o{which}.csv")
+        load_file(spark, spec, path, layout, S.BATCH_IDS[which - 1], stamp)
+    return layout
+
+
+_PRICE = "CAST(CAST({} AS DECIMAL(18,2)) AS DOUBLE)"
+_OLD = f"(SELECT o_orderkey AS k, {_PRICE.format('o_totalprice')} AS price FROM {S.orders_batch_sql(1)})"
+_NEW = (f"(SELECT o_orderkey AS k, {_PRICE.format('CASE WHEN o_orderkey % 3 = 0 THEN round(o_totalprice - 1.0, 2) ELSE o_totalprice END')} "
+        f"AS price FROM {S.orders_batch_sql(2)})")
+
+
+@register("merge_change_rows", f"""
+SELECT coalesce(o.k, n.k) AS o_orderkey, CASE WHEN o.k IS NULL THEN 'I' WHEN n.k IS NULL THEN 'D' ELSE 'U' END AS action,
+  o.price AS old_price, n.price AS new_price
+FROM {_OLD} o FULL OUTER JOIN {_NEW} n ON o.k = n.k
+WHERE o.k IS NULL OR n.k IS NULL OR o.price <> n.price
+""")
+def merge_change_rows(spark, sf_dir):
+    """What the second orders batch changed: stored rows with old and new values, unchanged orders left out."""
+    spec = replace(S.ORDERS_SPEC, track_changes=True)
+    layout = _load_partly_changed(spark, sf_dir, spec)
+    return layers.read_changes(spark, layout, spec, S.BATCH_IDS[1]).select(
+        "o_orderkey", "action", F.col("old.o_totalprice").alias("old_price"), F.col("new.o_totalprice").alias("new_price"))
+
+
+@register("merge_changes_applied", f"SELECT k AS o_orderkey, price AS o_totalprice FROM {_NEW}")
+def merge_changes_applied(spark, sf_dir):
+    """The stored changes of the second batch, applied to the snapshot of the first."""
+    spec = replace(S.ORDERS_SPEC, track_changes=True)
+    layout = _load_partly_changed(spark, sf_dir, spec)
+    versions = layers.commit_log(spark, layout.trusted(spec)).filter(F.col("batch_id") == S.BATCH_IDS[0])
+    old = layers.read_trusted_version(spark, layout, spec, versions.first()["version"])
+    stored = layers.read_changes(spark, layout, spec, S.BATCH_IDS[1])
+    return changes.apply_changes(old, stored, spec.keys).select("o_orderkey", "o_totalprice")
+
+
+@register("merge_join_buckets", f"""
+SELECT 'snapshot' AS mode, k AS o_orderkey, price AS o_totalprice FROM {_NEW}
+UNION ALL
+SELECT 'upsert', coalesce(n.k, o.k), coalesce(n.price, o.price) FROM {_OLD} o FULL OUTER JOIN {_NEW} n ON o.k = n.k
+""")
+def merge_join_buckets(spark, sf_dir):
+    """Both orders batches merged into tables of hash buckets, which keep one version."""
+    out = None
+    for mode in (MERGE_SNAPSHOT, MERGE_UPSERT):
+        spec = replace(S.ORDERS_SPEC, merge_mode=mode, join_buckets=8, keep_versions=1)
+        layout = _load_partly_changed(spark, sf_dir, spec)
+        rows = layers.read_trusted(spark, layout, spec).select(F.lit(mode).alias("mode"), "o_orderkey", "o_totalprice")
+        out = rows if out is None else out.union(rows)
+    return out

@@ -116,6 +116,15 @@ EVENTS_SPEC = TableSpec(
     merge_mode=MERGE_UPSERT,
 )
 
+# texts of many lines, with quotes and separators inside
+DOCUMENTS_SPEC = TableSpec(
+    "documents.csv",
+    _cols(("DOC_ID", "int"), ("TEXT", "string"), ("LANG", "string"), ("SOURCE", "string"), ("N_CHARS", "int")),
+    keys=("DOC_ID",),
+    load_mode=LOAD_FULL,
+    multi_line=True,
+)
+
 # Dirty-text variants, chosen per row by ``selector % 4``:
 #   0 clean text; 1 ints get ".0", floats a decimal comma, dates a time of day;
 #   2 a single blank and 3 a single dash in non-key int/float/date columns.

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -89,3 +90,16 @@ def shared_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder below the shared folder (never reused between runs)."""
     return "/".join([shared_dir(spark), "martforge", *parts, uuid.uuid4().hex])
+
+
+@contextmanager
+def session_conf(spark: SparkSession, conf: dict[str, str]):
+    """Session settings for the jobs that run inside; the caller's values come back afterwards."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

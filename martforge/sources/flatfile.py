@@ -4,8 +4,9 @@ Files are read as text (no type inference), by header name, so a batch
 whose columns come in another order still lands right; a missing column is
 an error, and so is a file set whose headers disagree or a line whose number
 of fields is not the header's. The no-value words become NULL, then columns
-get their lake names. Reads are not multi-line, so every file splits across
-tasks, unless the spec says that its values hold line breaks.
+get their lake names. Every file splits across tasks; where the spec says that
+its values hold line breaks, by way of the quotes before each split
+(``sources.quoted``).
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..config import FIELD_SEPARATOR, TableSpec
 from ..functions.casts import na_to_null
+from . import quoted
 
 # Blanks are data (a single blank means NULL to the cast rules), so the
 # writer must not trim them and the reader must keep them.
@@ -50,7 +52,17 @@ def read_flat_file(
     """
     if malformed not in (FAIL, KEEP):
         raise ValueError(f"malformed: {malformed!r}")
-    opts = {**CSV_OPTIONS, "multiLine": str(spec.multi_line).lower(), **options}
+    opts = {**CSV_OPTIONS, **options}
+    if spec.multi_line:
+        line = quoted.header_line(spark, path)
+        header = quoted.header_names(line, opts["sep"])
+        raw = quoted.read_quoted(spark, path, header, line, MALFORMED, opts)
+        if with_file:
+            times = spark.read.format("binaryFile").load(path).select(  # the listing only
+                F.col("_metadata.file_path").alias("path"), F.col("modificationTime").cast("timestamp_ntz").alias("file_time"))
+            raw = raw.join(times, "path").withColumnRenamed("path", "file_path")
+        return _checked(raw, spec, malformed, ("file_time", "file_path") if with_file else ())
+    opts["multiLine"] = "false"
     header = spark.read.options(**opts).csv(path).columns
     # every column is read, so that every line's fields are counted
     opts |= {"columnNameOfCorruptRecord": MALFORMED, "columnPruning": "false"}
@@ -58,6 +70,10 @@ def read_flat_file(
     origin = {"file_time": F.col("_metadata.file_modification_time").cast("timestamp_ntz"),
               "file_path": F.col("_metadata.file_path")} if with_file else {}
     raw = spark.read.schema(schema).options(**opts).csv(path).withColumns(origin)
+    return _checked(raw, spec, malformed, tuple(origin))
+
+
+def _checked(raw: DataFrame, spec: TableSpec, malformed: str, origin: tuple[str, ...]) -> DataFrame:
     rows = to_lake_text(raw, spec, keep=(*origin, MALFORMED))
     if malformed == KEEP:
         return rows

@@ -7,6 +7,7 @@ Layout below one root folder (a shared folder on a cluster)::
     trusted/<table>/v=<id>/part-*.parquet        one folder per committed batch
     trusted/<table>/_commits/part-*.parquet      one row per commit
     trusted/<table>/_numbers/<n>                 taken commit numbers (write guard)
+    changes/<table>/batch_id=<id>/               rows that a merge changed, old and new (where tracked)
     refined/<mart>/v=<run>/, refined/_commits/   marts, one commit row per refresh
     state/audit/                                 append-only audit (also the watermarks)
 
@@ -23,6 +24,7 @@ Layout below one root folder (a shared folder on a cluster)::
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import re
 import uuid
 from dataclasses import dataclass
@@ -67,6 +69,9 @@ class LakeLayout:
     def archive(self, spec: TableSpec) -> str:
         return f"{self.root}/archive/{spec.table_name}"
 
+    def changes(self, spec: TableSpec) -> str:
+        return f"{self.root}/changes/{spec.table_name}"
+
     @property
     def audit(self) -> str:
         return f"{self.root}/state/audit"
@@ -385,6 +390,9 @@ def read_trusted_version(spark: SparkSession, layout: LakeLayout, spec: TableSpe
         return spark.createDataFrame([], trusted_schema(spec))
     if spec.buckets:
         return read_buckets(spark, spec, bucket_folders(spark, layout, spec, version).values())
+    if spec.join_buckets:
+        keyed, unkeyed = read_join_buckets(spark, layout, spec, version)
+        return keyed.union(unkeyed)
     return spark.read.schema(trusted_schema(spec)).parquet(f"{layout.trusted(spec)}/v={version}")
 
 
@@ -393,9 +401,84 @@ def read_trusted(spark: SparkSession, layout: LakeLayout, spec: TableSpec) -> Da
     return read_trusted_version(spark, layout, spec, current_version(spark, layout, spec))
 
 
-def write_snapshot(df: DataFrame, layout: LakeLayout, spec: TableSpec, version: str) -> str:
-    """Write a new trusted snapshot, rows sorted by key inside each file."""
-    return write_version(df, layout.trusted(spec), version, spec.keys)
+def cluster_by_range(df: DataFrame, keys) -> DataFrame:
+    """Rows dealt out in ranges of the keys: a key is in one file, unless it alone fills several (S9).
+
+    A hash of the whole row parts the rows of one key, so that a hot key does
+    not end in one task; it is the same however often a task is run.
+    """
+    salted = df.withColumn("__salt", F.xxhash64(*df.columns))
+    return salted.repartitionByRange(*keys, "__salt").drop("__salt")
+
+
+def write_snapshot(df: DataFrame, layout: LakeLayout, spec: TableSpec, version: str, seen: Observation | None = None,
+                   *metrics) -> str:
+    """Write a new trusted snapshot, rows sorted by key inside each file and, if the spec says so, in ranges of the keys.
+
+    ``metrics`` are observed on the rows as they are written (a range sort
+    reads its input twice, so they are not taken below it).
+    """
+    rows = cluster_by_range(df, spec.keys) if spec.cluster and spec.keys else df
+    return write_version(rows.observe(seen, *metrics) if seen is not None else rows, layout.trusted(spec), version, spec.keys)
+
+
+# --- snapshots of hash buckets, joined where they lie ------------------------------
+#
+# trusted/<table>/v=<id>/keyed/     a bucketed table: a file per hash bucket of the keys
+# trusted/<table>/v=<id>/unkeyed/   the rows with a NULL key part, which match nothing
+
+def _present(keys):
+    present = F.lit(True)
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    return present
+
+
+def _bucket_table(path: str) -> str:
+    return f"martforge_{hashlib.md5(path.encode()).hexdigest()}"
+
+
+def write_join_buckets(df: DataFrame, layout: LakeLayout, spec: TableSpec, version: str) -> None:
+    """Write a snapshot as a bucketed table; ``df`` is already dealt by its keys into ``spec.join_buckets`` partitions."""
+    path = f"{layout.trusted(spec)}/v={version}"
+    (df.write.format("parquet").mode("errorifexists").bucketBy(spec.join_buckets, *spec.keys).sortBy(*spec.keys)
+     .option("path", f"{path}/keyed").saveAsTable(_bucket_table(f"{path}/keyed")))
+
+
+def write_unkeyed(df: DataFrame, layout: LakeLayout, spec: TableSpec, version: str) -> None:
+    df.write.mode("overwrite").parquet(f"{layout.trusted(spec)}/v={version}/unkeyed")
+
+
+def read_join_buckets(spark: SparkSession, layout: LakeLayout, spec: TableSpec, version: str | None) -> tuple[DataFrame, DataFrame]:
+    """The keyed rows, as a bucketed table, and those with a NULL key part.
+
+    The session's catalog need not know the table: it is declared over the
+    version's files.
+    """
+    schema = trusted_schema(spec)
+    if version is None:
+        none = spark.createDataFrame([], schema)
+        return none, none
+    path = f"{layout.trusted(spec)}/v={version}"
+    name = _bucket_table(f"{path}/keyed")
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        keys = ", ".join(f"`{k}`" for k in spec.keys)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (path '{path}/keyed') "
+                  f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {spec.join_buckets} BUCKETS")
+    return spark.table(name).select(*schema.names), spark.read.schema(schema).parquet(f"{path}/unkeyed")
+
+
+# --- change rows ---------------------------------------------------------------
+
+def write_changes(rows: DataFrame, layout: LakeLayout, spec: TableSpec, batch_id: str) -> None:
+    """Store a batch's change rows; a re-run of the batch replaces them."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(batch_folder(layout.changes(spec), batch_id))
+
+
+def read_changes(spark: SparkSession, layout: LakeLayout, spec: TableSpec, batch_id: str) -> DataFrame:
+    """The change rows of one batch (``operators.changes``)."""
+    return spark.read.parquet(batch_folder(layout.changes(spec), batch_id))
 
 
 def commit_snapshot(

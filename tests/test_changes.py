@@ -1,0 +1,150 @@
+"""Change rows: every kind of change, NULLs, applying them; bucketed merges and key ranges in plans and footers."""
+
+import glob
+from dataclasses import replace
+
+import pyarrow.parquet as pq
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from martforge.config import LOAD_FULL, LOAD_MERGE, MERGE_SNAPSHOT, MERGE_UPSERT, ColumnSpec, TableSpec
+from martforge.operators import changes, merge
+from martforge.plans import load as LD
+from martforge.sources import layers as L
+
+from .test_plans import plan
+from .test_pipeline import T1, T2, write_csv
+
+SCHEMA = "k1 long, k2 string, a string, b double, partition_time string"
+KEYS = ["k1", "k2"]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def found(df):
+    return sorted(((r["k1"], r["k2"], r["action"], r["old"] and r["old"]["a"], r["new"] and r["new"]["a"]) for r in df.collect()), key=repr)
+
+
+OLD = [(1, "x", "a", 1.0, "t1"), (2, "x", "a", None, "t1"), (3, "x", None, 2.0, "t1"), (4, "x", "a", 1.0, "t1"), (None, "x", "n", 1.0, "t1")]
+NEW = [(1, "x", "a", 1.0, "t2"),  # only the stamp differs
+       (2, "x", "b", None, "t2"), (3, "x", "2.0", None, "t2"),  # values change places with NULL
+       (5, "x", "new", 1.0, "t2"), (None, "x", "n", 1.0, "t2"), (7, None, "m", 1.0, "t2")]
+
+
+def test_kinds_of_changes(spark):
+    rows = changes.change_rows(frame(spark, OLD), frame(spark, NEW), KEYS)
+    assert found(rows) == sorted([
+        (1, "x", "N", "a", "a"), (2, "x", "U", "a", "b"), (3, "x", "U", None, "2.0"), (4, "x", "D", "a", None),
+        (5, "x", "I", None, "new"), (None, "x", "D", "n", None), (None, "x", "I", None, "n"), (7, None, "I", None, "m")], key=repr)
+    upsert = changes.change_rows(frame(spark, OLD), frame(spark, NEW), KEYS, MERGE_UPSERT)
+    assert {r[2] for r in found(upsert)} == {"N", "U", "I"} and len(found(upsert)) == 6
+
+
+values = st.tuples(st.one_of(st.none(), st.sampled_from("pq")), st.one_of(st.none(), st.sampled_from([0.5, 1.5])))
+tables = st.dictionaries(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.sampled_from(["x", None])), values, max_size=8)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(old=tables, new=tables, mode=st.sampled_from([MERGE_SNAPSHOT, MERGE_UPSERT]))
+def test_applied_to_the_old_snapshot_they_give_the_new_one(spark, old, new, mode):
+    def rows(table):
+        return frame(spark, [(*k, *v, "t") for k, v in table.items()])
+
+    stored = changes.change_rows(rows(old), rows(new), KEYS, mode).filter(F.col("action") != changes.SAME)
+    got = changes.apply_changes(rows(old), stored, KEYS)
+    want = merge.apply_merge(rows(old), rows(new), KEYS, mode)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+SPEC = TableSpec("thing.csv", tuple(ColumnSpec(c, t) for c, t in (("ThingID", "int"), ("Name", "string"), ("Amount", "float"))),
+                 keys=("ThingID",), load_mode=LOAD_MERGE)
+B1 = ["ThingID;Name;Amount", "1;a;1", "2;b;2", "3;c;3", ";no key;1"]
+B2 = ["ThingID;Name;Amount", "2;b;2", "3;changed;3", "4;d;4", ";other;1"]
+
+
+def load_both(spark, scratch, spec):
+    layout = L.LakeLayout(f"{scratch}/lake")
+    return layout, [LD.load_file(spark, spec, write_csv(scratch, f"b{i}.csv", lines), layout, f"00000{i}", stamp)
+                    for i, (lines, stamp) in enumerate(((B1, T1), (B2, T2)), 1)]
+
+
+def names(df):
+    return sorted((r["thing_id"] or 0, r["name"]) for r in df.collect())
+
+
+def test_loads_store_their_changes(spark, scratch):
+    spec = replace(SPEC, track_changes=True)
+    layout, _ = load_both(spark, scratch, spec)
+    first = L.read_changes(spark, layout, spec, "000001").collect()
+    assert {r["action"] for r in first} == {"I"} and len(first) == 4
+    second = sorted((r["action"], r["thing_id"] or 0) for r in L.read_changes(spark, layout, spec, "000002").collect())
+    assert second == [("D", 0), ("D", 1), ("I", 0), ("I", 4), ("U", 3)]
+
+
+@pytest.mark.parametrize("mode, want", [
+    (MERGE_SNAPSHOT, [(0, "other"), (2, "b"), (3, "changed"), (4, "d")]),
+    (MERGE_UPSERT, [(0, "no key"), (0, "other"), (1, "a"), (2, "b"), (3, "changed"), (4, "d")])])
+def test_join_buckets_merge_as_plain_tables_do(spark, scratch, mode, want):
+    plain = replace(SPEC, merge_mode=mode, track_changes=True)
+    bucketed = replace(plain, join_buckets=4, keep_versions=1)
+    layout, results = load_both(spark, f"{scratch}/b", bucketed)
+    plain_layout, plain_results = load_both(spark, f"{scratch}/p", plain)
+    assert names(L.read_trusted(spark, layout, bucketed)) == names(L.read_trusted(spark, plain_layout, plain)) == want
+    counts = [(r.rows_in, r.rows_inserted, r.rows_updated, r.rows_deleted, r.null_keys) for r in results]
+    assert counts == [(r.rows_in, r.rows_inserted, r.rows_updated, r.rows_deleted, r.null_keys) for r in plain_results]
+    both = [sorted(map(repr, L.read_changes(spark, x, s, "000002").select("thing_id", "action").collect()))
+            for x, s in ((layout, bucketed), (plain_layout, plain))]
+    assert both[0] == both[1]
+    # the catalog of another session does not know the table
+    head = L.read_head(spark, layout.trusted(bucketed))
+    spark.sql(f"DROP TABLE {L._bucket_table(f'{layout.trusted(bucketed)}/v={head.version}/keyed')}")
+    assert names(L.read_trusted(spark, layout, bucketed)) == want
+    files = glob.glob(f"{layout.trusted(bucketed)}/v={head.version}/keyed/*.parquet")
+    assert 1 <= len(files) <= 4 and len(glob.glob(f"{layout.trusted(bucketed)}/v=*")) == 1
+
+
+@pytest.mark.parametrize("mode", [MERGE_SNAPSHOT, MERGE_UPSERT])
+def test_a_bucketed_target_is_not_shuffled(spark, scratch, mode):
+    spec = replace(SPEC, merge_mode=mode, join_buckets=4)
+    layout, _ = load_both(spark, scratch, spec)
+    keyed, _ = L.read_join_buckets(spark, layout, spec, L.current_version(spark, layout, spec))
+    batch = spark.range(100).select(F.col("id").alias("thing_id"), F.lit("n").alias("name"), F.lit(1.0).alias("amount"),
+                                    F.lit(T2).cast("timestamp_ntz").alias("partition_time"))
+    dealt = batch.repartition(4, "thing_id")
+    text = plan(merge.merge_in_place(keyed, dealt, spec.keys, MERGE_UPSERT))
+    assert text.split("\n\n")[0].count("Exchange (") == 1 and "SelectedBucketsCount: 4 out of 4" in text, text
+    classified = plan(merge.classify_changes(keyed, dealt, spec.keys)).split("\n\n")[0]
+    # one exchange for the batch's keys; the batch's NULL keys are read apart and dealt once more
+    assert "Bucketed: true" in plan(merge.classify_changes(keyed, dealt, spec.keys)) and classified.count("Exchange (") <= 2
+
+
+def test_key_lookup_finds_one_file(spark, scratch):
+    """The footers of a trusted snapshot: the files' key ranges are disjoint, so one of them can hold a key."""
+    spec = replace(SPEC, load_mode=LOAD_FULL)
+    rows = spark.range(20000).select(F.col("id").alias("thing_id"), F.sha2(F.col("id").cast("string"), 256).alias("name"),
+                                     F.lit(1.0).alias("amount"), F.lit(T1).cast("timestamp_ntz").alias("partition_time"))
+    hot = rows.union(rows.withColumn("thing_id", F.lit(7).cast("long")).limit(8000))  # one key with a third of the rows
+    layout = L.LakeLayout(f"{scratch}/lake")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for data, name in ((rows, "even"), (hot, "hot")):
+            L.write_snapshot(data.repartition(6), layout, spec, name)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for name in ("even", "hot"):
+        ranges = []
+        for path in glob.glob(f"{layout.trusted(spec)}/v={name}/*.parquet"):
+            meta = pq.ParquetFile(path).metadata
+            of = [meta.row_group(i).column(0).statistics for i in range(meta.num_row_groups)]
+            ranges.append((min(s.min for s in of), max(s.max for s in of), meta.num_rows))
+        ranges.sort()
+        assert len(ranges) == 4 and sum(r[2] for r in ranges) == (20000 if name == "even" else 28000)
+        assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:])), ranges
+        assert max(r[2] for r in ranges) < 12000  # the hot key fills several files
+        if name == "even":
+            assert all(sum(low <= key <= high for low, high, _ in ranges) == 1 for key in (0, 7, 9999, 12345, 19999))
+    assert "rangepartitioning" in plan(L.cluster_by_range(rows, spec.keys))

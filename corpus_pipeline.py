@@ -33,9 +33,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup: one document of each group stays."""
-    kept = minhash.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*docs.columns)
+    """MinHash near-dedup: one document of each group stays; of rows that repeat its id, one. Rows without an id stay."""
+    kept = minhash.near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
+    # combined before the shuffle, so that an id of very many rows is not gathered
+    single = docs.filter("doc_id is not null").groupBy("doc_id").agg(
+        F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("first_row"))
+    found = single.join(kept, "doc_id", "left_semi").select("first_row.*")
+    return found.union(docs.filter("doc_id is null"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

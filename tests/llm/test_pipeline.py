@@ -54,6 +54,16 @@ def test_stages_on_their_own_input(spark, docs, folder, tokenizer):
     assert ids == sorted(i for r in mixed.collect() for i in plain_ids(tokenizer, r["text"]))
 
 
+def test_near_dedup_keeps_one_row_of_an_id(spark, folder):
+    long = "some words that only this one document of all of them has in this order"
+    rows = [(1, long, "en", "a", 1)] * 40 + [(2, long + " x", "en", "a", 1), (3, "other words", "fr", "b", 1)] * 3 + [
+        (None, "no id", "en", "a", 1)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    left = dict(P.STAGES)["minhash_near_dedup"](spark, docs, folder)
+    assert left.columns == docs.columns
+    assert rows_of(left, "doc_id", "text") == sorted([(1, long), (3, "other words"), (None, "no id"), (None, "no id")], key=repr)
+
+
 def test_run_takes_documents_through_all_stages(spark, folder):
     packed = P.run(spark, folder)
     assert packed.columns[:3] == ["doc_id", "start", "length"]

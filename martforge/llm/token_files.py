@@ -47,7 +47,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, id_col:
                       text_col: str = "text", end_id: int = END_ID, id_bytes: int = 2) -> DataFrame:
     """Write the files; returns the manifest with ``base``, the ids in all files before.
 
-    ``id_bytes``: 2 for vocabularies of up to 65,536 ids, else 4.
+    ``id_bytes``: 2 for vocabularies of up to 65,536 ids, else 4; an id that does not fit is an error.
     """
     target = local_path(folder)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -65,6 +65,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, id_col:
             np.zeros(1, "<i8").tofile(offsets)
             for rows, texts in text_slices(batches):
                 ids, sizes = tokens.encode(texts)
+                if len(ids) and int(ids.max()) >> 8 * id_bytes:
+                    raise ValueError(f"token id {ids.max()} does not fit {id_bytes} bytes")
                 ids.astype(f"<u{id_bytes}").tofile(ids_file)
                 (total + np.cumsum(sizes)).astype("<i8").tofile(offsets)
                 column = rows.column("doc_id")

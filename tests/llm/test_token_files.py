@@ -41,3 +41,8 @@ def test_empty_table_and_foreign_store(spark, docs, empty, tokenizer):
     assert manifest.collect() == [] and T.read_token_files(spark, manifest).collect() == []
     with pytest.raises(ValueError):
         T.write_token_files(docs, "hdfs://somewhere/x", tokenizer)
+
+
+def test_ids_that_do_not_fit_are_refused(spark, docs, tokenizer):
+    with pytest.raises(Exception, match="does not fit 1 bytes"):
+        T.write_token_files(docs, work_dir(spark, "token-test"), tokenizer, id_bytes=1)

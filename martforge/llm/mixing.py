@@ -9,14 +9,19 @@
    to its shards in the same way, by shard size, which gives an integer quota
    per shard.
 3. A shard holds the documents of one source with the same seeded hash. Its
+   quota is turned into words: quota times ``block_tokens``; a source at its
+   cap is taken ``max_repeats`` times whole, and the rounding to whole blocks
+   that a source's target leaves over goes to its largest shard. A shard's
    documents follow one another in seeded order and are cut into blocks of
-   ``block_tokens``; a quota of q blocks out of n takes every block q // n
-   times, and q % n blocks, chosen by a seeded walk over all blocks, once more.
+   ``block_tokens`` (the last one is shorter). Its words are taken as often as
+   they fit the quota whole; the rest of it is filled with blocks in the order
+   of a seeded walk over all blocks, the last of them cut to what is left.
 
 The number of shards depends on the tokens (one per ``shard_tokens``, about
 ``max_shards`` at most in all), so a source that holds a third of all rows is
 spread over a third of the shards, and no window or table of step 2 has more
-than about ``max_shards`` + 3 rows per source.
+than about ``max_shards`` + 3 rows per source. Id and text choose the shard, so
+rows of a null or repeated id are spread too; rows alike in both share one.
 
 Only DataFrame and SQL functions. Defined results: a null text has size 0 and
 is taken 0 times; a null source is a source of its own, the last one; repeated
@@ -107,14 +112,21 @@ def apportion(units: DataFrame, group: list[str], unit: str, weight: str, seats:
             .withColumn("quota", quota).drop("sure", "won"))
 
 
-def _overlap(i: Column, block: int) -> Column:
-    """Words of a document in block i of its shard."""
-    return F.least(F.col("start") + F.col("size"), (i + 1) * block) - F.greatest(F.col("start"), i * block)
+def _used(i: Column, block: int) -> Column:
+    """Words at the head of block i that are taken once more: the walk's earlier blocks have had theirs of ``rest``."""
+    def place(j: Column) -> Column:
+        return F.pmod(j * _STEP + F.col("walk"), F.col("blocks"))
 
+    last = F.col("blocks") - 1
+    missing = F.when(place(i) > place(last), F.col("blocks") * block - F.col("room")).otherwise(F.lit(0))
+    length = F.least(F.lit(block), F.col("room") - i * block)
+    return F.greatest(F.lit(0), F.least(length, F.col("rest") - (place(i) * block - missing)))
 
-def _extra(i: Column) -> Column:
-    """Whether block i is among the q % n blocks that are taken once more."""
-    return F.pmod(i * _STEP + F.col("walk"), F.col("blocks")) < F.col("rest")
+
+def _again(i: Column, block: int) -> Column:
+    """Words of a document in block i of its shard that are taken once more."""
+    return F.greatest(F.lit(0), F.least(F.col("start") + F.col("size"), i * block + _used(i, block)) - F.greatest(
+        F.col("start"), i * block))
 
 
 def _blocks(block: int) -> Column:
@@ -127,11 +139,13 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
              seed: int = SEED) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken and where its blocks lie.
 
-    ``start`` is its place in its shard, ``whole`` how often all its blocks
-    are taken, and ``walk``, ``blocks`` and ``rest`` say which are taken once more.
+    ``mark`` is a hash of its text, ``start`` its place in its shard, ``whole``
+    how often the shard is taken whole, and ``walk``, ``blocks``, ``room`` (the
+    shard's words) and ``rest`` say which words are taken once more.
     """
     sizes = written(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                                word_count(F.col(text_col)).alias("size")), "mix_sizes")
+                                word_count(F.col(text_col)).alias("size"), F.xxhash64(text_col).alias("mark")),
+                    "mix_sizes")
     sources = source_targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_repeats)
     one = W.partitionBy("mix")
     total = F.sum("source_size").over(one)
@@ -144,53 +158,58 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     sources = written(apportion(sources, ["mix"], "nth", "target", "mix_blocks").withColumnRenamed(
         "quota", "source_blocks"), "mix_sources")
 
-    shard = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")), F.col("shards"))
+    shard = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("mark")), F.col("shards"))
     of_source = sources.select(F.col("source").alias("key"), "source_size", "nth", "target", "source_blocks", "shards")
     dealt = sizes.join(of_source, sizes["source"].eqNullSafe(of_source["key"]), "inner").drop("key").withColumn(
         "shard", shard)
-    shards = dealt.groupBy("nth", "shard", "source_blocks").agg(F.sum("size").alias("shard_size"))
-    shards = apportion(shards, ["nth"], "shard", "shard_size", "source_blocks")
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("shard_size") / block_tokens)).cast("long")
-    shards = shards.withColumn("blocks", blocks).withColumn("quota", F.least("quota", max_repeats * F.col("blocks")))
-    shards = shards.select(
-        "nth", "shard", "blocks", F.floor(F.col("quota") / F.col("blocks")).alias("whole"),
-        F.pmod("quota", "blocks").alias("rest"),
+    of_shard = ["nth", "shard", "source_size", "target", "source_blocks"]
+    shards = dealt.groupBy(*of_shard).agg(F.sum("size").alias("room"))
+    shards = apportion(shards, ["nth"], "shard", "room", "source_blocks")
+    largest = F.row_number().over(W.partitionBy("nth").orderBy(F.col("room").desc(), "shard")) == 1
+    left_over = F.round("target").cast("long") - F.col("source_blocks") * block_tokens
+    dealt_words = F.col("quota") * block_tokens + F.when(largest, left_over).otherwise(F.lit(0))
+    most = F.col("room") * max_repeats
+    words = F.when(F.col("target") >= F.col("source_size") * max_repeats, most).otherwise(
+        F.greatest(F.lit(0), F.least(dealt_words, most)))
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("room") / block_tokens)).cast("long")
+    full = F.when(F.col("room") > 0, F.floor(F.col("words") / F.col("room"))).otherwise(F.lit(0)).cast("long")
+    shards = shards.withColumn("blocks", blocks).withColumn("words", words).withColumn("whole", full).select(
+        "nth", "shard", "room", "blocks", "whole", (F.col("words") - F.col("whole") * F.col("room")).alias("rest"),
         F.pmod(F.xxhash64(F.lit(seed + 1), "nth", "shard"), F.col("blocks")).alias("walk"))
 
     seeded = W.partitionBy("nth", "shard").orderBy(
-        F.xxhash64(F.lit(seed + 2), F.col("doc_id").cast("string")), "doc_id", "size")
+        F.xxhash64(F.lit(seed + 2), F.col("doc_id").cast("string")), "doc_id", "mark", "size")
     placed = dealt.withColumn("start", F.sum("size").over(seeded) - F.col("size"))
     joined = placed.join(shards, ["nth", "shard"], "left")
-    again = F.aggregate(_blocks(block_tokens), F.lit(0).cast("long"), lambda n, i: n + F.when(
-        _extra(i), _overlap(i, block_tokens)).otherwise(0))
+    again = F.aggregate(_blocks(block_tokens), F.lit(0).cast("long"), lambda n, i: n + _again(i, block_tokens))
     taken = F.when(F.col("size") > 0, F.col("whole") * F.col("size") + again).otherwise(F.lit(0).cast("long"))
-    return joined.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"),
-                         "start", "whole", "rest", "walk", "blocks")
+    return joined.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"), "mark",
+                         "start", "whole", "rest", "walk", "blocks", "room")
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                     block_tokens: int = BLOCK_TOKENS, **options) -> DataFrame:
     """The mix itself: the documents' columns, one row for each time that words of a document are taken.
 
-    A row whose blocks are all taken keeps its text; else its text is its
-    words in the taken blocks, in order, joined by spaces. Rows that share an
-    id, a source and a size share their plan too.
+    A row that is taken whole keeps its text; else its text is its taken
+    words, in order, joined by spaces. Rows that share an id, a source and a
+    text share their plan too.
     """
     plan = mix_plan(docs, id_col, text_col, source_col, block_tokens=block_tokens, **options)
     plan = plan.filter(F.col("taken") > 0).select(
-        F.struct("source", "size").alias("mix_key"), F.col("doc_id").alias("mix_id"), "start", "size", "taken", "whole",
-        "rest", "walk", "blocks").dropDuplicates(["mix_id", "mix_key"])
+        F.struct("source", "size", "mark").alias("mix_key"), F.col("doc_id").alias("mix_id"), "start", "size", "taken",
+        "whole", "rest", "walk", "blocks", "room").dropDuplicates(["mix_id", "mix_key"])
     # the documents travel as one column, whatever their columns are called
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        F.struct(F.col(source_col).cast("string").alias("source"),
-                                word_count(F.col(text_col)).alias("size")).alias("key"))
+                                word_count(F.col(text_col)).alias("size"), F.xxhash64(text_col).alias("mark")).alias("key"))
     joined = rows.join(plan, rows["id"].eqNullSafe(plan["mix_id"]) & (F.col("key") == F.col("mix_key")), "inner")
     copies = joined.withColumn("partly", F.col("taken") - F.col("whole") * F.col("size")).withColumn(
         "copy", F.explode(F.sequence(F.lit(1), (F.col("whole") + (F.col("partly") > 0).cast("long")).cast("int"))))
     picked = let(F.regexp_extract_all(F.col("text"), F.lit(WORD), 0), lambda words: F.flatten(F.transform(
-        F.filter(_blocks(block_tokens), _extra), lambda i: F.slice(
+        F.filter(_blocks(block_tokens), lambda i: _again(i, block_tokens) > 0), lambda i: F.slice(
             words, (F.greatest(F.col("start"), i * block_tokens) - F.col("start") + 1).cast("int"),
-            _overlap(i, block_tokens).cast("int")))))
+            _again(i, block_tokens).cast("int")))))
     cut = (F.col("copy") > F.col("whole")) & (F.col("partly") < F.col("size"))
     mixed = F.when(cut, F.array_join(picked, " ")).otherwise(F.col("text"))
     return copies.select(*[mixed.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])

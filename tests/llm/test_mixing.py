@@ -43,6 +43,35 @@ def test_plan_meets_targets(docs, clashing):
     assert rows_of(M.mix_plan(clashing), *plan) == again
 
 
+def test_small_sources_meet_their_targets(spark):
+    """One large source and fifteen small ones, of less than a block to a few blocks."""
+    sizes = {"a": 100_000, **{f"s{i:02d}": (10, 65, 100)[i % 3] for i in range(15)}}
+    rows = [(i * 1000 + j, "w " * n, name) for i, (name, total) in enumerate(sizes.items())
+            for j, n in enumerate([500] * (total // 500) or [total // 2, total - total // 2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = collections.Counter()
+    for r in M.mix_plan(docs).collect():
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        taken[r["source"]] += r["taken"]
+    for source, target in plain_targets(sizes).items():
+        shards = -(-sizes[source] // M.SHARD_TOKENS)
+        assert abs(taken[source] - target) <= (1 if shards == 1 else M.BLOCK_TOKENS), source
+    words = collections.Counter()
+    for r in M.mixed_documents(docs).collect():
+        words[r["source"]] += len(r["text"].split())
+    assert words == taken
+
+
+def test_rows_of_a_null_id_are_spread_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(M, "SHARD_TOKENS", 100)
+    rows = [(None, f"word{i} " * 10, "a") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = M.mix_plan(docs, max_repeats=1).collect()
+    assert sum(r["taken"] for r in plan) == 4000
+    assert len({(r["walk"], r["blocks"], r["room"]) for r in plan}) > 10
+    assert max(r["start"] for r in plan) < 600
+
+
 def test_mixed_documents_have_the_words_of_the_plan(docs, clashing):
     plan = {(r["doc_id"], r["source"], r["size"]): r["taken"] for r in M.mix_plan(docs).collect() if r["taken"]}
     for table in (docs, clashing):

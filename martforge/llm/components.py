@@ -19,6 +19,7 @@ from .shared import BLOOM, arrow_map, settings, written
 SMALL_BUCKET = 16  # split buckets of up to so many members are compared in full in the second round
 TILE = 128  # members of a larger split bucket that are compared with as many others as one unit of work
 STAR_TURNS = 2  # turns of other centres before the rest is compared in tiles
+CHUNK_EDGES = 1 << 18  # edges that a task contracts at a time
 _CHUNK = 16  # pairs of one member compared before those joined meanwhile are left out
 
 
@@ -30,16 +31,64 @@ def _is_forest_of_stars(edges: DataFrame) -> bool:
     return of_node.filter("below + above > 1").isEmpty()
 
 
+def _chunk_forest(a: pa.ChunkedArray, b: pa.ChunkedArray) -> list[np.ndarray]:
+    """The edges of one chunk as stars: every node with the smallest node that the chunk's edges reach."""
+    nodes, place = np.unique(np.concatenate([x.to_numpy() for x in (a, b)]), return_inverse=True)
+    one, other = np.split(place, 2)
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[one], label[other])
+        before = label.copy()
+        for end in (label[one], label[other]):  # the root of either end learns the smaller root
+            np.minimum.at(label, end, low)
+        while not np.array_equal(label, label[label]):
+            label = label[label]
+        if np.array_equal(before, label):
+            break
+    below = label != np.arange(len(nodes))
+    return [nodes[below], nodes[label[below]]]
+
+
+def _contract(batches):
+    """Edges (v, u) contracted in chunks of at most ``CHUNK_EDGES``, which is all that a task holds."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def flush():
+        rows = pa.Table.from_batches(held)
+        forest = _chunk_forest(rows.column("v"), rows.column("u"))
+        return pa.RecordBatch.from_arrays([pa.array(x.tolist(), rows.schema.field("v").type) for x in forest], names=["v", "u"])
+
+    for batch in batches:
+        if size + batch.num_rows > CHUNK_EDGES and held:
+            yield flush()
+            held.clear()
+            size = 0
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+    if held:
+        yield flush()
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component (the smallest node reachable) for every node that is not itself the smallest of its component.
 
-    Alternating star contraction: every node sends its larger neighbours to
-    the smallest node it knows, then its smaller neighbours and itself; the
-    edges end as one star per component. Nulls link with nothing.
+    Tasks first contract the edges they read, chunk by chunk, to stars; a chunk
+    leaves fewer edges than it has nodes and connects the same nodes. Edges that
+    fit one chunk are then contracted in one task, which gives the components.
+    More go through rounds of alternating star contraction (every node sends
+    its larger neighbours to the smallest node it knows, then its smaller
+    neighbours and itself) until they fit or are one star per component. Nulls
+    link with nothing.
     """
-    now = written(edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).select(
-        F.greatest(a, b).alias("v"), F.least(a, b).alias("u")).distinct(), "edges")
-    while not _is_forest_of_stars(now):
+    def contracted(rows: DataFrame) -> DataFrame:
+        kind = dict(rows.dtypes)["v"]
+        return written(arrow_map(rows, _contract, f"v {kind}, u {kind}"), "edges")
+
+    now = contracted(edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).select(
+        F.greatest(a, b).alias("v"), F.least(a, b).alias("u")))
+    while now.count() > CHUNK_EDGES:
         both = now.select(F.col("u").alias("x"), F.col("u").alias("y")).union(now.select("v", "u")).union(
             now.select("u", "v"))
         least = both.groupBy("x").agg(F.min("y").alias("m"))
@@ -49,6 +98,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         small = large.join(least, large["v"] == least["x"]).select(F.col("u").alias("v"), F.col("m").alias("u")).filter(
             F.col("u") != F.col("v"))
         now = written(least.select(F.col("x").alias("v"), F.col("m").alias("u")).union(small).distinct(), "edges")
+        if _is_forest_of_stars(now):
+            break
+    else:
+        now = contracted(now.coalesce(1))
     return now.select(F.col("v").alias("node"), F.col("u").alias("component"))
 
 

@@ -32,6 +32,34 @@ def test_components_of_chains_stars_and_random_graphs(spark):
         assert rows_of(got) == sorted(plain(edges), key=repr)
 
 
+def test_edges_beyond_one_chunk_go_through_star_rounds(spark, monkeypatch):
+    import martforge.llm.components as K
+
+    monkeypatch.setattr(K, "CHUNK_EDGES", 10)  # what the driver compares with; workers keep their own
+    rng = random.Random(11)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(400 + i, 399 + i) for i in range(60)]
+    table = spark.createDataFrame(edges, "a long, b long").repartition(7)
+    assert rows_of(K.connected_components(table)) == sorted(plain(edges), key=repr)
+
+
+def test_ids_may_be_strings(spark):
+    edges = [("b", "a"), ("é", "b"), ("z", "y"), (None, "a")]
+    got = connected_components(spark.createDataFrame(edges, "a string, b string"))
+    assert rows_of(got) == [("b", "a"), ("z", "y"), ("é", "a")]
+
+
+def test_a_chunk_of_edges_becomes_stars():
+    import pyarrow as pa
+
+    from martforge.llm.components import _chunk_forest
+
+    rng = random.Random(3)
+    for n, m in ((50, 30), (200, 260), (400, 300)):
+        edges = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)] + [(n + i, n + i + 1) for i in range(99)]
+        below, root = _chunk_forest(*(pa.chunked_array([[e[k] for e in edges]]) for k in (0, 1)))
+        assert sorted(zip(below.tolist(), root.tolist()), key=repr) == sorted(plain(edges), key=repr)
+
+
 def test_bucket_search_finds_links_that_its_first_star_misses(spark):
     # 0-1, 2-3 and 4-5 are linked; all share one large bucket with unlinked members
     linked = {(0, 1), (2, 3), (4, 5)}

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from ..config import LOAD_MERGE, MERGE_SNAPSHOT, MERGE_UPSERT, NA_WORDS
 from ..functions.dates import STAMP_LAG_HOURS
-from ..operators import changes
+from ..operators import changes, deltas
 from ..session import session_conf, work_dir
 from ..sources import files, flatfile, layers
 from ..streaming import file_stream
 from . import standins as S
+from .as_of import trusted_as_of
 from .catalog import register
 from .load import load_batch, load_file
 
@@ -312,3 +313,44 @@ def merge_join_buckets(spark, sf_dir):
         rows = layers.read_trusted(spark, layout, spec).select(F.lit(mode).alias("mode"), "o_orderkey", "o_totalprice")
         out = rows if out is None else out.union(rows)
     return out
+
+
+_KEPT = f"SELECT k, price FROM {_OLD} WHERE k NOT IN (SELECT k FROM {_NEW})"
+
+
+@register("trusted_as_of_stamps", f"""
+SELECT m.mode, 1 AS after_batch, k AS o_orderkey, price AS o_totalprice
+FROM {_OLD}, (SELECT unnest(['snapshot', 'upsert']) AS mode) m
+UNION ALL
+SELECT m.mode, 2, k, price FROM {_NEW}, (SELECT unnest(['snapshot', 'upsert']) AS mode) m
+UNION ALL
+SELECT 'upsert', 2, k, price FROM ({_KEPT})
+""")
+def trusted_as_of_stamps(spark, sf_dir):
+    """The orders as of both stamps, from the raw history; the first snapshot itself is no longer kept."""
+    out = None
+    for mode in (MERGE_SNAPSHOT, MERGE_UPSERT):
+        spec = replace(S.ORDERS_SPEC, merge_mode=mode, keep_versions=1)
+        layout = _load_partly_changed(spark, sf_dir, spec)
+        for nth, stamp in ((1, S.BATCH1_TIME), (2, S.BATCH2_TIME)):
+            rows = trusted_as_of(spark, layout, spec, stamp).select(
+                F.lit(mode).alias("mode"), F.lit(nth).alias("after_batch"), "o_orderkey", "o_totalprice")
+            out = rows if out is None else out.union(rows)
+    return out
+
+
+@register("mart_sums_from_changes", f"""
+SELECT b.o_custkey, COUNT(*) AS n_orders, CAST(SUM(CAST(n.price AS DECIMAL(18,2))) AS DOUBLE) AS total_price
+FROM {S.orders_batch_sql(2)} b JOIN {_NEW} n ON b.o_orderkey = n.k GROUP BY 1
+""")
+def mart_sums_from_changes(spark, sf_dir):
+    """Orders and their value per customer: the sums after the first batch, kept current by the second one's change rows."""
+    spec = replace(S.ORDERS_SPEC, track_changes=True)
+    layout = _load_partly_changed(spark, sf_dir, spec)
+    by, measures = ["o_custkey"], ["o_totalprice"]
+    first = deltas.change_sums(layers.read_changes(spark, layout, spec, S.BATCH_IDS[0]), by, measures)
+    path = f"{work_dir(spark, 'mart')}/sums"
+    first.write.parquet(path)
+    second = deltas.change_sums(layers.read_changes(spark, layout, spec, S.BATCH_IDS[1]), by, measures)
+    mart = deltas.apply_sums(spark.read.parquet(path), second, by, measures)
+    return mart.select("o_custkey", F.col(deltas.COUNT).alias("n_orders"), F.col("o_totalprice").cast("double").alias("total_price"))

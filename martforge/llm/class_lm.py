@@ -3,21 +3,27 @@
 Tokens are the ASCII lower-cased words of a text, then one end. The model is
 P(word | previous) = P(class | previous class) * P(word | class).
 
-Counting covers every training text: word counts (one aggregate by word) and
-bigram counts of *symbols*. The ``SYMBOLS`` most frequent words are symbols of
-their own; the other words share a symbol with the words of the same ending,
-so that every word, seen or not, belongs to one. Exchange clustering moves the
-symbols between ``CLASSES`` classes: in each round Spark aggregates, for every
-symbol, its neighbours' classes on both sides; half of the symbols in turn go
-to the class that gives their tokens the highest probability, as long as the
-likelihood of the corpus rises. The driver holds tables of symbols by classes
-only, whose size does not depend on the corpus.
+Every word of the training texts gets a class by exchange. First the
+``SYMBOLS`` most frequent words are clustered: they are symbols of their own,
+the other words stand in as symbols of their endings, and in each round Spark
+aggregates, for every symbol, its neighbours' classes on both sides; half of
+the symbols in turn go to the class that gives their tokens the highest
+probability, as long as the likelihood of the corpus rises. Then every other
+word, however rare, goes to the class of the highest gain by the same rule:
+Spark counts the classes before and after it (one row per word and pair of
+classes) and takes the best class. The steps between classes are counted anew
+with the classes of all words. Endings give a class to words that the training
+texts do not have.
+
+The driver holds tables of symbols by classes and of classes by classes, whose
+size does not depend on the corpus, and the listed words: those that are at
+least ``LISTED_SHARE`` of all tokens, so at most 1 / share of them. Tasks look
+listed words up in a broadcast table; the others are joined with the table of
+all words and their classes.
 
 Smoothing: transitions are interpolated with the class frequencies, emissions
 add half a count to each word of the class and to one unseen word for each
-word ending in it. Scoring looks frequent words up in a broadcast table (words
-that are at least ``LISTED_SHARE`` of all tokens, so at most 1 / share of them)
-and joins the rest with the word counts.
+word ending in it.
 
 Defined results: a null or empty text is its end alone; rows with the same id
 and text get equal scores; without training texts every word is unseen; a row
@@ -30,7 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import arrow_map, written
@@ -47,14 +53,30 @@ BACKOFF = 4.0  # weight, in tokens, of the class frequencies in a transition
 FIRST_ENDING = SYMBOLS  # symbols from here on are word endings
 END = SYMBOLS + ENDINGS
 N_SYMBOLS = END + 1
+END_CLASS = CLASSES  # the end has a class of its own
+STEPS = CLASSES + 1
 
 
-def _tokens(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes (as Spark longs), their endings' numbers and their rows."""
+@dataclass
+class Tokens:
+    """The words of some texts: hashes (as Spark longs), rows, and where they stand."""
+
+    texts: Texts
+    starts: np.ndarray
+    ends: np.ndarray
+    words: np.ndarray
+    rows: np.ndarray
+
+    def endings(self, which: np.ndarray) -> np.ndarray:
+        """The numbers of the endings of some words."""
+        ends = self.ends[which]
+        tails = span_hashes(self.texts.data, np.maximum(self.starts[which], ends - ENDING_BYTES), ends, lower=True)
+        return (tails % np.uint64(ENDINGS)).astype(np.int64)
+
+
+def _tokens(texts: Texts) -> Tokens:
     starts, ends = texts.word_spans()
-    words = signed(span_hashes(texts.data, starts, ends, lower=True))
-    tails = span_hashes(texts.data, np.maximum(starts, ends - ENDING_BYTES), ends, lower=True)
-    return words, (tails % np.uint64(ENDINGS)).astype(np.int64), texts.row_of(starts)
+    return Tokens(texts, starts, ends, signed(span_hashes(texts.data, starts, ends, lower=True)), texts.row_of(starts))
 
 
 def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -65,20 +87,33 @@ def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
+def _counted(*columns: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of some columns, and how often each occurs."""
+    order = np.lexsort(columns[::-1])
+    ordered = [c[order] for c in columns]
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for c in ordered:
+        new[1:] |= c[1:] != c[:-1]
+    first = np.flatnonzero(new)
+    return [c[first] for c in ordered], np.diff(np.r_[first, len(order)])
+
+
 def _word_counts(batches):
     for _, texts in text_slices(batches):
-        words, endings, _ = _tokens(texts)
-        keys, first, n = np.unique(words, return_index=True, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(endings[first].astype(np.int32)), pa.array(n)],
-                                         names=["word", "ending", "n"])
+        words, n = np.unique(_tokens(texts).words, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(n)], names=["word", "n"])
+
 
+def _chains(symbols: np.ndarray, rows: np.ndarray, n: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Previous and next symbol of every step, and its row: each row's symbols, opened and closed by the end.
 
-def _chains(symbols: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Previous and next symbol of every step, and its row: each row's symbols, opened and closed by the end."""
+    The step that leads to word i is number i + its row.
+    """
     count = np.bincount(rows, minlength=n)
-    after = np.full(len(symbols) + n, END, np.int64)
+    after = np.full(len(symbols) + n, end, np.int64)
     after[np.arange(len(symbols)) + rows] = symbols
-    before = np.full(len(after), END, np.int64)
+    before = np.full(len(after), end, np.int64)
     before[1:] = after[:-1]
     return before, after, np.repeat(np.arange(n), count + 1)
 
@@ -90,16 +125,19 @@ class Words:
     keys: np.ndarray
     symbols: np.ndarray
 
-    def symbols_of(self, words: np.ndarray, endings: np.ndarray) -> np.ndarray:
-        at = _find(self.keys, words)
-        return np.where(at >= 0, self.symbols[at] if len(self.symbols) else 0, FIRST_ENDING + endings)
+    def symbols_of(self, tokens: Tokens) -> np.ndarray:
+        at = _find(self.keys, tokens.words)
+        out = self.symbols[at] if len(self.symbols) else np.zeros(len(at), np.int64)
+        other = np.flatnonzero(at < 0)
+        out[other] = FIRST_ENDING + tokens.endings(other)
+        return out
 
 
 def _bigram_counts(known: Words):
     def run(batches):
         for _, texts in text_slices(batches):
-            words, endings, rows = _tokens(texts)
-            before, after, _ = _chains(known.symbols_of(words, endings), rows, texts.rows)
+            tokens = _tokens(texts)
+            before, after, _ = _chains(known.symbols_of(tokens), tokens.rows, texts.rows, END)
             pairs, n = np.unique(before * N_SYMBOLS + after, return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array((pairs // N_SYMBOLS).astype(np.int32)), pa.array((pairs % N_SYMBOLS).astype(np.int32)),
@@ -114,15 +152,15 @@ def _neighbours(bigrams: DataFrame, classes: np.ndarray) -> tuple[np.ndarray, np
     out = []
     for symbol, other in (("a", "b"), ("b", "a")):
         rows = bigrams.join(of, bigrams[other] == of["symbol"]).groupBy(symbol, "class").agg(F.sum("n").alias("n"))
-        found = rows.toArrow()  # at most N_SYMBOLS * (CLASSES + 1) rows
-        table = np.zeros((N_SYMBOLS, CLASSES + 1))
+        found = rows.toArrow()  # at most N_SYMBOLS * STEPS rows
+        table = np.zeros((N_SYMBOLS, STEPS))
         table[found.column(symbol).to_numpy(), found.column("class").to_numpy()] = found.column("n").to_numpy()
         out.append(table)
     return out[0], out[1]
 
 
 def _by_class(table: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    out = np.zeros((CLASSES + 1, table.shape[1]))
+    out = np.zeros((STEPS, table.shape[1]))
     np.add.at(out, classes, table)
     return out
 
@@ -136,38 +174,92 @@ def _likelihood(steps: np.ndarray) -> float:
     return part(steps) - part(steps.sum(axis=1)) - part(steps.sum(axis=0))
 
 
+class Gains:
+    """What each class would give the tokens of a word, from the classes before and after them."""
+
+    def __init__(self, steps: np.ndarray):
+        total = steps.sum(axis=0)
+        smooth = (steps + (total + 0.5) / (total.sum() + 0.5 * len(total))) / (steps.sum(axis=1, keepdims=True) + 1)
+        self.step, self.size = np.log(smooth), np.log(total + 1)
+
+    def best(self, precede: np.ndarray, follow: np.ndarray) -> np.ndarray:
+        """The class of the highest gain (the lowest of equals), never that of the end."""
+        gain = precede @ self.step + follow @ self.step.T - precede.sum(axis=1)[:, None] * self.size
+        return gain[:, :CLASSES].argmax(axis=1)
+
+
 def exchange(bigrams: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """The class of every symbol, and the counts of class steps."""
+    """The class of every symbol, and the counts of class steps. Ends after two rounds, one for each half, without a gain."""
     classes = np.arange(N_SYMBOLS) % CLASSES
-    classes[END] = CLASSES  # the end has a class of its own
+    classes[END] = END_CLASS
     follow, precede = _neighbours(bigrams, classes)
     steps = _by_class(follow, classes)
-    best = _likelihood(steps)
+    best, failed = _likelihood(steps), 0
     for turn in range(rounds):
-        total = steps.sum(axis=0)
-        smooth = (steps + (total + 0.5) / (total.sum() + 0.5 * len(total))) / (steps.sum(axis=1, keepdims=True) + 1)
-        step = np.log(smooth)
         count = precede.sum(axis=1)
-        gain = precede @ step + follow @ step.T - count[:, None] * np.log(total + 1)
-        gain[:, CLASSES] = -np.inf
         moved = classes.copy()
         own = np.flatnonzero((np.arange(END) % 2 == turn % 2) & (count[:END] > 0))
-        moved[own] = gain[own].argmax(axis=1)
+        moved[own] = Gains(steps).best(precede[own], follow[own])
         trial = _neighbours(bigrams, moved)
         after = _by_class(trial[0], moved)
         if _likelihood(after) > best:
-            classes, (follow, precede), steps, best = moved, trial, after, _likelihood(after)
-        elif turn:
-            break
+            classes, (follow, precede), steps, best, failed = moved, trial, after, _likelihood(after), 0
+        else:
+            failed += 1
+            if failed == 2:
+                break
     return classes, steps
 
 
+def _contexts(known: Words, classes: np.ndarray):
+    """Of the words without a symbol: the classes before and after them, as one number, with counts."""
+    def run(batches):
+        for _, texts in text_slices(batches):
+            tokens = _tokens(texts)
+            symbols = known.symbols_of(tokens)
+            before, after, _ = _chains(classes[symbols], tokens.rows, texts.rows, END_CLASS)
+            rest = np.flatnonzero(symbols >= FIRST_ENDING)
+            step = rest + tokens.rows[rest]
+            (word, context), n = _counted(tokens.words[rest], before[step] * STEPS + after[step + 1])
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(context.astype(np.int32)), pa.array(n)],
+                                             names=["word", "context", "n"])
+    return run
+
+
+def _best_classes(gains: Gains):
+    """The class of each word from its contexts."""
+    def run(batches):
+        for batch in batches:
+            words = batch.num_rows
+            found = batch.column("contexts")
+            each = np.repeat(np.arange(words), np.diff(found.offsets.to_numpy()))
+            context, n = (found.flatten().field(x).to_numpy(zero_copy_only=False) for x in ("context", "n"))
+            precede, follow = (np.bincount(each * STEPS + c, weights=n, minlength=words * STEPS).reshape(words, STEPS)
+                               for c in (context // STEPS, context % STEPS))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("word"), pa.array(gains.best(precede, follow).astype(np.int32)),
+                 pa.array(precede.sum(axis=1).astype(np.int64))], names=["word", "class", "n"])
+    return run
+
+
+def _assigned(rows: DataFrame, known: Words, classes: np.ndarray, steps: np.ndarray) -> DataFrame:
+    """word, class and n of every word without a symbol of its own.
+
+    Dealt by word once; a word beyond the symbols holds at most 1 / symbols of
+    the tokens, and is a list of at most STEPS * STEPS contexts by then.
+    """
+    found = arrow_map(rows, _contexts(known, classes), "word long, context int, n long")
+    counted = found.repartition("word").groupBy("word", "context").agg(F.sum("n").alias("n"))
+    of_word = counted.groupBy("word").agg(F.collect_list(F.struct("context", "n")).alias("contexts"))
+    return arrow_map(of_word, _best_classes(Gains(steps)), "word long, class int, n long")
+
+
 @dataclass
 class ClassModel:
-    words: Words
     listed: np.ndarray  # hashes of the frequent words, in order
     listed_counts: np.ndarray
-    classes: np.ndarray  # by symbol
+    listed_classes: np.ndarray
+    ending_classes: np.ndarray  # of unseen words, by ending
     steps: np.ndarray  # log10 P(class | previous class)
     room: np.ndarray  # by class: tokens, plus half a count for every word and unseen word
     tokens: int
@@ -178,60 +270,138 @@ class ClassModel:
     def base_room(self) -> float:
         return self.tokens + 0.5 * (self.distinct + 1)
 
-    def ending_room(self) -> list[float]:
-        return self.room[self.classes[FIRST_ENDING:END]].tolist()
+    def classed(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each word in the list, or -1, and its class: that of its ending if it is not listed."""
+        at = _find(self.listed, tokens.words)
+        out = self.listed_classes[at] if len(self.listed) else np.zeros(len(at), np.int64)
+        rest = np.flatnonzero(at < 0)
+        out[rest] = self.ending_classes[tokens.endings(rest)]
+        return at, out
 
 
-def train(texts: DataFrame, text_col: str = "text") -> tuple[ClassModel, DataFrame]:
-    """The model and the table of all word counts (word, ending, n)."""
-    rows = texts.select(F.col(text_col).alias("text"))
-    counted = arrow_map(rows, _word_counts, "word long, ending int, n long")
-    vocabulary = written(counted.groupBy("word").agg(F.min("ending").alias("ending"), F.sum("n").alias("n")), "vocabulary")
-    ends = rows.count()
-    by_ending = {r["ending"]: (r["n"], r["words"]) for r in vocabulary.groupBy("ending").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()}  # one row per ending
-    total = sum(n for n, _ in by_ending.values())
-    top = vocabulary.filter(F.col("n") >= LISTED_SHARE * total).toArrow()  # at most 1 / LISTED_SHARE rows
-    order = np.lexsort((top.column("word").to_numpy(), -top.column("n").to_numpy()))
-    word, n, ending = (top.column(x).to_numpy()[order] for x in ("word", "n", "ending"))
+_SIDES = "a_word long, a_class int, b_word long, b_class int, times long"
 
-    own = np.arange(min(SYMBOLS, len(word)))
-    by_hash = np.argsort(word[own])
-    words = Words(word[own][by_hash], own[by_hash])
-    bigrams = written(arrow_map(rows, _bigram_counts(words), "a int, b int, n long").groupBy("a", "b").agg(
-        F.sum("n").alias("n")), "bigrams")
-    classes, steps = exchange(bigrams)
 
-    tokens, kinds = np.zeros(N_SYMBOLS), np.zeros(N_SYMBOLS)
-    tokens[own], kinds[own] = n[own], 1
-    for e, (count, distinct) in by_ending.items():
-        mine = own[ending[own] == e]
-        tokens[FIRST_ENDING + e], kinds[FIRST_ENDING + e] = count - n[mine].sum(), distinct - len(mine)
-    kinds[FIRST_ENDING:END] += 1  # an unseen word
-    room = np.zeros(CLASSES + 1)
-    np.add.at(room, classes, tokens + 0.5 * kinds)
+def _open_steps(model: ClassModel, tokens: Tokens, rows: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Every step as the class and the word on either side, its row, and whether it has a word that is not listed.
+
+    A word is given by its token's number where it is not listed; else -1 stands for it.
+    """
+    at, classes = model.classed(tokens)
+    before, after, row = _chains(classes, tokens.rows, rows, END_CLASS)
+    a, b, _ = _chains(np.where(at < 0, np.arange(len(at)), -1), tokens.rows, rows, -1)
+    return [a, before, b, after], row, (a >= 0) | (b >= 0)
+
+
+def _side_columns(tokens: Tokens, sides: list[np.ndarray]) -> list[pa.Array]:
+    """The columns a_word (null for listed words and ends), a_class, b_word, b_class of some steps."""
+    out = []
+    for number, kind in (sides[:2], sides[2:]):
+        word = tokens.words[np.maximum(number, 0)] if len(tokens.words) else np.zeros(len(number), np.int64)
+        out += [pa.array(word, mask=number < 0), pa.array(kind.astype(np.int32))]
+    return out
+
+
+def _distinct_steps(tokens: Tokens, sides: list[np.ndarray], row: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The steps with one token's number for each word, once for each row, and how often each occurs."""
+    _, first, place = np.unique(tokens.words, return_index=True, return_inverse=True)
+    one = np.r_[first[place], -1].astype(np.int64)  # the last stands for -1
+    (row, *sides), times = _counted(row, *(one[s] if k % 2 == 0 else s for k, s in enumerate(sides)))
+    return sides, row, times
+
+
+def _all_steps(shared):
+    """The steps of all texts, counted."""
+    def run(batches):
+        for _, texts in text_slices(batches):
+            tokens = _tokens(texts)
+            sides, row, _ = _open_steps(shared.value, tokens, texts.rows)
+            sides, _, times = _distinct_steps(tokens, sides, np.zeros(len(row), np.int64))
+            yield pa.RecordBatch.from_arrays([*_side_columns(tokens, sides), pa.array(times)],
+                                             names=["a_word", "a_class", "b_word", "b_class", "times"])
+    return run
+
+
+def _with_classes(steps: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """The steps with the classes of their words, and the count n of the word that the step leads to.
+
+    A step without a word on a side is dealt by its other columns: nulls do not pile up in one task.
+    """
+    others = F.xxhash64(*steps.columns)
+    for side in ("a", "b"):
+        of = vocabulary.select(F.col("word").alias("of_word"), F.col("class").alias("of_class"), F.col("n").alias("of_n"))
+        found = steps.withColumn("of_key", F.coalesce(f"{side}_word", others)).join(
+            of, F.col("of_key") == F.col("of_word"), "left")
+        has = F.col(f"{side}_word").isNotNull()
+        steps = found.withColumn(f"{side}_class", F.when(has, F.coalesce("of_class", f"{side}_class")).otherwise(
+            F.col(f"{side}_class"))).withColumn("n", F.when(has, F.col("of_n"))).drop("of_key", "of_word", "of_class", "of_n")
+    return steps
+
+
+def _counted_steps(rows: DataFrame, model: ClassModel, vocabulary: DataFrame) -> np.ndarray:
+    """How often each class follows each other, by the classes of all words."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    steps = arrow_map(rows, _all_steps(shared), _SIDES)
+    found = _with_classes(steps, vocabulary).groupBy("a_class", "b_class").agg(F.sum("times").alias("n")).toArrow()
+    out = np.zeros((STEPS, STEPS))  # at most STEPS * STEPS rows
+    out[found.column("a_class").to_numpy(), found.column("b_class").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
+def transitions(steps: np.ndarray) -> np.ndarray:
+    """log10 P(class | previous class) from the counts of steps, interpolated with the class frequencies."""
     arrivals = steps.sum(axis=0)
     share = (arrivals + 0.5) / (arrivals + 0.5).sum()
-    step = np.log10((steps + BACKOFF * share) / (steps.sum(axis=1, keepdims=True) + BACKOFF))
-    listed = np.argsort(word)
-    distinct = sum(d for _, d in by_ending.values()) + (ends > 0)
-    return ClassModel(words, word[listed], n[listed], classes, step, room, int(total + ends), int(distinct),
-                      int(ends)), vocabulary
+    return np.log10((steps + BACKOFF * share) / (steps.sum(axis=1, keepdims=True) + BACKOFF))
+
+
+def train(texts: DataFrame, text_col: str = "text", symbols: int = SYMBOLS) -> tuple[ClassModel, DataFrame]:
+    """The model and the table of all words (word, class, n); at most SYMBOLS words are clustered as ``symbols``."""
+    spark, rows = texts.sparkSession, texts.select(F.col(text_col).alias("text"))
+    counts = written(arrow_map(rows, _word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "word_counts")
+    ends = rows.count()
+    first = counts.orderBy(F.desc("n"), "word").limit(min(symbols, SYMBOLS)).toArrow()
+    word, n = (first.column(x).to_numpy() for x in ("word", "n"))
+    by_hash = np.argsort(word)
+    known = Words(word[by_hash], by_hash)
+    bigrams = written(arrow_map(rows, _bigram_counts(known), "a int, b int, n long").groupBy("a", "b").agg(
+        F.sum("n").alias("n")), "bigrams")
+    classes, steps = exchange(bigrams)
+
+    own = spark.createDataFrame([(int(w), int(classes[i]), int(k)) for i, (w, k) in enumerate(zip(word, n))],
+                                "word long, class int, n long")
+    vocabulary = written(_assigned(rows, known, classes, steps).union(own), "vocabulary")
+    of_class = vocabulary.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()
+    room = np.zeros(STEPS)
+    for r in of_class:  # one row per class
+        room[r["class"]] = r["n"] + 0.5 * r["words"]
+    ending_classes = classes[FIRST_ENDING:END]
+    np.add.at(room, ending_classes, 0.5)  # an unseen word for each ending
+    total, distinct = sum(r["n"] for r in of_class), sum(r["words"] for r in of_class) + (ends > 0)
+
+    top = vocabulary.filter(F.col("n") >= LISTED_SHARE * total).toArrow()  # at most 1 / LISTED_SHARE rows
+    order = np.argsort(top.column("word").to_numpy())
+    listed, of, count = (top.column(x).to_numpy()[order] for x in ("word", "class", "n"))
+    model = ClassModel(listed, count, of.astype(np.int64), ending_classes, transitions(steps), room, int(total + ends),
+                       int(distinct), int(ends))
+    model.steps = transitions(_counted_steps(rows, model, vocabulary))
+    return model, vocabulary
 
 
 def _known_part(shared):
-    """Of each row: everything but the words that are not in the broadcast table."""
+    """Of each row: the steps between listed words and ends, and the listed words themselves."""
     def run(batches):
         m: ClassModel = shared.value
         for part, texts in text_slices(batches):
-            words, endings, rows = _tokens(texts)
-            symbols = m.words.symbols_of(words, endings)
-            before, after, of_step = _chains(symbols, rows, texts.rows)
-            score = np.bincount(of_step, weights=m.steps[m.classes[before], m.classes[after]], minlength=texts.rows)
-            at = _find(m.listed, words)
+            tokens = _tokens(texts)
+            rows = tokens.rows
+            at, classes = m.classed(tokens)
+            (_, before, _, after), of_step, is_open = _open_steps(m, tokens, texts.rows)
+            weights = np.where(is_open, 0.0, m.steps[before, after])
+            score = np.bincount(of_step, weights=weights, minlength=texts.rows)
             known = at >= 0
             n, mine = m.listed_counts[at[known]] + 0.5, rows[known]
-            score += np.bincount(mine, weights=np.log10(n / m.room[m.classes[symbols[known]]]), minlength=texts.rows)
+            score += np.bincount(mine, weights=np.log10(n / m.room[classes[known]]), minlength=texts.rows)
             base = np.bincount(mine, weights=np.log10(n / m.base_room), minlength=texts.rows)
             base = base + np.log10((m.ends + 0.5) / m.base_room)
             count = np.bincount(rows, minlength=texts.rows)
@@ -243,24 +413,28 @@ def _known_part(shared):
     return run
 
 
-def _rare_words(shared):
-    """Of each row: its words that are not in the broadcast table, each once with its count."""
+def _rare_steps(shared):
+    """Of each row: its steps from or to words that are not listed, each once with its count."""
     def run(batches):
         m: ClassModel = shared.value
         for part, texts in text_slices(batches):
-            words, endings, rows = _tokens(texts)
-            rare = np.flatnonzero(_find(m.listed, words) < 0)
-            order = rare[np.lexsort((words[rare], rows[rare]))]
-            word, row = words[order], rows[order]
-            first = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (row[1:] != row[:-1])]) if len(word) else order
-            take = pa.array(row[first])
+            tokens = _tokens(texts)
+            sides, row, is_open = _open_steps(m, tokens, texts.rows)
+            sides, row, times = _distinct_steps(tokens, [s[is_open] for s in sides], row[is_open])
+            take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").take(take), part.column("text_hash").take(take), pa.array(word[first]),
-                 pa.array(endings[order][first].astype(np.int32)), pa.array(np.diff(np.r_[first, len(word)]))],
-                names=["doc_id", "text_hash", "word", "ending", "times"])
+                [part.column("doc_id").take(take), part.column("text_hash").take(take), *_side_columns(tokens, sides),
+                 pa.array(times)], names=["doc_id", "text_hash", "a_word", "a_class", "b_word", "b_class", "times"])
     return run
 
 
+def _step_table(spark: SparkSession, model: ClassModel) -> DataFrame:
+    """log10 P(class | previous class) and the room of the class, a row for each pair of classes."""
+    return spark.createDataFrame(
+        [(a, b, float(model.steps[a, b]), float(model.room[b])) for a in range(STEPS) for b in range(STEPS)],
+        "from_class int, to_class int, step double, room double")
+
+
 def _log_share(n: Column, room: Column) -> Column:
     return F.log10((F.coalesce(n, F.lit(0)) + 0.5) / room)
 
@@ -268,19 +442,23 @@ def _log_share(n: Column, room: Column) -> Column:
 def score_texts(docs: DataFrame, model: ClassModel, vocabulary: DataFrame, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """One row per text: doc_id, n_tokens, n_known, train_tokens, base_score (unigrams) and score (the class model)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 1 / LISTED_SHARE words
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(model)  # at most 1 / LISTED_SHARE words
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                        F.col(text_col).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
     parts = arrow_map(rows, _known_part(shared), f"doc_id {kind}, text_hash long, n_tokens long, n_listed long, "
                                                  "n_rare long, base_part double, score_part double")
-    rare = arrow_map(rows, _rare_words(shared), f"doc_id {kind}, text_hash long, word long, ending int, times long")
-    counted = rare.join(vocabulary.select("word", "n"), "word", "left")
-    room = F.element_at(F.array(*[F.lit(float(x)) for x in model.ending_room()]), F.col("ending") + 1)
-    sums = counted.groupBy("doc_id", "text_hash").agg(
-        F.sum("times").alias("all_rare"), F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("seen"),
-        F.sum(F.col("times") * _log_share(F.col("n"), F.lit(model.base_room))).alias("base_rare"),
-        F.sum(F.col("times") * _log_share(F.col("n"), room)).alias("score_rare"))
+    rare = arrow_map(rows, _rare_steps(shared), f"doc_id {kind}, text_hash long, {_SIDES}")
+    steps = _with_classes(rare, vocabulary).join(
+        F.broadcast(_step_table(spark, model)),  # STEPS * STEPS rows
+        (F.col("a_class") == F.col("from_class")) & (F.col("b_class") == F.col("to_class")))
+    is_rare, times = F.col("b_word").isNotNull(), F.col("times")
+    sums = steps.groupBy("doc_id", "text_hash").agg(
+        F.sum(F.when(is_rare, times).otherwise(0)).alias("all_rare"),
+        F.sum(F.when(is_rare & F.col("n").isNotNull(), times).otherwise(0)).alias("seen"),
+        F.sum(F.when(is_rare, times * _log_share(F.col("n"), F.lit(model.base_room))).otherwise(0.0)).alias("base_rare"),
+        F.sum(times * (F.col("step") + F.when(is_rare, _log_share(F.col("n"), F.col("room"))).otherwise(0.0))).alias("score_rare"))
     sums = sums.withColumnsRenamed({"doc_id": "of_id", "text_hash": "of_hash"})
     joined = parts.join(sums, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_hash")), "left")
     # rows with the same id and text were summed together

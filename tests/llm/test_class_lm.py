@@ -4,9 +4,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from martforge.llm import class_lm as C
+from martforge.llm.text import text_array
 
 from .conftest import rows_of, sample_rows
 
@@ -53,20 +55,132 @@ def test_class_model_learns_word_order(spark):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held) + 0.25 * sum(r["n_tokens"] for r in held)
 
 
+def number_of(word):
+    """The hash of one word, and its ending's number."""
+    found = C._tokens(text_array(pa.array([word])))
+    return int(found.words[0]), int(found.endings(np.arange(1))[0])
+
+
 def test_model_is_a_probability(docs):
     """Transitions sum to 1, and so do the emissions of a class over its words and unseen words."""
     model, vocabulary = C.train(docs)
     assert np.allclose((10 ** model.steps).sum(axis=1), 1)
     total = np.zeros(C.CLASSES + 1)
-    own = dict(zip(model.words.keys.tolist(), model.words.symbols.tolist()))
     for r in vocabulary.collect():
-        symbol = own.get(r["word"], C.FIRST_ENDING + r["ending"])
-        total[model.classes[symbol]] += (r["n"] + 0.5) / model.room[model.classes[symbol]]
-    for ending in range(C.FIRST_ENDING, C.END):  # one unseen word for each ending
-        total[model.classes[ending]] += 0.5 / model.room[model.classes[ending]]
+        total[r["class"]] += (r["n"] + 0.5) / model.room[r["class"]]
+    for of_ending in model.ending_classes:  # one unseen word for each ending
+        total[of_ending] += 0.5 / model.room[of_ending]
     assert np.allclose(total[:C.CLASSES][model.room[:C.CLASSES] > 0], 1)
 
 
+@pytest.mark.parametrize("symbols, listed", [(50, 2.0 ** -9), (2048, 2.0)])
+def test_score_is_that_of_the_classes_by_hand(docs, monkeypatch, symbols, listed):
+    """Every word of the training texts has a class of its own choosing, and texts score by plain counts of these."""
+    monkeypatch.setattr(C, "LISTED_SHARE", listed)
+    rows = [(r[0], r[1]) for r in sample_rows()]
+    train = [t for i, t in rows if i is None or i % 3 != 1]
+    model, vocabulary = C.train(docs.filter("doc_id % 3 <> 1 or doc_id is null"), symbols=symbols)
+    count = collections.Counter(t for text in train for t in tokens(text) if t)
+    table = {r["word"]: (r["class"], r["n"]) for r in vocabulary.collect()}
+    numbers = {w: number_of(w) for w in {t for _, text in rows for t in tokens(text) if t}}
+    assert {numbers[w][0]: n for w, n in count.items()} == {w: n for w, (_, n) in table.items()}
+    assert len(table) > 100
+
+    def class_of(word):
+        if word is None:
+            return C.CLASSES
+        own, ending = numbers[word]
+        return table[own][0] if own in table else int(model.ending_classes[ending])
+
+    steps = np.zeros((C.CLASSES + 1, C.CLASSES + 1))
+    for text in train:
+        for a, b in zip([None] + tokens(text), tokens(text)):
+            steps[class_of(a), class_of(b)] += 1
+    arrivals = steps.sum(axis=0) + 0.5
+    chance = (steps + 4 * arrivals / arrivals.sum()) / (steps.sum(axis=1, keepdims=True) + 4)
+    room = np.zeros(C.CLASSES + 1)
+    for of, n in table.values():
+        room[of] += n + 0.5
+    for of in model.ending_classes:
+        room[of] += 0.5
+
+    def score(text):
+        out = 0.0
+        for a, b in zip([None] + tokens(text), tokens(text)):
+            out += math.log10(chance[class_of(a), class_of(b)])
+            if b is not None:
+                out += math.log10((count[b] + 0.5) / room[class_of(b)])
+        return out
+
+    scored = sorted(((r["doc_id"], round(r["score"], 6)) for r in C.score_texts(docs, model, vocabulary).collect()), key=repr)
+    expected = sorted(((i, score(t)) for i, t in rows), key=repr)
+    assert [i for i, _ in scored] == [i for i, _ in expected]
+    for (_, found), (_, by_hand) in zip(sorted(scored, key=lambda r: (repr(r[0]), r[1])), sorted(expected, key=lambda r: (repr(r[0]), r[1]))):
+        assert found == pytest.approx(by_hand, rel=1e-6, abs=1e-5)
+
+
+def plain_likelihood(steps):
+    """Of class steps, by the formula of mutual information: sum of N(a, b) log(N(a, b) / (N(a) N(b)))."""
+    return sum(steps[a, b] * math.log(steps[a, b] / (steps[a].sum() * steps[:, b].sum()))
+               for a in range(len(steps)) for b in range(len(steps)) if steps[a, b])
+
+
+def test_exchange_never_loses_likelihood(spark):
+    rng = random.Random(3)
+    of_kind = [[i for i in range(1500) if i % 7 == k] for k in range(7)]  # each kind follows the one before it
+    pairs = [(rng.choice(of_kind[k]), rng.choice(of_kind[(k + 1) % 7]), rng.randrange(1, 9)) for k in range(7) for _ in range(6000)]
+    pairs += [(C.END, i, 3) for i in of_kind[0]] + [(i, C.END, 3) for i in of_kind[6]]
+    bigrams = spark.createDataFrame(pairs, "a int, b int, n long").groupBy("a", "b").agg({"n": "sum"}).withColumnRenamed(
+        "sum(n)", "n").cache()
+    found = []
+    for rounds in (0, 1, 2, 4):
+        classes, steps = C.exchange(bigrams, rounds)
+        counted = np.zeros_like(steps)
+        for a, b, n in pairs:
+            counted[classes[a], classes[b]] += n
+        assert np.array_equal(counted, steps)
+        assert C._likelihood(steps) == pytest.approx(plain_likelihood(steps))
+        found.append(plain_likelihood(steps))
+    assert found == sorted(found) and found[-1] > found[0]
+
+
+def test_words_beyond_the_symbols_take_the_best_class(docs):
+    """The class of each is that of the highest gain, recounted token by token."""
+    rows = docs.select("text")
+    texts = [r["text"] for r in rows.collect()]
+    count = collections.Counter(t for text in texts for t in tokens(text) if t)
+    first = sorted(((number_of(w)[0], n) for w, n in count.items()), key=lambda x: (-x[1], x[0]))[:50]
+    order = np.argsort([w for w, _ in first])
+    known = C.Words(np.array([w for w, _ in first])[order], order)
+    rng = np.random.default_rng(2)
+    classes = rng.integers(0, C.CLASSES, C.N_SYMBOLS)
+    classes[C.END] = C.CLASSES
+    steps = rng.integers(0, 30, (C.CLASSES + 1, C.CLASSES + 1)).astype(float)
+    symbol = {w: i for i, (w, _) in enumerate(first)}
+
+    def class_of(word):
+        if word is None:
+            return C.CLASSES
+        own, ending = number_of(word)
+        return classes[symbol.get(own, C.FIRST_ENDING + ending)]
+
+    total = steps.sum(axis=0)
+    chance = (steps + (total + 0.5) / (total.sum() + 0.5 * len(total))) / (steps.sum(axis=1, keepdims=True) + 1)
+    gain = collections.defaultdict(lambda: np.zeros(C.CLASSES))
+    kinds = {w: class_of(w) for w in [*count, None]}
+    for text in texts:
+        own = [None] + tokens(text)
+        for before, word, after in zip(own, own[1:], own[2:]):
+            gain[word] += np.array([math.log(chance[kinds[before], c]) + math.log(chance[c, kinds[after]]) - math.log(total[c] + 1)
+                                    for c in range(C.CLASSES)])
+    found = {r["word"]: (r["class"], r["n"]) for r in C._assigned(rows, known, classes, steps).collect()}
+    rest = [w for w in count if number_of(w)[0] not in symbol]
+    assert len(found) == len(rest) > 100
+    for w in rest:
+        own, n = found[number_of(w)[0]]
+        assert n == count[w] and gain[w][own] == pytest.approx(gain[w].max())
+
+
 def test_words_outside_the_broadcast_table_are_joined(docs, monkeypatch):
     monkeypatch.setattr(C, "LISTED_SHARE", 2.0 ** -12)
     rows = [(r[0], r[1]) for r in sample_rows()]

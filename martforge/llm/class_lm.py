@@ -16,10 +16,12 @@ with the classes of all words. Endings give a class to words that the training
 texts do not have.
 
 The driver holds tables of symbols by classes and of classes by classes, whose
-size does not depend on the corpus, and the listed words: those that are at
-least ``LISTED_SHARE`` of all tokens, so at most 1 / share of them. Tasks look
-listed words up in a broadcast table; the others are joined with the table of
-all words and their classes.
+size does not depend on the corpus, and the listed words: the most frequent
+ones, at most ``LISTED_WORDS`` (words of nearly equal counts are listed all or
+none). Tasks look listed words up in a broadcast table of at most 18 bytes a
+word; the others, of which none is more than about 1 / ``LISTED_WORDS`` of the
+training tokens, are joined with the table of all words and their classes. The
+scores do not depend on which words are listed.
 
 Smoothing: transitions are interpolated with the class frequencies, emissions
 add half a count to each word of the class and to one unseen word for each
@@ -47,7 +49,8 @@ ENDINGS = 256
 ENDING_BYTES = 3
 CLASSES = 64
 ROUNDS = 6
-LISTED_SHARE = 2.0 ** -20
+LISTED_WORDS = 1 << 20
+PER_OCTAVE = 8  # counts are told apart by so many steps for each doubling, where the list is cut
 BACKOFF = 4.0  # weight, in tokens, of the class frequencies in a transition
 
 FIRST_ENDING = SYMBOLS  # symbols from here on are word endings
@@ -273,52 +276,50 @@ class ClassModel:
     def classed(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
         """The place of each word in the list, or -1, and its class: that of its ending if it is not listed."""
         at = _find(self.listed, tokens.words)
-        out = self.listed_classes[at] if len(self.listed) else np.zeros(len(at), np.int64)
+        out = self.listed_classes[at] if len(self.listed) else np.zeros(len(at), np.int16)
         rest = np.flatnonzero(at < 0)
         out[rest] = self.ending_classes[tokens.endings(rest)]
         return at, out
 
 
 _SIDES = "a_word long, a_class int, b_word long, b_class int, times long"
+_SIDE_NAMES = ["a_word", "a_class", "b_word", "b_class", "times"]
 
 
-def _open_steps(model: ClassModel, tokens: Tokens, rows: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Every step as the class and the word on either side, its row, and whether it has a word that is not listed.
-
-    A word is given by its token's number where it is not listed; else -1 stands for it.
-    """
-    at, classes = model.classed(tokens)
+def _steps(model: ClassModel, tokens: Tokens, at: np.ndarray, classes: np.ndarray, rows: int):
+    """Every step's classes, its row, and the number of the unlisted token (else -1) on either side."""
     before, after, row = _chains(classes, tokens.rows, rows, END_CLASS)
     a, b, _ = _chains(np.where(at < 0, np.arange(len(at)), -1), tokens.rows, rows, -1)
-    return [a, before, b, after], row, (a >= 0) | (b >= 0)
-
+    return before, after, row, a, b
 
-def _side_columns(tokens: Tokens, sides: list[np.ndarray]) -> list[pa.Array]:
-    """The columns a_word (null for listed words and ends), a_class, b_word, b_class of some steps."""
-    out = []
-    for number, kind in (sides[:2], sides[2:]):
-        word = tokens.words[np.maximum(number, 0)] if len(tokens.words) else np.zeros(len(number), np.int64)
-        out += [pa.array(word, mask=number < 0), pa.array(kind.astype(np.int32))]
-    return out
 
-
-def _distinct_steps(tokens: Tokens, sides: list[np.ndarray], row: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """The steps with one token's number for each word, once for each row, and how often each occurs."""
-    _, first, place = np.unique(tokens.words, return_index=True, return_inverse=True)
-    one = np.r_[first[place], -1].astype(np.int64)  # the last stands for -1
-    (row, *sides), times = _counted(row, *(one[s] if k % 2 == 0 else s for k, s in enumerate(sides)))
-    return sides, row, times
+def _open_columns(tokens: Tokens, row: np.ndarray, before, after, a, b) -> tuple[np.ndarray, list[pa.Array]]:
+    """The distinct steps of each row with their rows: a_word (null if listed), a_class, b_word, b_class, times."""
+    words = tokens.words if len(tokens.words) else np.zeros(1, np.int64)
+    kind = ((a < 0) * 2 + (b < 0)) * STEPS * STEPS + before * STEPS + after
+    (row, kind, a, b), times = _counted(row, kind, *(np.where(x < 0, 0, words[np.maximum(x, 0)]) for x in (a, b)))
+    listed, kind = np.divmod(kind, STEPS * STEPS)
+    return row, [pa.array(a, mask=listed >= 2), pa.array((kind // STEPS).astype(np.int32)),
+                 pa.array(b, mask=listed % 2 == 1), pa.array((kind % STEPS).astype(np.int32)), pa.array(times)]
 
 
 def _all_steps(shared):
     """The steps of all texts, counted."""
     def run(batches):
+        m: ClassModel = shared.value
         for _, texts in text_slices(batches):
             tokens = _tokens(texts)
-            sides, row, _ = _open_steps(shared.value, tokens, texts.rows)
-            sides, _, times = _distinct_steps(tokens, sides, np.zeros(len(row), np.int64))
-            yield pa.RecordBatch.from_arrays([*_side_columns(tokens, sides), pa.array(times)],
-                                             names=["a_word", "a_class", "b_word", "b_class", "times"])
+            before, after, _, a, b = _steps(m, tokens, *m.classed(tokens), texts.rows)
+            is_open = (a >= 0) | (b >= 0)
+            times = np.bincount(before[~is_open] * STEPS + after[~is_open], minlength=STEPS * STEPS)
+            pair = np.flatnonzero(times)
+            none = pa.nulls(len(pair), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [none, pa.array((pair // STEPS).astype(np.int32)), none, pa.array((pair % STEPS).astype(np.int32)),
+                 pa.array(times[pair])], names=_SIDE_NAMES)
+            sides = [x[is_open] for x in (before, after, a, b)]
+            _, columns = _open_columns(tokens, np.zeros(len(sides[0]), np.int64), *sides)
+            yield pa.RecordBatch.from_arrays(columns, names=_SIDE_NAMES)
     return run
 
 
@@ -379,10 +380,17 @@ def train(texts: DataFrame, text_col: str = "text", symbols: int = SYMBOLS) -> t
     np.add.at(room, ending_classes, 0.5)  # an unseen word for each ending
     total, distinct = sum(r["n"] for r in of_class), sum(r["words"] for r in of_class) + (ends > 0)
 
-    top = vocabulary.filter(F.col("n") >= LISTED_SHARE * total).toArrow()  # at most 1 / LISTED_SHARE rows
+    size = F.floor(F.log2("n") * PER_OCTAVE)
+    least, room_left = None, LISTED_WORDS
+    for r in sorted(vocabulary.groupBy(size.alias("size")).count().collect(), reverse=True):  # PER_OCTAVE rows a doubling
+        room_left -= r["count"]
+        if room_left < 0:
+            break
+        least = r["size"]
+    top = vocabulary.filter(F.lit(False) if least is None else size >= least).toArrow()  # at most LISTED_WORDS rows
     order = np.argsort(top.column("word").to_numpy())
     listed, of, count = (top.column(x).to_numpy()[order] for x in ("word", "class", "n"))
-    model = ClassModel(listed, count, of.astype(np.int64), ending_classes, transitions(steps), room, int(total + ends),
+    model = ClassModel(listed, count, of.astype(np.int16), ending_classes.astype(np.int16), transitions(steps), room, int(total + ends),
                        int(distinct), int(ends))
     model.steps = transitions(_counted_steps(rows, model, vocabulary))
     return model, vocabulary
@@ -396,8 +404,8 @@ def _known_part(shared):
             tokens = _tokens(texts)
             rows = tokens.rows
             at, classes = m.classed(tokens)
-            (_, before, _, after), of_step, is_open = _open_steps(m, tokens, texts.rows)
-            weights = np.where(is_open, 0.0, m.steps[before, after])
+            before, after, of_step, a, b = _steps(m, tokens, at, classes, texts.rows)
+            weights = np.where((a < 0) & (b < 0), m.steps[before, after], 0.0)
             score = np.bincount(of_step, weights=weights, minlength=texts.rows)
             known = at >= 0
             n, mine = m.listed_counts[at[known]] + 0.5, rows[known]
@@ -419,12 +427,12 @@ def _rare_steps(shared):
         m: ClassModel = shared.value
         for part, texts in text_slices(batches):
             tokens = _tokens(texts)
-            sides, row, is_open = _open_steps(m, tokens, texts.rows)
-            sides, row, times = _distinct_steps(tokens, [s[is_open] for s in sides], row[is_open])
+            before, after, row, a, b = _steps(m, tokens, *m.classed(tokens), texts.rows)
+            is_open = (a >= 0) | (b >= 0)
+            row, columns = _open_columns(tokens, row[is_open], *(x[is_open] for x in (before, after, a, b)))
             take = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").take(take), part.column("text_hash").take(take), *_side_columns(tokens, sides),
-                 pa.array(times)], names=["doc_id", "text_hash", "a_word", "a_class", "b_word", "b_class", "times"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(take), part.column("text_hash").take(take), *columns],
+                                             names=["doc_id", "text_hash", *_SIDE_NAMES])
     return run
 
 
@@ -443,7 +451,7 @@ def score_texts(docs: DataFrame, model: ClassModel, vocabulary: DataFrame, id_co
                 text_col: str = "text") -> DataFrame:
     """One row per text: doc_id, n_tokens, n_known, train_tokens, base_score (unigrams) and score (the class model)."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # at most 1 / LISTED_SHARE words
+    shared = spark.sparkContext.broadcast(model)  # at most LISTED_WORDS words
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                        F.col(text_col).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]

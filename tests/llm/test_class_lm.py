@@ -73,10 +73,10 @@ def test_model_is_a_probability(docs):
     assert np.allclose(total[:C.CLASSES][model.room[:C.CLASSES] > 0], 1)
 
 
-@pytest.mark.parametrize("symbols, listed", [(50, 2.0 ** -9), (2048, 2.0)])
+@pytest.mark.parametrize("symbols, listed", [(50, 60), (2048, 0)])
 def test_score_is_that_of_the_classes_by_hand(docs, monkeypatch, symbols, listed):
     """Every word of the training texts has a class of its own choosing, and texts score by plain counts of these."""
-    monkeypatch.setattr(C, "LISTED_SHARE", listed)
+    monkeypatch.setattr(C, "LISTED_WORDS", listed)
     rows = [(r[0], r[1]) for r in sample_rows()]
     train = [t for i, t in rows if i is None or i % 3 != 1]
     model, vocabulary = C.train(docs.filter("doc_id % 3 <> 1 or doc_id is null"), symbols=symbols)
@@ -182,7 +182,7 @@ def test_words_beyond_the_symbols_take_the_best_class(docs):
 
 
 def test_words_outside_the_broadcast_table_are_joined(docs, monkeypatch):
-    monkeypatch.setattr(C, "LISTED_SHARE", 2.0 ** -12)
+    monkeypatch.setattr(C, "LISTED_WORDS", 500)
     rows = [(r[0], r[1]) for r in sample_rows()]
     model, vocabulary = C.train(docs)
     assert 0 < len(model.listed) < vocabulary.count()

@@ -33,6 +33,7 @@ from ..operators.audit import ERROR, OK, SKIPPED, AuditRecord, append_audit
 from ..operators.changes import SAME, change_rows
 from ..operators.dedup import assert_unique_keys, changed_since, latest_per_key
 from ..operators.merge import apply_merge, change_counts, merge_in_place
+from ..session import in_bounded_tasks, shuffle_partitions_for
 from ..sources import layers as L
 from ..sources.files import archive_by_date
 from ..sources.flatfile import FAIL, KEEP, MALFORMED, read_flat_file
@@ -106,6 +107,7 @@ def _merge_in_buckets(spark, batch: DataFrame, layout: L.LakeLayout, spec: Table
     return batch, keyed.union(unkeyed)
 
 
+@in_bounded_tasks
 def load_batch(
     spark: SparkSession,
     spec: TableSpec,
@@ -141,6 +143,7 @@ def load_batch(
         land = L.stamp_land(text, batch_time or head.batch_stamp, with_files=True)
         mark = L.append_raw(land, layout, spec, batch_id)
         stamp, rows_in = mark["partition_time"], int(mark["rows_in"])
+        shuffle_partitions_for(spark, L.folder_bytes(spark, L.batch_folder(layout.raw(spec), batch_id)))
         audits.append(AuditRecord(table, batch_id, "INSERT RAW", OK, stamp, rows_in=rows_in))
         skip = None
         if rows_in == 0:

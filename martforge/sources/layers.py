@@ -288,6 +288,14 @@ def _hadoop(spark: SparkSession, path: str):
     return hpath, hpath.getFileSystem(jsc.hadoopConfiguration())
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """The size of all files below ``path``; 0 where it does not exist or the JVM is not reachable."""
+    at = _hadoop(spark, path)
+    if at is None or not at[1].exists(at[0]):
+        return 0
+    return int(at[1].getContentSummary(at[0]).getLength())
+
+
 def _taken_numbers(spark: SparkSession, root: str) -> list[int]:
     at = _hadoop(spark, f"{root}/_numbers")
     if at is None or not at[1].exists(at[0]):
@@ -384,6 +392,11 @@ def trusted_schema(spec: TableSpec) -> T.StructType:
     return T.StructType(spec.typed_schema.fields + [T.StructField("partition_time", T.TimestampNTZType(), True)])
 
 
+def version_bytes(spark: SparkSession, layout: LakeLayout, spec: TableSpec, version: str) -> int:
+    """About the size of a trusted snapshot's files; key buckets of all versions are counted, as they are shared."""
+    return folder_bytes(spark, layout.trusted(spec) if spec.buckets else f"{layout.trusted(spec)}/v={version}")
+
+
 def read_trusted_version(spark: SparkSession, layout: LakeLayout, spec: TableSpec, version: str | None) -> DataFrame:
     """A trusted snapshot; an empty typed frame for None (before the first load)."""
     if version is None:
@@ -405,10 +418,10 @@ def cluster_by_range(df: DataFrame, keys) -> DataFrame:
     """Rows dealt out in ranges of the keys: a key is in one file, unless it alone fills several (S9).
 
     A hash of the whole row parts the rows of one key, so that a hot key does
-    not end in one task; it is the same however often a task is run.
+    not end in one task; it is the same however often a task is run. It orders
+    the rows but is no column of theirs, so it is not shuffled.
     """
-    salted = df.withColumn("__salt", F.xxhash64(*df.columns))
-    return salted.repartitionByRange(*keys, "__salt").drop("__salt")
+    return df.repartitionByRange(*keys, F.xxhash64(*df.columns))
 
 
 def write_snapshot(df: DataFrame, layout: LakeLayout, spec: TableSpec, version: str, seen: Observation | None = None,

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import TableSpec
 from ..operators import marts
 from ..operators.marts import StarSpec
+from ..session import in_bounded_tasks, shuffle_partitions_for
 from ..sources import layers as L
 
 ROLES = ("detail", "header", "customer", "product", "person")
@@ -37,6 +38,7 @@ def build_marts(sources: dict[str, DataFrame], star: StarSpec) -> dict[str, Data
     }
 
 
+@in_bounded_tasks
 def refresh_marts(
     spark: SparkSession,
     layout: L.LakeLayout,
@@ -54,11 +56,15 @@ def refresh_marts(
     """
     prepare = prepare or {}
     after = L.commit_number(spark, layout.refined_root)
-    sources = {}
+    sources, size = {}, 0
     for role in ROLES:
+        version = L.current_version(spark, layout, specs[role])
+        if version is not None:
+            size += L.version_bytes(spark, layout, specs[role], version)
         # the modification date is the load's, not the marts'
-        df = L.read_trusted(spark, layout, specs[role]).drop("partition_time", *filter(None, [specs[role].modified]))
+        df = L.read_trusted_version(spark, layout, specs[role], version).drop("partition_time", *filter(None, [specs[role].modified]))
         sources[role] = prepare[role](df) if role in prepare else df
+    shuffle_partitions_for(spark, size)
     run = run_id or uuid.uuid4().hex[:12]
     # the five writes are independent jobs: submit them together so small
     # marts run beside the fact instead of after it (the scheduler shares the

@@ -91,3 +91,32 @@ def test_large_buckets_are_searched_in_full(spark, monkeypatch):
     expect = sorted(plain(sorted(linked)), key=repr)
     assert rows_of(bucket_components(shared_buckets(members), verify)) == expect
     assert rows_of(bucket_components(shared_buckets(members), verify, values=values, prepare=prepare)) == expect
+
+
+def test_members_of_a_bucket_are_copied_to_few_units(spark):
+    """Each copy of a member carries its text through a shuffle: 1,000 members outside the largest component need a unit or two."""
+    from martforge.llm.components import _tile_units
+
+    rows = [(1, i, max(i, 100)) for i in range(1000)]  # the members 0 to 100 are one component
+    units = _tile_units(spark.createDataFrame(rows, "bucket long, node long, component long"))
+    assert units.select("node").distinct().count() == 1000
+    assert units.count() <= 2 * len(rows)
+
+
+def test_a_unit_finds_links_beyond_its_first_chunks(spark):
+    import pyarrow as pa
+
+    from martforge.llm.components import _unit_edges
+
+    rng, n = random.Random(9), 400
+    linked = {tuple(sorted(rng.sample(range(n), 2))) for _ in range(250)}
+
+    def prepare(column):
+        return lambda i, others: np.array([tuple(sorted((i, j))) in linked for j in others.tolist()], bool)
+
+    tiles = pa.array([0] * n, pa.int32())
+    group = pa.table({"bucket": pa.array([1] * n), "node": pa.array(range(n)), "component": pa.array(range(n)),
+                      "tile": tiles, "low": tiles, "high": tiles, "value": pa.array(range(n))})
+    edges = _unit_edges(group, prepare)
+    assert set(edges) <= linked and len(edges) < n
+    assert plain(edges) == plain(sorted(linked))

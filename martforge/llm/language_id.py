@@ -43,6 +43,7 @@ UNKNOWN = "und"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _PIECE = 1 << 20  # characters at a time
 BATCH = 128  # texts in a batch
+_COLUMNS = 1 << 13  # bins multiplied at a time
 
 
 def present_bins(text: str, seen: np.ndarray) -> np.ndarray:
@@ -114,7 +115,8 @@ def fit(bins: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS, r
     left = kernel.T @ (kernel * weight) + ridge * len(bins) * (of_marks + 1e-8 * np.eye(len(chosen)))
     dual = np.linalg.solve(left, kernel.T @ (targets * weight))
     weights = np.zeros((1 << BITS, len(languages)), np.float32)
-    weights[columns] = marks.T @ dual
+    for first in range(0, len(columns), _COLUMNS):  # the product takes its factors as doubles
+        weights[columns[first: first + _COLUMNS]] = marks[:, first: first + _COLUMNS].T @ dual
     return LanguageModel(languages, weights)
 
 
@@ -142,9 +144,21 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     chance = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, each / n))])
     sample = rows.withColumn("draw", draw).filter(F.col("draw") < F.element_at(chance, F.col("lang")))
     drawn = arrow_map(sample, _bins_of_rows, f"id {dict(rows.dtypes)['id']}, lang string, draw double, bins array<int>")
-    found = drawn.select("lang", "draw", "bins").collect()  # about ``max_train`` rows of at most 2 ** BITS bins
-    found.sort(key=lambda r: (r["draw"], r["lang"], r["bins"]))
-    return fit([np.array(r["bins"], np.int64) for r in found], [r["lang"] for r in found], landmarks)
+    model = fit(*_in_order(drawn.select("lang", "draw", "bins").toArrow()), landmarks)
+    release()
+    return model
+
+
+def _in_order(drawn: pa.Table) -> tuple[list[np.ndarray], list[str]]:
+    """Bins and labels of the sample, by draw, label and bins: about ``max_train`` rows of at most 2 ** BITS bins.
+
+    They stay arrays: as Python numbers the driver would hold nine times as much.
+    """
+    bins = [x.values.to_numpy().astype(np.int32, copy=False) for x in drawn.column("bins")]
+    labels, draws = drawn.column("lang").to_pylist(), drawn.column("draw").to_pylist()
+    # of numbers above zero the order of the lists is that of their bytes, highest first
+    order = sorted(range(len(bins)), key=lambda i: (draws[i], labels[i], bins[i].astype(">i4").tobytes()))
+    return [bins[i] for i in order], [labels[i] for i in order]
 
 
 def language_of(spark: SparkSession, model: LanguageModel, text: Column) -> Column:

@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from martforge.llm import language_id as L
@@ -92,3 +94,28 @@ def test_sample_is_bounded_and_even(spark, seed):
     finally:
         L.fit = kept
     assert 60 < counts["en"] < 140 and 60 < counts["fr"] < 140
+
+
+def test_the_driver_holds_the_sample_as_arrays(spark):
+    """At most a few bytes for each bin of the sample: Python numbers take 36."""
+    rng = random.Random(6)
+    texts = ["".join(chr(rng.randrange(0x3400, 0x4DB0)) for _ in range(12_000)) for _ in range(30)]
+    table = spark.createDataFrame([(i, t, ("en", "de")[i % 2]) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    seen = np.zeros(1 << L.BITS, bool)
+    held = sum(len(L.present_bins(t, seen)) for t in texts)
+    tracemalloc.start()
+    try:
+        model = L.train(table, landmarks=4)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert model.languages == ["de", "en"] and held > 1_000_000
+    assert most < 24 * held
+
+
+def test_the_sample_is_ordered_by_draw_label_and_bins():
+    rows = [(0.5, "en", [1, 300]), (0.5, "en", [1]), (0.5, "de", [9]), (0.1, "en", [70_000, 3]), (0.5, "en", [1, 2, 5])]
+    drawn = pa.table({"draw": [r[0] for r in rows], "lang": [r[1] for r in rows],
+                      "bins": pa.array([r[2] for r in rows], pa.list_(pa.int32()))})
+    bins, labels = L._in_order(drawn)
+    assert list(zip(labels, map(np.ndarray.tolist, bins))) == [(r[1], r[2]) for r in sorted(rows)]

@@ -35,13 +35,16 @@ with a null id trains the model.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .shared import arrow_map, written
+from ..session import work_dir
+from .shared import arrow_map, settings, written
 from .text import Texts, signed, span_hashes, text_slices
 
 SYMBOLS = 2048
@@ -51,6 +54,7 @@ CLASSES = 64
 ROUNDS = 6
 LISTED_WORDS = 1 << 20
 PER_OCTAVE = 8  # counts are told apart by so many steps for each doubling, where the list is cut
+HELD_ROWS = 1 << 20  # counts that a task sums before it passes them on
 BACKOFF = 4.0  # weight, in tokens, of the class frequencies in a transition
 
 FIRST_ENDING = SYMBOLS  # symbols from here on are word endings
@@ -79,33 +83,94 @@ class Tokens:
 
 def _tokens(texts: Texts) -> Tokens:
     starts, ends = texts.word_spans()
-    return Tokens(texts, starts, ends, signed(span_hashes(texts.data, starts, ends, lower=True)), texts.row_of(starts))
+    rows = np.repeat(np.arange(texts.rows), np.diff(np.searchsorted(starts, texts.offsets)))  # starts are in order
+    return Tokens(texts, starts, ends, signed(span_hashes(texts.data, starts, ends, lower=True)), rows)
+
+
+class Places:
+    """Where hashes stand in a sorted list of distinct ones: their leading bits tell the few places to look at."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.shift = keys, np.uint64(64 - max(1, len(keys).bit_length()))
+        part = self._part(keys)
+        self.first = np.searchsorted(part, np.arange((1 << (64 - int(self.shift))) + 1))
+
+    def _part(self, keys: np.ndarray) -> np.ndarray:
+        # with the sign bit turned, hashes stand in the order of their bits
+        return ((keys.view(np.uint64) ^ np.uint64(1 << 63)) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, or -1."""
+        out, part = np.full(len(keys), -1, np.int64), self._part(keys)
+        at, end, left = self.first[part], self.first[part + 1], np.arange(len(keys))
+        while len(left):
+            open_ = at < end
+            left, at, end = left[open_], at[open_], end[open_]
+            here = self.keys[at]
+            same = here == keys[left]
+            out[left[same]] = at[same]
+            more = here < keys[left]
+            left, at, end = left[more], at[more] + 1, end[more]
+        return out
+
 
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
-def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """The place of each key, or -1."""
-    if not len(sorted_keys):
-        return np.full(len(keys), -1, np.int64)
-    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-    return np.where(sorted_keys[at] == keys, at, -1)
 
+def _summed(columns: list[np.ndarray], n: np.ndarray | None = None, lead: int = 0) -> tuple[list[np.ndarray], np.ndarray]:
+    """The rows of some columns, each once, and the sums of ``n`` (by default, how often each occurs).
 
-def _counted(*columns: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """The distinct rows of some columns, and how often each occurs."""
-    order = np.lexsort(columns[::-1])
+    With ``lead`` they come in the order of the first column, a number of so many bits.
+
+    Equal rows are found by a hash. Rows of one hash that differ may stand in
+    turns, so that a row comes several times, its count parted: sums stay right.
+    """
+    key = columns[0] if len(columns) == 1 else columns[0].astype(np.int64).view(np.uint64)
+    for c in columns[1:]:
+        key = (key ^ (key >> np.uint64(29))) * _ODD + c.astype(np.int64).view(np.uint64)
+    if len(columns) > 1:
+        key = (key ^ (key >> np.uint64(32))) * _ODD
+    if lead:
+        key = columns[0].astype(np.uint64) << np.uint64(64 - lead) | key >> np.uint64(lead)
+    order = np.argsort(key)
     ordered = [c[order] for c in columns]
     new = np.zeros(len(order), bool)
     new[:1] = True
     for c in ordered:
         new[1:] |= c[1:] != c[:-1]
     first = np.flatnonzero(new)
-    return [c[first] for c in ordered], np.diff(np.r_[first, len(order)])
+    if n is None:
+        return [c[first] for c in ordered], np.diff(np.r_[first, len(order)])
+    return [c[first] for c in ordered], np.add.reduceat(n[order], first) if len(first) else n
+
+
+def _task_sums(slices, names: list[str], types: list[pa.DataType]):
+    """Batches of the summed rows (columns, n) of a task's slices, of up to ``HELD_ROWS`` rows at a time."""
+    held, rows = [], 0
+
+    def together():
+        columns = [np.concatenate([x[0][i] for x in held]) for i in range(len(names) - 1)]
+        return _summed(columns, np.concatenate([x[1] for x in held]))
+
+    def batch(columns, n):
+        return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(columns, types)), pa.array(n, types[-1])], names=names)
+
+    for columns, n in slices:
+        held.append((columns, n))
+        rows += len(n)
+        if rows > HELD_ROWS:
+            held = [together()]
+            rows = len(held[0][1])
+            if rows > HELD_ROWS // 2:
+                yield batch(*held[0])
+                held, rows = [], 0
+    if held:
+        yield batch(*together())
 
 
 def _word_counts(batches):
-    for _, texts in text_slices(batches):
-        words, n = np.unique(_tokens(texts).words, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(n)], names=["word", "n"])
+    found = (_summed([_tokens(texts).words]) for _, texts in text_slices(batches))
+    yield from _task_sums(found, ["word", "n"], [pa.int64(), pa.int64()])
 
 
 def _chains(symbols: np.ndarray, rows: np.ndarray, n: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -128,8 +193,12 @@ class Words:
     keys: np.ndarray
     symbols: np.ndarray
 
+    @cached_property
+    def places(self) -> Places:
+        return Places(self.keys)
+
     def symbols_of(self, tokens: Tokens) -> np.ndarray:
-        at = _find(self.keys, tokens.words)
+        at = self.places.find(tokens.words)
         out = self.symbols[at] if len(self.symbols) else np.zeros(len(at), np.int64)
         other = np.flatnonzero(at < 0)
         out[other] = FIRST_ENDING + tokens.endings(other)
@@ -137,14 +206,15 @@ class Words:
 
 
 def _bigram_counts(known: Words):
-    def run(batches):
+    def found(batches):
         for _, texts in text_slices(batches):
             tokens = _tokens(texts)
             before, after, _ = _chains(known.symbols_of(tokens), tokens.rows, texts.rows, END)
-            pairs, n = np.unique(before * N_SYMBOLS + after, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((pairs // N_SYMBOLS).astype(np.int32)), pa.array((pairs % N_SYMBOLS).astype(np.int32)),
-                 pa.array(n)], names=["a", "b", "n"])
+            (pairs,), n = _summed([before * N_SYMBOLS + after])
+            yield [pairs // N_SYMBOLS, pairs % N_SYMBOLS], n
+
+    def run(batches):
+        yield from _task_sums(found(batches), ["a", "b", "n"], [pa.int32(), pa.int32(), pa.int64()])
     return run
 
 
@@ -216,16 +286,17 @@ def exchange(bigrams: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.n
 
 def _contexts(known: Words, classes: np.ndarray):
     """Of the words without a symbol: the classes before and after them, as one number, with counts."""
-    def run(batches):
+    def found(batches):
         for _, texts in text_slices(batches):
             tokens = _tokens(texts)
             symbols = known.symbols_of(tokens)
             before, after, _ = _chains(classes[symbols], tokens.rows, texts.rows, END_CLASS)
             rest = np.flatnonzero(symbols >= FIRST_ENDING)
             step = rest + tokens.rows[rest]
-            (word, context), n = _counted(tokens.words[rest], before[step] * STEPS + after[step + 1])
-            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(context.astype(np.int32)), pa.array(n)],
-                                             names=["word", "context", "n"])
+            yield _summed([tokens.words[rest], before[step] * STEPS + after[step + 1]])
+
+    def run(batches):
+        yield from _task_sums(found(batches), ["word", "context", "n"], [pa.int64(), pa.int32(), pa.int64()])
     return run
 
 
@@ -269,13 +340,17 @@ class ClassModel:
     distinct: int
     ends: int
 
+    @cached_property
+    def places(self) -> Places:
+        return Places(self.listed)
+
     @property
     def base_room(self) -> float:
         return self.tokens + 0.5 * (self.distinct + 1)
 
     def classed(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
         """The place of each word in the list, or -1, and its class: that of its ending if it is not listed."""
-        at = _find(self.listed, tokens.words)
+        at = self.places.find(tokens.words)
         out = self.listed_classes[at] if len(self.listed) else np.zeros(len(at), np.int16)
         rest = np.flatnonzero(at < 0)
         out[rest] = self.ending_classes[tokens.endings(rest)]
@@ -297,7 +372,7 @@ def _open_columns(tokens: Tokens, row: np.ndarray, before, after, a, b) -> tuple
     """The distinct steps of each row with their rows: a_word (null if listed), a_class, b_word, b_class, times."""
     words = tokens.words if len(tokens.words) else np.zeros(1, np.int64)
     kind = ((a < 0) * 2 + (b < 0)) * STEPS * STEPS + before * STEPS + after
-    (row, kind, a, b), times = _counted(row, kind, *(np.where(x < 0, 0, words[np.maximum(x, 0)]) for x in (a, b)))
+    (row, kind, a, b), times = _summed([row, kind, *(np.where(x < 0, 0, words[np.maximum(x, 0)]) for x in (a, b))], lead=20)
     listed, kind = np.divmod(kind, STEPS * STEPS)
     return row, [pa.array(a, mask=listed >= 2), pa.array((kind // STEPS).astype(np.int32)),
                  pa.array(b, mask=listed % 2 == 1), pa.array((kind % STEPS).astype(np.int32)), pa.array(times)]
@@ -396,8 +471,15 @@ def train(texts: DataFrame, text_col: str = "text", symbols: int = SYMBOLS) -> t
     return model, vocabulary
 
 
-def _known_part(shared):
-    """Of each row: the steps between listed words and ends, and the listed words themselves."""
+_PART, _STEP = 0, 1  # a row for each text; a row for each of its steps from or to words that are not listed
+
+
+def _row_scores(schema: pa.Schema, shared):
+    """Of each row: the steps between listed words and ends, and the listed words themselves; then its other steps, with their counts."""
+    def rows_of(values: dict) -> pa.RecordBatch:
+        n = len(values["doc_id"])
+        return pa.RecordBatch.from_arrays([values[f.name] if f.name in values else pa.nulls(n, f.type) for f in schema], schema=schema)
+
     def run(batches):
         m: ClassModel = shared.value
         for part, texts in text_slices(batches):
@@ -414,28 +496,32 @@ def _known_part(shared):
             base = base + np.log10((m.ends + 0.5) / m.base_room)
             count = np.bincount(rows, minlength=texts.rows)
             found = np.bincount(mine, minlength=texts.rows)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("text_hash"), pa.array(count + 1), pa.array(found + (m.ends > 0)),
-                 pa.array(count - found), pa.array(base), pa.array(score)],
-                names=["doc_id", "text_hash", "n_tokens", "n_listed", "n_rare", "base_part", "score_part"])
-    return run
-
-
-def _rare_steps(shared):
-    """Of each row: its steps from or to words that are not listed, each once with its count."""
-    def run(batches):
-        m: ClassModel = shared.value
-        for part, texts in text_slices(batches):
-            tokens = _tokens(texts)
-            before, after, row, a, b = _steps(m, tokens, *m.classed(tokens), texts.rows)
+            yield rows_of({
+                "doc_id": part.column("doc_id"), "text_hash": part.column("text_hash"), "n_tokens": pa.array(count + 1),
+                "n_listed": pa.array(found + (m.ends > 0)), "n_rare": pa.array(count - found), "base_part": pa.array(base),
+                "score_part": pa.array(score), "kind": pa.array(np.full(texts.rows, _PART, np.int32))})
             is_open = (a >= 0) | (b >= 0)
-            row, columns = _open_columns(tokens, row[is_open], *(x[is_open] for x in (before, after, a, b)))
+            row, columns = _open_columns(tokens, of_step[is_open], *(x[is_open] for x in (before, after, a, b)))
             take = pa.array(row)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(take), part.column("text_hash").take(take), *columns],
-                                             names=["doc_id", "text_hash", *_SIDE_NAMES])
+            yield rows_of({"doc_id": part.column("doc_id").take(take), "text_hash": part.column("text_hash").take(take),
+                           **dict(zip(_SIDE_NAMES, columns)), "kind": pa.array(np.full(len(row), _STEP, np.int32))})
     return run
 
 
+def _written_scores(rows: DataFrame, shared) -> tuple[DataFrame, DataFrame]:
+    """The two kinds of rows of ``_row_scores``, from one reading of the texts."""
+    spark, path = rows.sparkSession, work_dir(rows.sparkSession, "llm", "row_scores")
+    ids = f"doc_id {dict(rows.dtypes)['doc_id']}, text_hash long"
+    sums = "n_tokens long, n_listed long, n_rare long, base_part double, score_part double"
+    schema = spark.createDataFrame([], f"{ids}, {sums}, {_SIDES}, kind int").schema
+    found = arrow_map(rows, _row_scores(to_arrow_schema(schema), shared), schema)
+    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "4"}):  # both kinds side by side, without a sort
+        found.write.partitionBy("kind").parquet(path)
+    every = spark.read.schema(schema).parquet(path)
+    return (every.filter(F.col("kind") == _PART).select("doc_id", "text_hash", "n_tokens", "n_listed", "n_rare", "base_part", "score_part"),
+            every.filter(F.col("kind") == _STEP).select("doc_id", "text_hash", *_SIDE_NAMES))
+
+
 def _step_table(spark: SparkSession, model: ClassModel) -> DataFrame:
     """log10 P(class | previous class) and the room of the class, a row for each pair of classes."""
     return spark.createDataFrame(
@@ -454,10 +540,7 @@ def score_texts(docs: DataFrame, model: ClassModel, vocabulary: DataFrame, id_co
     shared = spark.sparkContext.broadcast(model)  # at most LISTED_WORDS words
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                        F.col(text_col).alias("text"))
-    kind = dict(rows.dtypes)["doc_id"]
-    parts = arrow_map(rows, _known_part(shared), f"doc_id {kind}, text_hash long, n_tokens long, n_listed long, "
-                                                 "n_rare long, base_part double, score_part double")
-    rare = arrow_map(rows, _rare_steps(shared), f"doc_id {kind}, text_hash long, {_SIDES}")
+    parts, rare = _written_scores(rows, shared)
     steps = _with_classes(rare, vocabulary).join(
         F.broadcast(_step_table(spark, model)),  # STEPS * STEPS rows
         (F.col("a_class") == F.col("from_class")) & (F.col("b_class") == F.col("to_class")))

@@ -196,3 +196,52 @@ def test_no_training_texts_and_empty_table(docs, empty):
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and r["base_score"] == 0 for r in scored)
     assert all(math.isfinite(r["score"]) for r in scored)
     assert rows_of(C.score_texts(empty, model, vocabulary)) == []
+
+
+def test_a_task_passes_each_word_on_once():
+    batches = [pa.RecordBatch.from_pydict({"text": ["one two TWO", None, "", "two three"]}) for _ in range(3)]
+    found = [dict(zip(b.column("word").to_pylist(), b.column("n").to_pylist())) for b in C._word_counts(batches)]
+    assert len(found) == 1 and sorted(found[0].values()) == [3, 3, 9]
+
+
+def test_task_sums_are_passed_on_when_there_are_many(monkeypatch):
+    monkeypatch.setattr(C, "HELD_ROWS", 50)
+    rng, total = np.random.default_rng(1), collections.Counter()
+    slices = []
+    for _ in range(30):
+        a, b, n = rng.integers(0, 12, 20), rng.integers(-4, 4, 20), rng.integers(1, 5, 20)
+        slices.append(([a, b], n))
+        for row in zip(a.tolist(), b.tolist(), n.tolist()):
+            total[row[:2]] += row[2]
+    got = collections.Counter()
+    batches = list(C._task_sums(iter(slices), ["a", "b", "n"], [pa.int32(), pa.int64(), pa.int64()]))
+    for batch in batches:
+        for row in batch.to_pylist():
+            got[row["a"], row["b"]] += row["n"]
+    assert got == total and len(batches) > 1
+    assert list(C._task_sums(iter([]), ["a", "n"], [pa.int64(), pa.int64()])) == []
+
+
+def test_summed_rows_come_in_the_order_of_the_first_column():
+    rng = np.random.default_rng(2)
+    columns = [np.sort(rng.integers(0, 40, 5_000)), rng.integers(0, 3, 5_000), rng.integers(-2**62, 2**62, 5_000) // 2**61]
+    (row, *rest), n = C._summed(columns, lead=20)
+    assert (np.diff(row) >= 0).all()
+    assert dict(zip(zip(row.tolist(), *(x.tolist() for x in rest)), n.tolist())) == collections.Counter(zip(*(c.tolist() for c in columns)))
+
+
+@pytest.mark.parametrize("size", [0, 1, 2, 3, 1_000])
+def test_places_of_hashes(size):
+    rng = np.random.default_rng(size)
+    keys = np.unique(np.r_[rng.integers(-2**63, 2**63, size), np.arange(size // 2)])[:size]  # some stand close together
+    asked = np.r_[keys, rng.integers(-2**63, 2**63, 500), keys - 1, [-2**63, 2**63 - 1, 0]]
+    where = {k: i for i, k in enumerate(keys.tolist())}
+    assert C.Places(keys).find(asked).tolist() == [where.get(k, -1) for k in asked.tolist()]
+
+
+def test_scoring_reads_the_texts_once(docs, monkeypatch):
+    model, vocabulary = C.train(docs)
+    readings, arrow_map = [], C.arrow_map
+    monkeypatch.setattr(C, "arrow_map", lambda *a: readings.append(a) or arrow_map(*a))
+    assert C.score_texts(docs, model, vocabulary).count() == docs.count()
+    assert len(readings) == 1

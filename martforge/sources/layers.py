@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 
 from ..config import SYSTEM_COLUMNS, SYSTEM_VALUES, TableSpec
 from ..functions.dates import month_key, ntz_lit, stamp_time
+from ..session import unsorted_folders
 
 RAW_PARTITIONS = ("batch_id", "partition_month")
 # where a streamed row comes from; NULL for rows of a batch load
@@ -132,15 +133,15 @@ def append_raw(land: DataFrame, layout: LakeLayout, spec: TableSpec, batch_id: s
     mark = Observation(f"raw_{spec.table_name}_{batch_id}_{uuid.uuid4().hex[:8]}")
     out = land.withColumn("partition_month", month_key(F.col("partition_time"))).observe(
         mark, F.count(F.lit(1)).alias("rows_in"), F.max("partition_time").alias("partition_time"))
-    # sort by the partition column first: that is the order the writer
-    # requires, so it keeps this one instead of re-sorting on it alone
-    (
-        out.sortWithinPartitions("partition_month", *spec.keys)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("partition_month")
-        .parquet(batch_folder(layout.raw(spec), batch_id))
-    )
+    # a batch has one stamp, hence one month: a sort by it first would compare rows by equal values
+    with unsorted_folders(land.sparkSession):
+        (
+            (out.sortWithinPartitions(*spec.keys) if spec.keys else out)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy("partition_month")
+            .parquet(batch_folder(layout.raw(spec), batch_id))
+        )
     return mark.get
 
 

@@ -72,6 +72,28 @@ def test_a_load_sorts_small_parts_of_the_file(spark, scratch, monkeypatch):
     assert len(glob.glob(f"{local(layout.trusted(spec))}/v={res.version}/*.parquet")) > 4  # the test session's shuffle partitions
 
 
+def test_the_raw_write_sorts_by_the_keys_alone(spark, scratch, monkeypatch):
+    """By the month first, every comparison of a batch's sort would begin with equal values."""
+    layout, spec = L.LakeLayout(f"{scratch}/lake"), replace(SPEC, load_mode=LOAD_FULL)
+    lines = [f"{i * 7919 % 300};name {i};{i},5;2024-01-02" for i in range(300)]
+    path = write_csv(scratch, "large.csv", ["ThingID;Name;Amount;Day", *lines])
+    before = {key: spark.conf.get(key, None) for key in session.OPEN_FILES}
+    land = L.stamp_land(read_flat_file(spark, path, spec), dt.datetime(2024, 8, 31, 21), with_files=True)
+    sorts, sort = [], type(land).sortWithinPartitions
+
+    def seen(df, *keys):
+        sorts.append((keys, {key: spark.conf.get(key, None) for key in session.OPEN_FILES}))
+        return sort(df, *keys)
+
+    monkeypatch.setattr(type(land), "sortWithinPartitions", seen)
+    mark = L.append_raw(land, layout, spec, "b1")
+    assert mark["rows_in"] == 300 and sorts == [(tuple(spec.keys), session.OPEN_FILES)]
+    assert {key: spark.conf.get(key, None) for key in session.OPEN_FILES} == before
+    files = glob.glob(f"{local(layout.raw(spec))}/batch_id=b1/partition_month=2024-08/*.parquet")
+    found = [spark.read.parquet(f"file://{f}").select(*spec.keys).collect() for f in files]
+    assert sum(map(len, found)) == 300 and all(rows == sorted(rows) for rows in found)
+
+
 def test_a_refresh_joins_in_small_parts(spark, scratch, monkeypatch):
     small_tasks(monkeypatch)
     layout, specs = L.LakeLayout(f"{scratch}/lake"), S.star_specs()

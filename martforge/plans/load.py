@@ -33,7 +33,7 @@ from ..operators.audit import ERROR, OK, SKIPPED, AuditRecord, append_audit
 from ..operators.changes import SAME, change_rows
 from ..operators.dedup import assert_unique_keys, changed_since, latest_per_key
 from ..operators.merge import apply_merge, change_counts, merge_in_place
-from ..session import in_bounded_tasks, shuffle_partitions_for
+from ..session import bounded_tasks, in_bounded_tasks, shuffle_partitions_for
 from ..sources import layers as L
 from ..sources.files import archive_by_date
 from ..sources.flatfile import FAIL, KEEP, MALFORMED, read_flat_file
@@ -244,7 +244,8 @@ def load_file(
     ``archive`` adds the file's rows, as text, to the dated archive once they are loaded.
     """
     try:
-        text = read_flat_file(spark, path, spec, malformed=KEEP if quarantine else FAIL)
+        with bounded_tasks(spark):
+            text = read_flat_file(spark, path, spec, malformed=KEEP if quarantine else FAIL)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" not in str(exc):
             raise

@@ -9,6 +9,11 @@ quotes ends a record. What a split has before its first such break, and after
 its last one, are pieces of records that cross splits; they are few (two a
 split at most) and are put together by a small aggregate.
 
+Both readings must cut the files alike, but the second one runs when the rows
+are used, maybe under other session settings (a load bounds its tasks). So the
+files are opened by a session of their own, which keeps the settings of that
+moment: it is the opening session that cuts files, whichever runs the job.
+
 A quote inside a value is written twice, as the reader's options say, so it
 does not change the parity. A file whose quotes do not pair up is an error.
 One record must fit in a task's memory; a file need not.
@@ -32,10 +37,21 @@ _RECORD, _OPEN, _MIDDLE, _CLOSE = 0, 1, 2, 3  # a whole record; its first, a mid
 _PIECES = "path string, start long, kind int, first boolean, record string"
 
 
+def _session_as_now(spark: SparkSession) -> SparkSession:
+    """Another session with the settings that this one has now."""
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if other.conf.get(key, None) != value and other.conf.isModifiable(key):
+            other.conf.set(key, value)
+    return other
+
+
 def physical_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """value, path and start (of the split) of every line of the files."""
-    lines = spark.read.option("lineSep", "\n").text(path)
-    return lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    """value, path and start (of the split) of every line of the files; cut as the settings say now, whenever they are read."""
+    lines = _session_as_now(spark).read.option("lineSep", "\n").text(path)
+    lines = lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    none = spark.sql("SELECT '' AS value, '' AS path, 0L AS start WHERE false")  # its jobs are those of ``spark``
+    return none.union(lines)
 
 
 def split_starts(lines: DataFrame) -> DataFrame:

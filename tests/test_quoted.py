@@ -1,6 +1,7 @@
 """Line breaks inside quoted values, read in splits: against the whole-file reader, at every split size."""
 
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,6 +58,40 @@ def test_every_split_size_reads_the_same_records(spark, scratch, size, end):
     assert got == expected and len(got) == 120
 
 
+@pytest.mark.parametrize("before, after", [(1000, 64), (64, 1000)])
+def test_settings_that_change_before_the_rows_are_used(spark, scratch, before, after):
+    """A load bounds its tasks after the file was opened: the splits stay those whose quotes were counted."""
+    rows = sample(120, 7)
+    write(scratch, "a.csv", rows)
+    with session_conf(spark, splits(before)):
+        expected = rows_of(flatfile.read_flat_file(spark, scratch, SPEC))
+        found = flatfile.read_flat_file(spark, scratch, SPEC)
+    with session_conf(spark, splits(after)):
+        assert rows_of(found) == expected and len(expected) == 120
+
+
+def test_a_file_of_several_bounded_tasks_is_loaded(spark, scratch, monkeypatch):
+    """The session's own splits are larger than those of a load."""
+    import datetime as dt
+
+    from martforge import session
+    from martforge.config import LOAD_FULL
+    from martforge.plans.load import load_batch, load_file
+    from martforge.sources import layers
+
+    rows, spec = sample(120, 9), replace(SPEC, load_mode=LOAD_FULL)
+    write(scratch, "a.csv", rows)
+    monkeypatch.setitem(session.TASK_BYTES, "spark.sql.files.maxPartitionBytes", 500)
+    with session_conf(spark, splits(2000)):
+        text = flatfile.read_flat_file(spark, scratch, spec)
+        for n, load in enumerate((lambda to: load_file(spark, spec, scratch, to, "000001", dt.datetime(2024, 9, 4)),
+                                  lambda to: load_batch(spark, spec, text, to, "000001", dt.datetime(2024, 9, 4)))):
+            layout = layers.LakeLayout(f"{scratch}-lake{n}")
+            assert load(layout).rows_in == 120
+            got = layers.read_trusted(spark, layout, spec).select("id").collect()
+            assert sorted(int(r["id"]) for r in got) == list(range(120))
+
+
 def test_a_record_over_many_splits_and_a_break_at_each_edge(spark, scratch):
     long = "\n" * 50 + "x" * 300 + "\n;" * 40
     write(scratch, "a.csv", [("1", quote(long), "t"), ("2", quote(""), "t"), ("3", quote("\n"), quote("\n"))])

@@ -247,6 +247,38 @@ def test_short_lines_that_repeat_exactly_are_cut(spark):
     assert rows_of(got, "doc_id", "text") == [rows[0], (2, "Title\nsubscribes"), (3, "a")]
 
 
+def test_near_lines_of_few_words_are_cut(spark):
+    """One word changed, added or dropped in two to four: linked where bits and edit similarity allow it, as longer lines are."""
+    rng, rows, wanted = random.Random(17), [], set()
+    for i in range(150):
+        base = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(10)) for _ in range(rng.choice((2, 3, 4)))]
+        other, at = list(base), rng.randrange(len(base))
+        if i % 3 == 0 and len(base) < 4:
+            other.insert(at, "xy")
+        else:
+            other[at] = other[at][:-2] + "ZZ"
+        a, b = " ".join(base), " ".join(other)
+        rows += [(2 * i, a), (2 * i + 1, b)]
+        near = [" ".join(normal(x)) for x in (a, b)]
+        most = max(map(len, near)) * (100 - D.PERCENT) // 100
+        if (bits_of(near[0]) ^ bits_of(near[1])).bit_count() <= D.MAX_BITS and plain_distance(*near) <= most:
+            wanted.add(2 * i + 1)
+    assert 60 < len(wanted) < 150 and {len(t.split()) for d, t in rows if d in wanted} == {2, 3, 4}
+    got = rows_of(D.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "text")
+    assert {d for d, t in got if not t} == wanted
+
+
+def test_blocks_of_few_words_leave_each_word_out():
+    count = np.array([1, 7, 3, 2])
+    hashes = np.random.default_rng(3).integers(0, 2 ** 63, count.sum()).astype(np.uint64)
+    keys, of = D.few_word_keys(hashes, count, np.array([True, False, True, True]))
+    found = [{int(k) for k, o in zip(keys, of) if o == line} for line in range(4)]
+    assert [len(x) for x in found] == [1, 0, 4, 3]
+    two = hashes[[9, 8]]  # the second line of three without its last word, in another order
+    keys, _ = D.few_word_keys(two, np.array([2]), np.array([True]))
+    assert len({int(k) for k in keys} & found[2]) == 1
+
+
 def test_empty_table(empty):
     assert D.dedup_lines(empty).collect() == []
 
